@@ -16,6 +16,11 @@ def _col(c):
     return F.col(c) if isinstance(c, str) else c
 
 
+def _once(value, use) -> Column:
+    """`use(value)` with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(c) -> Column:
     """Remove all Unicode white space at both ends."""
     return F.btrim(_col(c), F.lit(C.WHITESPACE))
@@ -74,13 +79,15 @@ def without_stop_words(token_array, words=None) -> Column:
 
 def unigrams_and_bigrams(token_array) -> Column:
     """The tokens followed by every pair of neighbours."""
-    a = _col(token_array)
-    rest = F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
-    pairs = F.zip_with(
-        F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), rest,
-        lambda left, right: F.concat(left, F.lit(" "), right),
-    )
-    return F.concat(a, pairs)
+
+    def both(a):
+        pairs = F.zip_with(
+            a, F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0))), lambda x, y: F.concat(x, F.lit(" "), y)
+        )
+        # The last token has no right neighbour: its pair is null.
+        return F.concat(a, F.slice(pairs, 1, F.greatest(F.size(a) - 1, F.lit(0))))
+
+    return _once(_col(token_array), both)
 
 
 def clustering_terms(c, words=None) -> Column:
@@ -99,11 +106,14 @@ def words(c) -> Column:
 
 def chunks(token_array, size) -> Column:
     """Consecutive slices of at most `size` tokens."""
-    a = _col(token_array)
-    starts = F.when(
-        F.size(a) > 0, F.sequence(F.lit(1), F.size(a), F.lit(size))
-    ).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.slice(a, i, F.lit(size)))
+
+    def cut(a):
+        starts = F.when(
+            F.size(a) > 0, F.sequence(F.lit(1), F.size(a), F.lit(size))
+        ).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.slice(a, i, F.lit(size)))
+
+    return _once(_col(token_array), cut)
 
 
 # ---- request cue, focus window, excerpt ----

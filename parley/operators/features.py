@@ -1,7 +1,7 @@
 """TF-IDF, as tables and as a Spark ML pipeline.
 
 The relational form keeps one row per (document, term) and is checked against SQL. The documents
-are shuffled once by id, as token arrays; counting terms per document and the length of a
+are shuffled once by id; counting terms per document and the length of a
 document's vector then stay inside the partition. Only the document frequencies are shuffled by
 term, after a partial count in every task, so a common word is no hot key.
 """
@@ -19,12 +19,26 @@ from parley import constants as C
 from parley.functions import text as T
 
 
-def term_counts(docs: DataFrame, terms, id_col="conversation_id") -> DataFrame:
-    """(id, term, tf): occurrences of every term in every document. Ids must be unique."""
-    arrays = docs.select(id_col, terms.alias("_terms")).repartition(id_col)
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def exploded(df: DataFrame, array, out, *keep) -> DataFrame:
+    """One row per array element. The outer form keeps the optimizer from computing the array a
+    second time for an inferred "is not empty" filter."""
+    return df.select(*keep, F.explode_outer(array).alias(out)).where(F.col(out).isNotNull())
+
+
+def term_counts(docs: DataFrame, terms, id_col="conversation_id", text_col="customer_text") -> DataFrame:
+    """(id, term, tf): occurrences of every term in every document. Ids must be unique.
+
+    The raw text is what is shuffled: it is smaller than its tokens. The number of partitions is
+    the session's, stated here because the run-time merging of small partitions looks at the bytes
+    shuffled and not at the rows that a text unfolds into.
+    """
+    spread = docs.select(id_col, text_col).repartition(shuffle_partitions(docs), id_col)
     return (
-        arrays.select(id_col, F.explode("_terms").alias("term"))
-        .groupBy(id_col, "term").agg(F.count("*").alias("tf"))
+        exploded(spread, terms, "term", id_col).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
     )
 
 
@@ -53,7 +67,7 @@ def tfidf_weights(docs: DataFrame, terms=None, id_col="conversation_id", text_co
                   max_features=C.CLUSTER_MAX_FEATURES) -> DataFrame:
     """(id, term, weight) with rows of unit length."""
     terms = T.clustering_terms(text_col) if terms is None else terms
-    counts = term_counts(docs, terms, id_col)
+    counts = term_counts(docs, terms, id_col, text_col)
     doc_count = docs.agg(F.count("*").alias("n")).scalar()
     terms_kept = vocabulary(document_frequency(counts), doc_count, min_df, max_df, max_features)
     side = terms_kept.select("term", "idf")

@@ -16,17 +16,22 @@ class EmergingReport:
 
 
 def emerging_report(events: DataFrame, start, hours, terms: DataFrame, event_id="event_id",
-                    text_col=None, clusters=None, samples=3, chars=180, **detection) -> EmergingReport:
+                    texts=None, text_key="conversation_id", text_col="customer_text", clusters=None,
+                    samples=3, chars=180, **detection) -> EmergingReport:
     """Count, score and filter; then terms per alert and up to `samples` previews.
 
-    `events` has cluster_id and ts, and for previews a text column.
+    `events` has cluster_id, ts and, for previews, the key of its text. The texts are joined last,
+    to the few rows that are shown, and not carried along with every event.
     """
     series = dense_hourly_counts(events, start, hours, clusters)
     alerts = detect_alerts(series, **detection)
     shown = alert_events(events, alerts, event_id, samples)
-    if text_col is not None:
-        shown = shown.withColumn("preview", T.one_line(text_col, chars))
-    keep = ["cluster_id", "bucket_ts", "rank", event_id] + (["preview"] if text_col else [])
+    keep = ["cluster_id", "bucket_ts", "rank", event_id]
+    if texts is not None:
+        shown = shown.join(texts.select(text_key, text_col), text_key, "left").withColumn(
+            "preview", T.one_line(text_col, chars)
+        )
+        keep.append("preview")
     return EmergingReport(attach_terms(alerts, terms), shown.select(*keep))
 
 

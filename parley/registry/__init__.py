@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from parley.registry import records, texts, monitoring  # noqa: F401
+from parley.registry import clusters, models, monitoring, records, texts  # noqa: F401
 from parley.registry.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

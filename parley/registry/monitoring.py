@@ -127,14 +127,17 @@ def _once_per_user(events):
   {I.sql_series('once', 'series2')}, {I.sql_scored('series2', 'scored2')}, {I.sql_alerts('scored2', 'alerts2')}
   SELECT coalesce(a.cluster_id, b.cluster_id) AS cluster_id,
     strftime(coalesce(a.bucket_ts, b.bucket_ts), '%Y-%m-%d %H:%M:%S') AS bucket,
-    a.current_count AS control_count, b.current_count AS changed_count,
+    coalesce(a.current_count, 0) AS control_count, coalesce(b.current_count, 0) AS changed_count,
     CASE WHEN a.cluster_id IS NULL THEN 'changed only' WHEN b.cluster_id IS NULL THEN 'control only' ELSE 'both' END AS status
   FROM alerts a FULL OUTER JOIN alerts2 b ON a.cluster_id = b.cluster_id AND a.bucket_ts = b.bucket_ts""")
 def alert_diff(spark, sf):
     events = I.cluster_events(spark, sf)
     changed = A.detect_alerts(A.dense_hourly_counts(_once_per_user(events), START, HOURS))
     diff = A.alert_diff(alerts(spark, sf), changed)
-    return diff.withColumn("bucket", F.date_format("bucket_ts", _STAMP)).drop("bucket_ts")
+    return diff.select(
+        "cluster_id", F.date_format("bucket_ts", _STAMP).alias("bucket"), "status",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("control_count", "changed_count")],
+    )
 
 
 @query("largest_group", """SELECT source, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) >= 16
@@ -155,11 +158,11 @@ def alert_summary(spark, sf):
     return A.alert_summary(alerts(spark, sf), target, period)
 
 
-def text_events(spark, sf):
-    """Events as calls of their user: text and cluster (by language) of the user's document."""
+def user_calls(spark, sf):
+    """Events as calls of their user, with the cluster (by language) of the user's document."""
     events = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
     docs = table(spark, sf, "documents").select(
-        F.col("doc_id").alias("user_id"), "text", I.cluster_of_language("lang").alias("cluster_id")
+        F.col("doc_id").alias("user_id"), I.cluster_of_language("lang").alias("cluster_id")
     )
     return events.join(docs, "user_id")
 
@@ -177,8 +180,10 @@ def text_events(spark, sf):
   FROM alerts a LEFT JOIN named_terms t ON t.cluster_id = a.cluster_id
   LEFT JOIN told s ON s.cluster_id = a.cluster_id AND s.bucket_ts = a.bucket_ts""")
 def emerging_report(spark, sf):
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("user_id"), "text")
     report = M.emerging_report(
-        text_events(spark, sf), START, HOURS, document_terms(spark, sf), text_col="text"
+        user_calls(spark, sf), START, HOURS, document_terms(spark, sf), texts=texts,
+        text_key="user_id", text_col="text",
     )
     return _shown(
         M.report_rows(report), F.array_join("descriptive_terms", "|").alias("terms"),

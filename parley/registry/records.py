@@ -39,11 +39,12 @@ def preview_rows(spark, sf):
 
 
 @query("call_id_extract", f"""WITH {TURN_RECORDS_SQL}
-    SELECT file_name, call_id, channel, count(*) AS n FROM named GROUP BY ALL""")
+    SELECT file_name, call_id, coalesce(channel, 0) AS channel, count(*) AS n FROM named GROUP BY ALL""")
 def call_id_extract(spark, sf):
+    channel = F.coalesce(T.channel("file_name"), F.lit(0))
     return (
         I.turn_records(spark, sf)
-        .select("file_name", T.call_id("file_name").alias("call_id"), T.channel("file_name").alias("channel"))
+        .select("file_name", T.call_id("file_name").alias("call_id"), channel.alias("channel"))
         .groupBy("file_name", "call_id", "channel").agg(F.count("*").alias("n"))
     )
 
@@ -78,7 +79,7 @@ _PAIRS_SQL = CHANNEL_RECORDS_SQL + """,
   sides AS (SELECT split, call_id, count(*) AS n, min(channel) AS c1, max(channel) AS c2,
     count(role) AS nr, min(role) AS r1, max(role) AS r2,
     max(CASE WHEN role = 'customer' THEN domain END) AS cd, max(CASE WHEN role = 'agent' THEN domain END) AS ad,
-    max(CASE WHEN role = 'customer' THEN text END) AS ct, max(CASE WHEN role = 'agent' THEN text END) AS at,
+    max(CASE WHEN role = 'customer' THEN text END) AS ct, max(CASE WHEN role = 'agent' THEN text END) AS agt,
     max(CASE WHEN role = 'customer' THEN speaker_id END) AS cs, max(CASE WHEN role = 'agent' THEN speaker_id END) AS ags
     FROM named WHERE call_id <> '' GROUP BY ALL),
   judged AS (SELECT *, CASE WHEN n <> 2 THEN 'not two records'
@@ -95,7 +96,7 @@ def pair_rejects(spark, sf):
 
 
 @query("build_conversations", f"""WITH {_PAIRS_SQL}
-    SELECT split || ':' || call_id AS conversation_id, cd AS domain, ct AS customer_text, at AS agent_text,
+    SELECT split || ':' || call_id AS conversation_id, cd AS domain, ct AS customer_text, agt AS agent_text,
       cs AS customer_speaker_id, ags AS agent_speaker_id FROM judged WHERE reject_reason IS NULL""")
 def build_conversations(spark, sf):
     return V.build_conversations(I.channel_records(spark, sf))[0]
@@ -106,7 +107,7 @@ BAD_EXAMPLES = [("-1", "", "en"), ("-2", " \n", "en"), ("-3", None, "en"), ("-4"
 
 @query("prepare_examples", f"""WITH {DOCUMENTS_SQL}, rows AS (
     SELECT conversation_id, customer_text, domain FROM docs UNION ALL SELECT * FROM (VALUES {sql_rows(BAD_EXAMPLES)}))
-    SELECT conversation_id, domain, CAST(length(customer_text) AS BIGINT) AS chars,
+    SELECT conversation_id, domain, CAST(coalesce(length(customer_text), 0) AS BIGINT) AS chars,
       CASE WHEN {sql_blank('customer_text')} THEN 'blank text' WHEN coalesce(domain, '') = '' THEN 'missing label'
       ELSE 'good' END AS verdict FROM rows""")
 def prepare_examples(spark, sf):
@@ -115,7 +116,7 @@ def prepare_examples(spark, sf):
     good, bad = Q.training_examples(rows)
     both = good.withColumn("reject_reason", F.lit("good")).unionByName(bad)
     return both.select(
-        "conversation_id", "domain", F.length("customer_text").cast("long").alias("chars"),
+        "conversation_id", "domain", F.coalesce(F.length("customer_text"), F.lit(0)).cast("long").alias("chars"),
         F.col("reject_reason").alias("verdict"),
     )
 
