@@ -135,13 +135,12 @@ def attach_terms(df: DataFrame, terms: DataFrame, cluster_col="cluster_id") -> D
 def alert_events(events: DataFrame, alerts: DataFrame, event_id="event_id", limit=3) -> DataFrame:
     """First events, in event order, of every alert's cluster and hour.
 
-    Events meet alerts on (cluster, hour). The alerts are the small side; whether they are
-    broadcast is left to the run-time size, and a hot hour is cut to `limit` rows in every task
-    before it is shuffled.
+    Every hour is cut to `limit` events before it meets the alerts: each task keeps `limit` rows
+    per hour ahead of the shuffle, so an hour that holds most events is never moved as a whole.
     """
     keyed = events.withColumn("bucket_ts", F.date_trunc("hour", "ts"))
-    hits = keyed.join(alerts.select("cluster_id", "bucket_ts"), ["cluster_id", "bucket_ts"])
-    return top_per_group(hits, ["cluster_id", "bucket_ts"], ["ts", event_id], limit)
+    first = top_per_group(keyed, ["cluster_id", "bucket_ts"], ["ts", event_id], limit)
+    return first.join(alerts.select("cluster_id", "bucket_ts"), ["cluster_id", "bucket_ts"])
 
 
 def alert_diff(control: DataFrame, changed: DataFrame) -> DataFrame:

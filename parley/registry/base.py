@@ -1,11 +1,24 @@
 """Registry of named queries over the given tables, each with its SQL counterpart where one exists."""
 
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 QUERIES = {}
 ORACLES = {}
+_SHIPPED = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever they start (as --py-files)."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        target = os.path.join(tempfile.mkdtemp(prefix="parley-code-"), "parley")
+        spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, "parley"))
+        _SHIPPED.add(app)
 
 
 def query(name, sql=None):
@@ -13,6 +26,7 @@ def query(name, sql=None):
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             return fn(spark, sf_dir)
 

@@ -29,6 +29,17 @@ def customer_texts(spark, sf):
     return build_conversations(I.channel_records(spark, sf))[0]
 
 
+_FITTED = {}
+
+
+def document_classifier(spark, sf):
+    """Classifier learned on all documents: fitted once per session and data set."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        _FITTED[key] = L.fit_classifier(I.document_conversations(spark, sf))
+    return _FITTED[key]
+
+
 def trained(spark, sf):
     docs = I.document_conversations(spark, sf).select("conversation_id", "customer_text", "domain")
     return L.train_classifier(docs)
@@ -37,9 +48,7 @@ def trained(spark, sf):
 @query("domain_predict")
 def domain_predict(spark, sf):
     """Label and confidence of every conversation from a classifier learned on the documents."""
-    docs = I.document_conversations(spark, sf)
-    model = L.fit_classifier(docs)
-    scored = L.predict(model, customer_texts(spark, sf))
+    scored = L.predict(document_classifier(spark, sf), customer_texts(spark, sf))
     return scored.select("conversation_id", "domain", "predicted", F.round("confidence", 4).alias("confidence"))
 
 
@@ -162,7 +171,7 @@ def analyzer(spark, sf, k=16):
     labels = D.assign(model, vectors_of_docs, "embedding").select("conversation_id", "cluster_id")
     ranked = K.descriptive_terms(X.tfidf_weights(docs), labels)
     return A.Analyzer(
-        L.fit_classifier(docs), lexical, CenterMatrix.of_model(model), K.terms_table(ranked, k)
+        document_classifier(spark, sf), lexical, CenterMatrix.of_model(model), K.terms_table(ranked, k)
     )
 
 
