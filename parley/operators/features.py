@@ -126,10 +126,9 @@ def tfidf_stages(train: DataFrame, text_col, out="features", stop_words=None, mi
     CountVectorizer brings the vocabulary to the driver; its size is `max_features` at most.
     """
     head = _term_stage(text_col, "_ngrams", stop_words)
-    cv = CountVectorizer(
-        inputCol="_ngrams", outputCol="_tf", vocabSize=max_features,
-        minDF=float(min_df), maxDF=float(max_df),
-    )
+    cv = CountVectorizer(inputCol="_ngrams", outputCol="_tf", vocabSize=max_features, minDF=float(min_df))
+    if max_df < 1.0:  # from 1.0 on, Spark reads the bound as a number of documents
+        cv.setMaxDF(float(max_df))
     counted = Pipeline(stages=head + [cv]).fit(train)
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted.transform(train))
     scale = ElementwiseProduct(

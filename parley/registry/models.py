@@ -11,6 +11,7 @@ from parley.operators import features as X
 from parley.operators import issues as U
 from parley.operators import kmeans as M
 from parley.operators.centers import CenterMatrix, own_center
+from parley.operators.quality import issue_problem, split_by_reason
 from parley.plans import analyze as A
 from parley.plans import classify as L
 from parley.plans import discover as D
@@ -108,16 +109,17 @@ def encode_texts(spark, sf):
 
 def document_vectors(spark, sf):
     docs = I.document_conversations(spark, sf).select("conversation_id", "customer_text")
-    return D.embedding_vectors(
-        docs, encoder(spark, sf), table_path=new_path(spark, "document-vectors"), limit=256
+    encoded = D.embedding_vectors(
+        docs, encoder(spark, sf), table_path=new_path(spark, "document-vectors"), strict=False
     )
+    return D.split_vectors(encoded)[0]
 
 
 @query("encode_long_texts")
 def encode_long_texts(spark, sf):
     """One pooled vector per document, whatever its length."""
     docs = I.document_conversations(spark, sf).select("conversation_id", "customer_text")
-    encoded = E.encode_long_texts(docs, "customer_text", encoder(spark, sf))
+    encoded = E.encode_long_texts(docs, "customer_text", encoder(spark, sf), strict=False)
     rows = encoded.select("conversation_id", F.posexplode("embedding").alias("position", "value"))
     return rows.where("value <> 0").select(
         "conversation_id", "position", F.round(F.col("value").cast("double"), 4).alias("value")
@@ -135,9 +137,10 @@ def issue_clusters(spark, sf):
     """Size and top domains of the clusters of the documents' issue statements."""
     docs = I.document_conversations(spark, sf)
     issues = U.extract_issues(docs.select("conversation_id", "domain", "customer_text"))
-    encoded = D.statement_vectors(
-        issues, encoder(spark, sf), table_path=new_path(spark, "statement-vectors")
-    )
+    issues, _ = split_by_reason(issues, issue_problem())
+    encoded, _ = D.split_vectors(D.statement_vectors(
+        issues, encoder(spark, sf), table_path=new_path(spark, "statement-vectors"), strict=False
+    ))
     sweep = M.sweep_k(encoded, "embedding")
     k = _candidates_within(sweep.stats)
     labels = D.assign(sweep.models[k], encoded, "embedding").select("conversation_id", "cluster_id")
@@ -160,9 +163,7 @@ def representation_compare(spark, sf):
 def analyzer(spark, sf, k=16):
     docs = I.document_conversations(spark, sf).select("conversation_id", "customer_text", "domain")
     lexical = encoder(spark, sf)
-    vectors_of_docs = D.embedding_vectors(
-        docs, lexical, table_path=new_path(spark, "analyzer-vectors"), limit=256
-    )
+    vectors_of_docs = document_vectors(spark, sf)
     features = M.as_features(vectors_of_docs, "embedding").select("_features").persist()
     try:
         model = M.fit_kmeans(features, k)

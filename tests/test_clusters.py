@@ -115,7 +115,7 @@ def test_centers(spark):
     rows = nearest_center(df.drop("c"), "v", model).orderBy("id").collect()
     assert [r.cluster_id for r in rows] == [0, 0, 0, 1, 1, 1]
     axes = CenterMatrix([0, 1], np.eye(2))
-    pair = points(spark, [(0, 0, [1, .5]), (1, 1, [.5, 1])])
+    pair = points(spark, [(0, 0, [1.0, .5]), (1, 1, [.5, 1.0])])
     assert [r.own_similarity for r in own_center(pair, "v", "c", axes).collect()] == pytest.approx([1.25 ** -.5] * 2)
     zero = nearest_center(points(spark, [(0, 0, [0.0, 0.0])]), "v", axes).first()
     assert zero.similarity is None and zero.distance == 1
@@ -137,6 +137,8 @@ def test_pooling(spark):
     zero = spark.createDataFrame([(0, 1, [1.0, 0.0]), (0, 1, [-1.0, 0.0])], "owner int, w int, v array<float>")
     with pytest.raises(PySparkException):
         pool_chunks(zero, "owner", "v", "w").collect()
+    good, rejects = D.split_vectors(pool_chunks(zero, "owner", "v", "w", strict=False))
+    assert good.count() == 0 and [r.owner for r in rejects.collect()] == [0]
 
 
 TEXTS = [("a", 0, "internet modem broken"), ("b", 0, "internet connection slow"), ("c", 1, "flight seat change")]
@@ -164,6 +166,12 @@ def test_relational_tfidf_equals_the_ml_form(spark):
     assert all(abs(ml[k] - table[k]) < 1e-9 for k in ml)
 
 
+def test_ml_form_keeps_terms_of_every_document(spark):
+    docs = spark.createDataFrame([("1", "seat bb"), ("2", "seat cc")], "conversation_id string, customer_text string")
+    assert "seat" in X.fit_tfidf(docs, min_df=1, max_df=1.0).terms
+    assert "seat" not in X.fit_tfidf(docs, min_df=1, max_df=0.85).terms
+
+
 def test_a_capped_vocabulary_keeps_the_most_used_terms(spark):
     docs = spark.createDataFrame([("1", "bb bb aa cc"), ("2", "aa cc dd")], "conversation_id string, customer_text string")
     w = X.tfidf_weights(docs, T.tokens("customer_text"), min_df=1, max_df=1.0, max_features=2)
