@@ -130,18 +130,25 @@ def focus_text(c, before=C.FOCUS_WORDS_BEFORE, after=C.FOCUS_WORDS_AFTER) -> Col
     looks at a few words only, however long the text is.
     """
     x = _col(c)
-    parts = F.split(x, _CUE, 2)
-    prefix = parts[0]
-    backwards = F.reverse(prefix)
-    broken_word = F.regexp_extract(backwards, f"(?U)^({_WORD}*)", 1)
-    lead = F.reverse(
-        F.regexp_extract(backwards, f"(?U)^({_WORD}*(?:{_SPACE}+{_WORD}+){{0,{before}}})", 1)
-    )
-    lead = F.regexp_replace(lead, f"(?sU)^.*[.!?]{_SPACE}+", "")
-    lead = F.substr(lead, F.lit(1), F.length(lead) - F.length(broken_word))
-    rest = F.substr(x, F.length(prefix) - F.length(broken_word) + 1)
-    ahead = F.regexp_extract(rest, f"(?U)^({_WORD}+(?:{_SPACE}+{_WORD}+){{0,{after - 1}}})", 1)
-    return F.when(F.size(parts) < 2, x).otherwise(F.concat(lead, ahead))
+    reach = f"(?U)^({_WORD}*(?:{_SPACE}+{_WORD}+){{0,{before}}})"
+    ahead = f"(?U)^({_WORD}+(?:{_SPACE}+{_WORD}+){{0,{after - 1}}})"
+
+    def window(parts):
+        prefix = parts[0]
+
+        def around(back):
+            # The words before the cue, and how much of them belongs to the word the cue starts in.
+            broken = F.length(F.regexp_extract(back, f"(?U)^({_WORD}*)", 1))
+            lead = F.regexp_replace(F.reverse(back), f"(?sU)^.*[.!?]{_SPACE}+", "")
+            rest = F.substr(x, F.length(prefix) - broken + 1)
+            return F.concat(
+                F.substr(lead, F.lit(1), F.length(lead) - broken), F.regexp_extract(rest, ahead, 1)
+            )
+
+        back = F.regexp_extract(F.reverse(prefix), reach, 1)
+        return F.when(F.size(parts) < 2, x).otherwise(_once(back, around))
+
+    return _once(F.split(x, _CUE, 2), window)
 
 
 def excerpt(focus, limit=C.EXCERPT_CHARS, min_sentence=C.EXCERPT_MIN_SENTENCE) -> Column:

@@ -104,19 +104,19 @@ class TfidfModel:
 
 
 def _term_stage(text_col, out, stop_words=None):
-    """Tokens, stop words, n-grams as one SQL stage, so a saved pipeline carries them along."""
+    """Tokens, stop words and pairs as SQL stages, so that a saved pipeline carries them along."""
     token_sql = f"regexp_extract_all(lower({text_col}), '([\\\\p{{L}}\\\\p{{N}}_]{{2,}})', 1)"
     if stop_words:
         listed = ", ".join("'" + w.replace("'", "\\'") + "'" for w in stop_words)
         token_sql = f"filter({token_sql}, t -> t NOT IN ({listed}))"
+    tokens = SQLTransformer(statement=f"SELECT *, {token_sql} AS _tok FROM __THIS__")
+    if out is None:
+        return [tokens]
     pairs = (
         "zip_with(slice(_tok, 1, greatest(size(_tok) - 1, 0)), "
         "slice(_tok, 2, greatest(size(_tok) - 1, 0)), (a, b) -> concat(a, ' ', b))"
     )
-    return [
-        SQLTransformer(statement=f"SELECT *, {token_sql} AS _tok FROM __THIS__"),
-        SQLTransformer(statement=f"SELECT *, concat(_tok, {pairs}) AS {out} FROM __THIS__"),
-    ]
+    return [tokens, SQLTransformer(statement=f"SELECT *, concat(_tok, {pairs}) AS {out} FROM __THIS__")]
 
 
 def tfidf_stages(train: DataFrame, text_col, out="features", stop_words=None, min_df=1, max_df=1.0,
@@ -166,8 +166,8 @@ class LexicalEncoder:
     def fit(cls, train: DataFrame, text_col, dimension=384):
         from pyspark.ml import PipelineModel
 
-        head = _term_stage("_text", "_ngrams") + [
-            HashingTF(numFeatures=dimension, inputCol="_ngrams", outputCol="_tf")
+        head = _term_stage("_text", None) + [
+            HashingTF(numFeatures=dimension, inputCol="_tok", outputCol="_tf")
         ]
         hashed = PipelineModel(head).transform(train.select(F.col(text_col).alias("_text")))
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(hashed)
@@ -184,5 +184,5 @@ class LexicalEncoder:
         """Add a float array; a text without any token gets a zero vector."""
         encoded = self.pipeline_model.transform(df.withColumn("_text", F.col(text_col)))
         return encoded.withColumn(out, vector_to_array("_unit", "float32")).drop(
-            "_text", "_tok", "_ngrams", "_tf", "_weighted", "_unit"
+            "_text", "_tok", "_tf", "_weighted", "_unit"
         )
