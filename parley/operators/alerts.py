@@ -171,7 +171,7 @@ def alert_summary(alerts: DataFrame, target, period_start) -> DataFrame:
 def largest_group(labels: DataFrame, minimum_size=2 * C.MIN_EVENT_COUNT, group_col="cluster_id"):
     """Largest group of at least `minimum_size` rows; the smaller id wins a tie.
 
-    Empty when there is none; `required=` callers turn that into an error with `require_group`.
+    Empty when there is none; `require_group` turns that into an error.
     """
     return (
         labels.groupBy(group_col).agg(F.count("*").alias("n"))

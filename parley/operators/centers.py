@@ -32,12 +32,16 @@ class CenterMatrix:
             F.col(id_col).cast("int").alias("i"), F.size(center_col).alias("d"),
             F.col(center_col).cast("array<double>").alias("c"),
         )
-        size = rows.agg(F.count("*").alias("k"), F.max("d").alias("d")).first()
-        if size.k == 0:
-            raise ValueError("there are no centres")
-        if size.k * size.d > MAX_MODEL_VALUES:
-            raise ValueError(f"{size.k} centres of {size.d} values are no model to send to every task")
-        got = sorted(rows.collect(), key=lambda r: r.i)
+        rows = rows.persist()  # k short rows: looked at twice, worked out once
+        try:
+            size = rows.agg(F.count("*").alias("k"), F.max("d").alias("d")).first()
+            if size.k == 0:
+                raise ValueError("there are no centres")
+            if size.k * size.d > MAX_MODEL_VALUES:
+                raise ValueError(f"{size.k} centres of {size.d} values are no model to send to every task")
+            got = sorted(rows.collect(), key=lambda r: r.i)
+        finally:
+            rows.unpersist()
         return cls([r.i for r in got], [r.c for r in got])
 
     @classmethod

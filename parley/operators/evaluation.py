@@ -5,17 +5,42 @@ from pyspark.sql import functions as F
 
 from parley import constants as C
 from parley.functions import text as T
-from parley.operators.ranking import rank_by_hash
+from parley.operators.ranking import hash_order, rank_by_hash
 
 
-def stratified_split(examples: DataFrame, label_col="domain", id_col="conversation_id",
+MAX_LABELS = 100_000
+
+
+def split_thresholds(examples: DataFrame, label_col="domain", id_col="conversation_id",
                      test_share=C.TEST_SHARE, seed=C.SEED) -> DataFrame:
-    """Add `part` ('test' or 'train'): every label gives its rounded share to the test part."""
-    ranked = rank_by_hash(examples, label_col, id_col, seed)
+    """(label, threshold): the last hash of a label that still belongs to the test part.
+
+    Only ids and labels are ranked; the texts stay where they are.
+    """
+    ranked = rank_by_hash(examples.select(label_col, id_col), label_col, id_col, seed)
     quota = F.floor(F.col("group_size") * F.lit(float(test_share)) + 0.5)
-    return ranked.withColumn(
-        "part", F.when(F.col("rn") <= quota, F.lit("test")).otherwise(F.lit("train"))
-    ).drop("rn", "group_size")
+    return (
+        ranked.where(F.col("rn") <= quota).groupBy(label_col)
+        .agg(F.max(hash_order(seed, id_col)).alias("_threshold"))
+    )
+
+
+def stratified_split(examples: DataFrame, label_col="domain", id_col="conversation_id",
+                     test_share=C.TEST_SHARE, seed=C.SEED) -> DataFrame:
+    """Add `part` ('test' or 'train'): every label gives its rounded share to the test part.
+
+    The thresholds, one short row per label, are worked out once. Every later pass over either part
+    is then a plain filter on the scan: no sort and no shuffle of texts. Up to MAX_LABELS of them
+    are broadcast; more are joined.
+    """
+    cut = split_thresholds(examples, label_col, id_col, test_share, seed)
+    rows = cut.limit(MAX_LABELS + 1).collect()
+    if len(rows) <= MAX_LABELS:
+        cut = F.broadcast(examples.sparkSession.createDataFrame(rows, cut.schema))
+    in_test = F.coalesce(hash_order(seed, id_col) <= F.col("_threshold"), F.lit(False))
+    return examples.join(cut, label_col, "left").withColumn(
+        "part", F.when(in_test, F.lit("test")).otherwise(F.lit("train"))
+    ).drop("_threshold")
 
 
 def split_overlap(train: DataFrame, test: DataFrame, id_col="conversation_id") -> DataFrame:

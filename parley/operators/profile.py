@@ -4,6 +4,8 @@ Everything here is a grouped aggregate with a fixed-size state, so Spark combine
 shuffle and a call or value that holds most rows costs no more than any other.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,12 +83,10 @@ def one_value(column: str) -> Column:
     )
 
 
-def exactly(column: str, low, high) -> Column:
-    """In a group of two rows: one of them holds `low` and the other one `high`."""
-    return F.coalesce(
-        (F.count(F.col(column)) == 2) & (F.min(column) == low) & (F.max(column) == high),
-        F.lit(False),
-    )
+def exactly(column: str, *values) -> Column:
+    """In a group of as many rows as values: every value is held by one row."""
+    held = [F.count_if(F.col(column) == v) == 1 for v in values]
+    return reduce(lambda a, b: a & b, held)
 
 
 def call_groups(records: DataFrame) -> DataFrame:

@@ -58,7 +58,8 @@ class Analyzer:
         labelled = predict(self.classifier, texts.select(id_col, text_col))
         vectors = encode_long_texts(texts, text_col, self.encoder, id_col=id_col, **encoding)
         placed = nearest_center(vectors, "embedding", self.centers).drop("embedding")
-        return self._finish(labelled.join(placed, id_col), id_col, text_col)
+        # A left join: a text without a vector must be seen, and stop the job, not vanish.
+        return self._finish(labelled.join(placed, id_col, "left"), id_col, text_col)
 
     def analyze_stateless(self, texts: DataFrame, id_col="conversation_id", text_col="customer_text"):
         """Same result for texts that fit the encoder, without any shuffle: also for streams."""

@@ -53,4 +53,6 @@ def preview(df: DataFrame, order_col, limit=3) -> DataFrame:
 
 def text_lines(df: DataFrame, text_col, id_col) -> DataFrame:
     """One row per non-blank line: (id, line_no, line)."""
-    return df.select(id_col, F.posexplode(T.lines(text_col)).alias("line_no", "line"))
+    # The outer form keeps the lines from being cut a second time for an inferred filter.
+    rows = df.select(id_col, F.posexplode_outer(T.lines(text_col)).alias("line_no", "line"))
+    return rows.where(F.col("line").isNotNull())

@@ -113,6 +113,8 @@ def test_analysis_of_many_texts(spark, trained, tmp_path):
         assert short[key].cluster_similarity == pytest.approx(rows[key].cluster_similarity, abs=1e-5)
     with pytest.raises(PySparkException):
         ready.analyze_stateless(spark.createDataFrame([("b", " ")], texts.schema)).collect()
+    with pytest.raises(PySparkException):
+        ready.analyze(spark.createDataFrame([("b", " \n")], texts.schema)).collect()
     with pytest.raises(ValueError):
         A.Analyzer(trained.model, ready.encoder, ready.centers, ready.terms, input_mode="agent_text")
     # The same transform on a stream.
