@@ -87,9 +87,13 @@ def turn_records(spark, sf_dir) -> DataFrame:
 
 
 def channel_records(spark, sf_dir) -> DataFrame:
-    """One record per call and side, the turns joined in order."""
+    """One record per call and side, the turns joined in order.
+
+    A side too large for one cell stays as its turns, so its call is found among the pair rejects.
+    """
     turns = table(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant"))
-    channels, _ = assemble_channels(turns, ["conv_id", "role"])
+    channels, oversize = assemble_channels(turns, ["conv_id", "role"])
+    channels = channels.unionByName(oversize.select(*channels.columns))
     return _as_records(channels, _side_information(spark, sf_dir)).unionByName(_broken(spark))
 
 
