@@ -1,6 +1,6 @@
 """Operators for training-data pipelines, and their registered queries."""
 
-from parley.llm import q_quality  # noqa: F401
+from parley.llm import q_licenses, q_quality, q_urls  # noqa: F401
 from parley.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
