@@ -1,6 +1,6 @@
 """Operators for training-data pipelines, and their registered queries."""
 
-from parley.llm import q_fingerprints, q_licenses, q_quality, q_urls, q_warc  # noqa: F401
+from parley.llm import q_bpe, q_fingerprints, q_licenses, q_packing, q_quality, q_urls, q_warc  # noqa: F401
 from parley.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
