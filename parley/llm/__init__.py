@@ -1,6 +1,8 @@
 """Operators for training-data pipelines, and their registered queries."""
 
-from parley.llm import q_bpe, q_fingerprints, q_licenses, q_packing, q_quality, q_urls, q_warc  # noqa: F401
+from parley.llm import (  # noqa: F401
+    q_bpe, q_fingerprints, q_licenses, q_lm, q_packing, q_quality, q_urls, q_warc,
+)
 from parley.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
