@@ -12,10 +12,12 @@ CHUNK_BYTES = 24_000_000
 
 
 def chunk_rows(batches):
-    """(chunk number, its rows) in the order of the partition; a chunk may come in several parts."""
-    seen = 0
+    """(chunk number, its rows) in the order of the partition; a chunk may come in several parts. Rows get
+    their number in the partition as `row`."""
+    seen, row = 0, 0
     for b in batches:
-        b = b.assign(text=b["text"].fillna(""))
+        b = b.assign(text=b["text"].fillna(""), row=np.arange(row, row + len(b)))
+        row += len(b)
         sizes = b["text"].map(lambda t: len(t.encode("utf-8"))).to_numpy(np.int64)
         before = seen + np.cumsum(sizes) - sizes
         seen += int(sizes.sum())

@@ -222,6 +222,33 @@ def _sizes_fit(a, b, share):
     return (100 * F.least(a, b) >= share * F.greatest(a, b))
 
 
+def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = SHARE):
+    """(links compared and found, components of them) among the sets that meet in lists.
+
+    met: (sig, node, n, place; -1 for no place), a written table of lists with two nodes at least;
+    votes: (node, lead, c), how many lists of a node a lead heads; sets: (node, n, shingles), written."""
+    # round 1: each set with the hub of most of its lists
+    best = votes.filter("node <> lead").groupBy("node").agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("b"))
+    pairs1 = written(best.select(F.col("node").alias("a"), "b"), "pairs")
+    links1 = written(_verified(pairs1, sets, share), "links")
+    found = components(links1)
+
+    # round 2: pairs across components in the lists that hold several
+    at = met.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = at.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("sig")
+    at = written(at.join(several, "sig").select("sig", "node", "n", "place", "component"), "mixed-lists")
+    x = at.alias("x").join(at.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node"))
+                           & (F.col("x.component") != F.col("y.component")) & _sizes_fit(F.col("x.n"), F.col("y.n"), share)
+                           & ((F.col("x.place") < 0) | (F.col("y.place") < 0) | (
+                               F.least("x.place", "y.place") + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+                               >= F.ceil(share * (F.col("x.n") + F.col("y.n")) / (100 + share)))))
+    pairs2 = x.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    done = pairs1.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links2 = _verified(pairs2.join(done, ["a", "b"], "left_anti"), sets, share)
+    links = written(links1.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().unionByName(links2), "links")
+    return links, components(links)
+
+
 def link_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """doc_id, n_shingles, component_id and n_links, the links compared of the row's set, for each row."""
     d = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
@@ -256,27 +283,8 @@ def link_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     met = sig.join(first, "sig").dropDuplicates(["sig", "me"])
     met = written(named(met, "me", "node"), "jaccard-lists")
 
-    # round 1: each set with the hub of most of its lists
-    votes = named(met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c")), "hub", "lead").filter("node <> lead")
-    best = votes.groupBy("node").agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("b"))
-    pairs1 = written(best.select(F.col("node").alias("a"), "b"), "jaccard-pairs")
-    links1 = written(_verified(pairs1, sets, share), "jaccard-links")
-    found = components(links1)
-
-    # round 2: pairs across components in the lists that hold several
-    at = met.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = at.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("sig")
-    at = written(at.join(several, "sig").select("sig", "node", "n", "place", "component"), "jaccard-mixed")
-    x = at.alias("x").join(at.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node"))
-                           & (F.col("x.component") != F.col("y.component")) & _sizes_fit(F.col("x.n"), F.col("y.n"), share)
-                           & ((F.col("x.place") < 0) | (F.col("y.place") < 0) | (
-                               F.least("x.place", "y.place") + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-                               >= F.ceil(share * (F.col("x.n") + F.col("y.n")) / (100 + share)))))
-    pairs2 = x.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    done = pairs1.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links2 = _verified(pairs2.join(done, ["a", "b"], "left_anti"), sets, share)
-    links = written(links1.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().unionByName(links2), "jaccard-links")
-    final = components(links)
+    votes = named(met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c")), "hub", "lead")
+    links, final = link_lists(met, votes, sets, share)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
 
     # only classes with company need their names joined back
@@ -288,8 +296,8 @@ def link_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """The rows of `docs` less all but one of each group of linked documents: that with the smallest doc_id,
-    and of rows that repeat it the first by their hash. Empty texts and null ids stay."""
+    """The rows of `docs` less all but one of each group of linked documents: that with the smallest doc_id
+    stays. Rows that repeat a doc_id share its fate. Empty texts and null ids stay."""
     found = link_components(docs, share)
     gone = written(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
