@@ -60,7 +60,7 @@ def with_fingerprint(df: DataFrame, text: str, name: str, k=K, bins=BINS, per_bi
         own = F.filter(F.slice(m, i + 1, per_bin), lambda e: bin_of(e) == bin_of(F.get(m, i)))
         ordered = F.transform(F.sort_array(F.transform(own, place)), lambda p: F.get(F.col("_h"), p))
         return F.concat(F.lpad(F.lower(F.hex(bin_of(F.get(m, i)))), 2, "0"),
-                        F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(ordered), 32))), 8, "0"))
+                        F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(ordered), 40))), 6, "0"))
 
     return a.select(*keep, F.concat_ws(".", F.transform("_f", entry)).alias(name))
 
@@ -74,21 +74,18 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def neighbours(keys: DataFrame) -> DataFrame:
-    """Of keys (doc_id, th, n), each row once: the same with those of the next row in descending order, and
-    of the row before; the last row's next is the first. Range-partitioned, so no task sees all rows; what
-    crosses a border is one row per partition."""
-    k = written(keys.repartitionByRange(F.desc("doc_id"), F.desc("th")).withColumn("_p", F.spark_partition_id()), "omh-keys")
-    me = F.struct("doc_id", "th", "n")
-    inside = Window.partitionBy("_p").orderBy(F.desc("doc_id"), F.desc("th"))
-    ends = k.groupBy("_p").agg(F.max(me).alias("head"), F.min(me).alias("tail"))
-    over = Window.orderBy("_p")
-    whole = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select(F.col("_p").alias("_q"),
-                       F.coalesce(F.lead("head").over(over), F.first("head").over(whole)).alias("_head"),
-                       F.coalesce(F.lag("tail").over(over), F.last("tail").over(whole)).alias("_tail"))
-    x = k.withColumns({"_next": F.lead(me).over(inside), "_back": F.lag(me).over(inside)})
-    x = x.join(ends, F.col("_p") == F.col("_q"))
-    return x.select("doc_id", "th", "n", F.coalesce("_next", "_head").alias("next"), F.coalesce("_back", "_tail").alias("back"))
+    """Of (doc_id, kd, th, n), each key once: the same with `back`, the key before it in descending order of
+    doc_id (nulls last), whose next it is; before the first stands the last. Range-partitioned, so no task
+    sees all rows; what crosses a border is one row per partition."""
+    order = [F.col("doc_id").desc_nulls_last(), F.desc("th")]
+    k = written(keys.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "omh-ordered")
+    me = F.struct("kd", "th", "n")
+    rank = F.struct(F.col("doc_id").isNotNull(), "kd", "th")  # the same order, as one value
+    tails = k.groupBy(F.col("_p").alias("_q")).agg(F.min_by(me, rank).alias("_tail"))
+    whole = Window.orderBy("_q").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    tails = tails.select("_q", F.coalesce(F.lag("_tail").over(Window.orderBy("_q")), F.last("_tail").over(whole)).alias("_tail"))
+    x = k.withColumn("_back", F.lag(me).over(Window.partitionBy("_p").orderBy(*order)))
+    return x.join(tails, F.col("_p") == F.col("_q")).select("doc_id", "kd", "th", "n", F.coalesce("_back", "_tail").alias("back"))
 
 
 def fingerprint_pairs(docs: DataFrame, k=K, bins=BINS, per_bin=PER_BIN) -> DataFrame:
@@ -96,21 +93,23 @@ def fingerprint_pairs(docs: DataFrame, k=K, bins=BINS, per_bin=PER_BIN) -> DataF
     next document's. Edited: the last floor(n / 2) code points replaced by as many of the next text's first.
 
     A text moves once to meet its neighbours' lengths, and the half that its predecessor needs once more."""
-    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    keys = d.select("doc_id", "th", F.length("text").alias("n")).distinct()
-    near = written(neighbours(keys).select(
-        F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "n", F.col("back.doc_id").alias("back_id"),
-        F.col("back.th").alias("back_th"), F.col("back.n").alias("back_n")), "omh-neighbours")
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # a key without nulls, so that equal keys are dealt alike by every join
+    d = d.withColumns({"kd": F.coalesce("doc_id", F.lit(0)).cast("long"), "th": F.xxhash64(F.col("doc_id").isNull(), "text")})
+    keys = written(d.groupBy("doc_id", "kd", "th").agg(F.first(F.length("text")).alias("n"), F.count(F.lit(1)).alias("rows")), "omh-keys")
+    if keys.filter("rows > 1").limit(1).count():
+        d = d.dropDuplicates(["kd", "th"])
+    near = written(neighbours(keys.drop("rows")), "omh-neighbours")
     half = lambda n: F.floor(n / 2).cast("int")
-    own = with_fingerprint(d, "text", "fingerprint", k, bins, per_bin)
-    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))
-    met = own.join(near, on).drop("_d", "_t").dropDuplicates(["doc_id", "th"])
-    there = met.select(F.col("back_id").alias("_d"), F.col("back_th").alias("_t"),
-                       F.substring("text", F.lit(1), half(F.col("back_n"))).alias("_lead"),
+    # both sides below are cut from this, and its exchange is made once
+    own = with_fingerprint(d.select("kd", "th", "text"), "text", "fingerprint", k, bins, per_bin)
+    met = own.join(near, ["kd", "th"])
+    there = met.select(F.col("back.kd").alias("kd"), F.col("back.th").alias("th"),
+                       F.substring("text", F.lit(1), half(F.col("back.n"))).alias("_lead"),
                        F.col("fingerprint").alias("_next_print"))
-    x = met.select("doc_id", "th", F.col("n").cast("long").alias("n_chars"), "fingerprint",
+    x = met.select("kd", "th", "doc_id", F.col("n").cast("long").alias("n_chars"), "fingerprint",
                    F.substring("text", F.lit(1), (F.col("n") - half(F.col("n"))).cast("int")).alias("_head"))
-    x = x.join(there, on).select("doc_id", "n_chars", "fingerprint", "_next_print", F.concat("_head", "_lead").alias("_edited"))
+    x = x.join(there, ["kd", "th"]).select("doc_id", "n_chars", "fingerprint", "_next_print", F.concat("_head", "_lead").alias("_edited"))
     x = with_fingerprint(x, "_edited", "edited_fingerprint", k, bins, per_bin)
     return x.select("doc_id", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
                     likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
