@@ -14,16 +14,20 @@ the same doc_id. A text of any length is tokenised whole. No rows: no rows.
 """
 
 import os
+import re
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from parley.llm.memo import Memo
+
 CAPACITY = 4096
 TOLERANCE = 1 / 64
 END_ID = 2
-#: Words kept with their ids per task, and the longest that is kept.
+#: Words kept with their ids per worker process and generation, and the longest that is kept.
 MEMO_SIZE, MEMO_CHARS = 400_000, 48
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, class int")
@@ -44,6 +48,11 @@ def cuts(n: int, capacity: int = CAPACITY, tolerance: float = TOLERANCE) -> list
     return out
 
 
+WORD_END = "</w>"
+#: A stop or comma next to another mark, with which it makes one pre-token.
+_MARKS_TOGETHER = re.compile(r"[.,](?:(?<=[^\w\s][.,])|(?<=_[.,])|(?=[^\w\s]|_))")
+
+
 class Packer:
     """Takes documents' ids (as 4-byte little-endian integers) and gives rows of PIECES."""
 
@@ -95,45 +104,78 @@ class Packer:
         return pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
 
 
-class WordIds(dict):
-    """Word -> its ids as bytes. Words between blanks and line ends are tokenised alone: the tokenizer
-    drops white space and no token spans it, so this gives the ids of the whole text."""
+class WordIds:
+    """Ids of texts as bytes, by way of the ids of their words.
+
+    A text is cut at blanks and line ends: the tokenizer drops white space and no token spans it, so the
+    words' ids in a row are the text's. Where it changes no id, the text is brought to fewer different
+    words first: lower case in Latin-1 texts (the tokenizer lower-cases; beyond Latin-1 case and composition
+    have more rules), and single stops and commas are set apart (they are tokens of their own). Words not
+    known yet go to the tokenizer together."""
 
     def __init__(self, tokenizer):
-        super().__init__({"": b""})
         self.tokenizer = tokenizer
-
-    def learn(self, words) -> dict:
-        """What the unknown words among `words` are; those that are short stay."""
-        new = [w for w in words if w not in self]
-        if not new:
-            return {}
-        if len(self) + len(new) > MEMO_SIZE:
-            self.clear()
-            self[""] = b""
-            new = list(words)
-        got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        out = {}
-        for w, e in zip(new, got):
-            ids = b"".join(i.to_bytes(4, "little") for i in e.ids)
-            if len(w) <= MEMO_CHARS and len(self) < MEMO_SIZE:
-                self[w] = ids
-            else:
-                out[w] = ids
-        return out
+        self.known = Memo(self._alone, MEMO_SIZE, lambda w: len(w) <= MEMO_CHARS)
+        size = tokenizer.get_vocab_size()
+        self.ends = np.zeros(size, bool)
+        self.ends[[i for t, i in tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
+
+    def _alone(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, words) -> None:
+        words = [w for w in words if w not in self.known and len(w) <= MEMO_CHARS]
+        # letters only: one pre-token, whose last id and no other ends a word
+        plain = [w for w in words if w.isalpha()]
+        (e,) = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
+        ids = np.array(e.ids, np.int64)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == len(plain):
+            raw, a = ids.astype("<u4").tobytes(), 0
+            for w, b in zip(plain, (4 * ends).tolist()):
+                self.known.put(w, raw[a:b])
+                a = b
+        rest = [w for w in words if not w.isalpha()]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.known.put(w, np.array(e.ids, "<u4").tobytes())
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+        if not _MARKS_TOGETHER.search(text):
+            text = text.replace(".", " .").replace(",", " ,")
+        return text.replace("\n", " ").split(" ")
+
+    def of(self, texts: list[str]):
+        for k in range(0, len(texts), 256):
+            parts = [self._words(t) for t in texts[k: k + 256]]
+            self._learn(set().union(*parts))
+            for words in parts:
+                yield b"".join(map(self.known.__getitem__, words))
+
+
+_WORKER = {}
+
+
+def worker_words(model: str) -> WordIds:
+    """The answers of this worker process, which later tasks with the same tokenizer find warm."""
+    from tokenizers import Tokenizer
+
+    if model not in _WORKER:
+        _WORKER.clear()
+        _WORKER[model] = WordIds(Tokenizer.from_str(model))
+    return _WORKER[model]
 
 
 def document_ids(texts, known: WordIds, end_id: int = END_ID):
     """Ids of each text with the end's, as bytes."""
     end = end_id.to_bytes(4, "little")
-    for k in range(0, len(texts), 64):
-        parts = [t.replace("\n", " ").split(" ") for t in texts[k: k + 64]]
-        long = known.learn(set().union(*parts))
-        for words in parts:
-            if long:
-                yield b"".join([known[w] if w in known else long[w] for w in words]) + end
-            else:
-                yield b"".join(map(known.__getitem__, words)) + end
+    for ids in known.of(list(texts)):
+        yield ids + end
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
@@ -144,9 +186,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        known = WordIds(Tokenizer.from_str(model))
+        known = worker_words(model)
         packer = Packer(TaskContext.get().partitionId() << 40, capacity, tolerance)
         for b in batches:
             texts = list(b["text"].fillna(""))
