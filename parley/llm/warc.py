@@ -70,9 +70,12 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT)
     p = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"),
                      F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
     p = p.withColumn("digest", F.sha2("payload", 256))
-    sample = p.filter(F.length("payload") > 0).select(F.substring("payload", 1, TRAIN_BYTES).alias("b"),
-                                                      F.xxhash64("digest", "page_id").alias("h"))
-    sample = [bytes(r["b"]) for r in sample.orderBy("h").limit(TRAIN_ROWS).collect()]
+    # a bounded sample by hash: only numbers are sorted, then the payloads under the last of them come back
+    named = p.filter(F.length("payload") > 0).withColumn("h", F.xxhash64("digest", "page_id"))
+    last = named.select("h").distinct().orderBy("h").limit(TRAIN_ROWS).agg(F.max("h")).first()[0]
+    chosen = [] if last is None else named.filter(F.col("h") <= last).select(
+        F.substring("payload", 1, TRAIN_BYTES).alias("b"), "h").limit(TRAIN_ROWS).orderBy("h").collect()
+    sample = [bytes(r["b"]) for r in chosen]
     dictionary = train_dictionary(sample)
     # equal payloads: only those that occur twice move; partial sums make a hot payload cheap
     first = p.filter(F.octet_length("payload") >= min_revisit).groupBy(F.col("digest").alias("_digest")).agg(
