@@ -8,7 +8,7 @@ from parley import constants as C
 # Java's Unicode \s lacks the four separators U+001C..U+001F that count as white space here.
 _SPACE = r"[\s\x1c-\x1f]"
 _WORD = r"[^\s\x1c-\x1f]"
-_CUE = "(?iuU)" + C.REQUEST_CUE
+_CUE = "(?iuU)" + C.REQUEST_CUE.replace(r"\s", _SPACE)
 FILE_NAME = r"^([^\n]+)_channel([12])\.wav\z"
 
 

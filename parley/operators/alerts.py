@@ -1,7 +1,7 @@
 """Hourly counts per cluster, trailing z-score, alerts.
 
-The raw events are touched once, by the hourly count. Grid, windows and joins that follow see
-hours x clusters rows, whatever the number of events.
+The hourly count reduces the raw events; grid, windows and joins that follow see hours x clusters rows,
+whatever the number of events.
 """
 
 from datetime import datetime, timezone
@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from parley import constants as C
 from parley.functions import display as D
-from parley.operators.quality import require_none
 from parley.operators.ranking import top_per_group
 
 HOUR_MICROS = 3_600_000_000
@@ -37,24 +36,43 @@ def bucket_start(offset, start: datetime):
     )
 
 
-def out_of_range_events(events: DataFrame, start, hours, cluster_count=None) -> DataFrame:
-    """Events outside the hours, or of a cluster id outside 0..cluster_count-1."""
+def _outside(start, hours, cluster_count=None):
     hour = hour_offset("ts", start)
     bad = F.coalesce(~hour.between(0, hours - 1), F.lit(True))
     if cluster_count is not None:
         bad = bad | F.coalesce(~F.col("cluster_id").between(0, cluster_count - 1), F.lit(True))
-    return events.where(bad)
+    return bad
 
 
-def hourly_counts(events: DataFrame, start, hours, strict=False, cluster_count=None) -> DataFrame:
-    """(cluster_id, hour, n) of the hours that have events."""
-    if strict:
-        require_none(out_of_range_events(events, start, hours, cluster_count), "event out of range")
-    return (
-        events.groupBy("cluster_id", hour_offset("ts", start).alias("hour"))
-        .agg(F.count("*").alias("n"))
-        .where(F.col("hour").between(0, hours - 1))
-    )
+def out_of_range_events(events: DataFrame, start, hours, cluster_count=None) -> DataFrame:
+    """Events without a time, outside the hours, or of a cluster id outside 0..cluster_count-1."""
+    return events.where(_outside(start, hours, cluster_count))
+
+
+def observed_hours(events: DataFrame) -> tuple[datetime, int]:
+    """(first hour in UTC, hours up to the last event's) of a table of events; one hour when it is empty."""
+    ends = events.agg(F.unix_micros(F.min("ts")).alias("lo"), F.unix_micros(F.max("ts")).alias("hi")).first()
+    if ends.lo is None:
+        return datetime.fromtimestamp(0, timezone.utc), 1
+    first, last = ends.lo // HOUR_MICROS, ends.hi // HOUR_MICROS
+    return datetime.fromtimestamp(first * 3600, timezone.utc), int(last - first + 1)
+
+
+def hourly_counts(events: DataFrame, start, hours, cluster_count=None, rejects=False):
+    """(cluster_id, hour, n) of the hours that have events.
+
+    An event that is out of range stops the job when it is met. With `rejects` the result is
+    (counts, out-of-range events) instead, and nothing is lost either.
+    """
+    if hours < 1:
+        raise ValueError("there must be an hour at least")
+    bad, hour = _outside(start, hours, cluster_count), hour_offset("ts", start)
+    if rejects:
+        events, handed_back = events.where(~bad), events.where(bad)
+    else:
+        hour = F.when(bad, F.raise_error(F.lit("event out of range")).cast("int")).otherwise(hour)
+    counts = events.groupBy("cluster_id", hour.alias("hour")).agg(F.count("*").alias("n"))
+    return (counts, handed_back) if rejects else counts
 
 
 def cluster_range(spark, cluster_count) -> DataFrame:
@@ -63,6 +81,8 @@ def cluster_range(spark, cluster_count) -> DataFrame:
 
 def dense_hours(counts: DataFrame, clusters: DataFrame, start, hours) -> DataFrame:
     """Every cluster x every hour, with 0 where nothing happened."""
+    if hours < 1:
+        raise ValueError("there must be an hour at least")
     grid = clusters.select(
         "cluster_id", F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias("hour")
     )
@@ -72,9 +92,10 @@ def dense_hours(counts: DataFrame, clusters: DataFrame, start, hours) -> DataFra
     )
 
 
-def dense_hourly_counts(events, start, hours, clusters=None, strict=False, cluster_count=None):
-    """Dense hourly series. The clusters are those given, 0..cluster_count-1, or those seen."""
-    counts = hourly_counts(events, start, hours, strict, cluster_count)
+def dense_hourly_counts(events, start, hours, clusters=None, cluster_count=None):
+    """Dense hourly series. The clusters are those given, 0..cluster_count-1, or those seen. An event out
+    of range stops the job; `hourly_counts` can hand such events back."""
+    counts = hourly_counts(events, start, hours, cluster_count)
     if clusters is None:
         if cluster_count is not None:
             clusters = cluster_range(events.sparkSession, cluster_count)
@@ -132,15 +153,17 @@ def attach_terms(df: DataFrame, terms: DataFrame, cluster_col="cluster_id") -> D
     )
 
 
-def alert_events(events: DataFrame, alerts: DataFrame, event_id="event_id", limit=3) -> DataFrame:
-    """First events, in event order, of every alert's cluster and hour.
+def alert_events(events: DataFrame, alerts: DataFrame, start, event_id="event_id", limit=3) -> DataFrame:
+    """First events, in event order, of every alert's cluster and hour; hours count from `start`, as those
+    of the alerts do, whatever the session's time zone.
 
-    Every hour is cut to `limit` events before it meets the alerts: each task keeps `limit` rows
-    per hour ahead of the shuffle, so an hour that holds most events is never moved as a whole.
+    Alerts are few: events that are in none go first, by a semi-join on the alert keys. What is left is
+    cut to `limit` rows per hour in every task ahead of the shuffle, so a hot hour is never moved whole.
     """
-    keyed = events.withColumn("bucket_ts", F.date_trunc("hour", "ts"))
-    first = top_per_group(keyed, ["cluster_id", "bucket_ts"], ["ts", event_id], limit)
-    return first.join(alerts.select("cluster_id", "bucket_ts"), ["cluster_id", "bucket_ts"])
+    keyed = events.withColumn("bucket_ts", bucket_start(hour_offset("ts", start), start))
+    keys = alerts.select("cluster_id", "bucket_ts")
+    return top_per_group(keyed.join(keys, ["cluster_id", "bucket_ts"], "left_semi"), ["cluster_id", "bucket_ts"],
+                         ["ts", event_id], limit)
 
 
 def alert_diff(control: DataFrame, changed: DataFrame) -> DataFrame:

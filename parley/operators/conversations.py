@@ -8,31 +8,18 @@ from parley.operators.profile import exactly
 from parley.operators.quality import require_none
 
 TURN_SEPARATOR = "\n"
-# A cell of a table cannot grow without end; channels above this stay as rows.
-MAX_CELL_CHARS = 500_000_000
 
 
-def assemble_channels(turns: DataFrame, keys, turn_col="turn", text_col="text",
-                      max_cell_chars=MAX_CELL_CHARS):
-    """(channels, oversize turns): turn texts of a channel joined in turn order into one text.
+def assemble_channels(turns: DataFrame, keys, turn_col="turn", text_col="text") -> DataFrame:
+    """Turn texts of a channel joined in turn order into one text.
 
-    The sizes are summed first, and the turns of a channel too large for one cell are handed back
-    as they are. There can be no more such channels than the input size over `max_cell_chars`, so
-    their keys are small.
+    A channel is one record of one call, a cell of the table by the data model; whatever its size, it
+    is treated alike, and a text that exceeds what a cell can hold stops the job.
     """
     keys = list(keys)
-    size = F.sum(F.coalesce(F.length(text_col), F.lit(0)) + F.lit(1))
-    oversize = turns.groupBy(*keys).agg(size.alias("chars")).where(F.col("chars") > max_cell_chars)
-    oversize = oversize.select(*[F.col(k).alias(f"big_{k}") for k in keys])
-    match = [turns[k].eqNullSafe(oversize[f"big_{k}"]) for k in keys]
-    condition = match[0]
-    for more in match[1:]:
-        condition = condition & more
-    fits = turns.join(oversize, condition, "left_anti")
     ordered = F.array_sort(F.collect_list(F.struct(turn_col, text_col)))
     texts = F.transform(ordered, lambda t: t[text_col])
-    channels = fits.groupBy(*keys).agg(F.array_join(texts, TURN_SEPARATOR).alias(text_col))
-    return channels, turns.join(oversize, condition, "left_semi")
+    return turns.groupBy(*keys).agg(F.array_join(texts, TURN_SEPARATOR).alias(text_col))
 
 
 def paired_calls(records: DataFrame) -> DataFrame:

@@ -8,9 +8,6 @@ from parley.functions import text as T
 from parley.operators.ranking import hash_order, rank_by_hash
 
 
-MAX_LABELS = 100_000
-
-
 def split_thresholds(examples: DataFrame, label_col="domain", id_col="conversation_id",
                      test_share=C.TEST_SHARE, seed=C.SEED) -> DataFrame:
     """(label, threshold): the last hash of a label that still belongs to the test part.
@@ -29,18 +26,14 @@ def stratified_split(examples: DataFrame, label_col="domain", id_col="conversati
                      test_share=C.TEST_SHARE, seed=C.SEED) -> DataFrame:
     """Add `part` ('test' or 'train'): every label gives its rounded share to the test part.
 
-    The thresholds, one short row per label, are worked out once. Every later pass over either part
-    is then a plain filter on the scan: no sort and no shuffle of texts. Up to MAX_LABELS of them
-    are broadcast; more are joined.
+    The thresholds, one short row per label, are joined to the rows, null-safe; Spark picks the way by
+    their size. The rows themselves are not ranked, so their texts are never sorted.
     """
-    cut = split_thresholds(examples, label_col, id_col, test_share, seed)
-    rows = cut.limit(MAX_LABELS + 1).collect()
-    if len(rows) <= MAX_LABELS:
-        cut = F.broadcast(examples.sparkSession.createDataFrame(rows, cut.schema))
+    cut = split_thresholds(examples, label_col, id_col, test_share, seed).withColumnRenamed(label_col, "_label")
     in_test = F.coalesce(hash_order(seed, id_col) <= F.col("_threshold"), F.lit(False))
-    return examples.join(cut, label_col, "left").withColumn(
+    return examples.join(cut, F.col(label_col).eqNullSafe(F.col("_label")), "left").withColumn(
         "part", F.when(in_test, F.lit("test")).otherwise(F.lit("train"))
-    ).drop("_threshold")
+    ).drop("_threshold", "_label")
 
 
 def split_overlap(train: DataFrame, test: DataFrame, id_col="conversation_id") -> DataFrame:

@@ -1,9 +1,8 @@
 """TF-IDF, as tables and as a Spark ML pipeline.
 
-The relational form keeps one row per (document, term) and is checked against SQL. The documents
-are shuffled once by id; counting terms per document and the length of a
-document's vector then stay inside the partition. Only the document frequencies are shuffled by
-term, after a partial count in every task, so a common word is no hot key.
+The relational form keeps one row per (document, term) and is checked against SQL. Terms are counted
+inside a document's own row, so no text is shuffled; the document frequencies are shuffled by term,
+after a partial count in every task, so a common word is no hot key.
 """
 
 from pyspark.ml import Pipeline
@@ -19,27 +18,31 @@ from parley import constants as C
 from parley.functions import text as T
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def exploded(df: DataFrame, array, out, *keep) -> DataFrame:
     """One row per array element. The outer form keeps the optimizer from computing the array a
     second time for an inferred "is not empty" filter."""
     return df.select(*keep, F.explode_outer(array).alias(out)).where(F.col(out).isNotNull())
 
 
-def term_counts(docs: DataFrame, terms, id_col="conversation_id", text_col="customer_text") -> DataFrame:
-    """(id, term, tf): occurrences of every term in every document. Ids must be unique.
+def counted_terms(docs: DataFrame, terms, id_col="conversation_id") -> DataFrame:
+    """(id, counts): the terms of a document with their counts, as an array of (term, tf) in its row.
 
-    The raw text is what is shuffled: it is smaller than its tokens. The number of partitions is
-    the session's, stated here because the run-time merging of small partitions looks at the bytes
-    shuffled and not at the rows that a text unfolds into.
+    The sorted terms are cut into runs of equal ones, so counting needs no shuffle and no text moves.
     """
-    spread = docs.select(id_col, text_col).repartition(shuffle_partitions(docs), id_col)
-    return (
-        exploded(spread, terms, "term", id_col).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
-    )
+    ordered = docs.select(id_col, F.sort_array(terms).alias("_t"))
+    t = F.col("_t")
+    starts = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i - 1) != F.get(t, i)))
+    runs = ordered.select(id_col, "_t", F.when(F.size(t) > 0, starts).otherwise(F.array().cast("array<int>")).alias("_s"))
+    s = F.col("_s")
+    counts = F.transform(s, lambda i, k: F.struct(
+        F.get(t, i).alias("term"), (F.coalesce(F.get(s, k + 1), F.size(t)) - i).cast("long").alias("tf")))
+    return runs.select(id_col, counts.alias("counts"))
+
+
+def term_counts(docs: DataFrame, terms, id_col="conversation_id", text_col="customer_text") -> DataFrame:
+    """(id, term, tf): occurrences of every term in every document. Ids must be unique."""
+    pairs = exploded(counted_terms(docs, terms, id_col), "counts", "_c", id_col)
+    return pairs.select(id_col, "_c.term", "_c.tf")
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -59,9 +62,6 @@ def vocabulary(frequencies: DataFrame, doc_count, min_df=C.CLUSTER_MIN_DF, max_d
     return kept.withColumn("idf", idf)
 
 
-BROADCAST_TERMS = 200_000
-
-
 def tfidf_weights(docs: DataFrame, terms=None, id_col="conversation_id", text_col="customer_text",
                   min_df=C.CLUSTER_MIN_DF, max_df=C.CLUSTER_MAX_DF,
                   max_features=C.CLUSTER_MAX_FEATURES) -> DataFrame:
@@ -70,10 +70,7 @@ def tfidf_weights(docs: DataFrame, terms=None, id_col="conversation_id", text_co
     counts = term_counts(docs, terms, id_col, text_col)
     doc_count = docs.agg(F.count("*").alias("n")).scalar()
     terms_kept = vocabulary(document_frequency(counts), doc_count, min_df, max_df, max_features)
-    side = terms_kept.select("term", "idf")
-    if max_features is not None and max_features <= BROADCAST_TERMS:
-        side = F.broadcast(side)  # at most max_features short rows, by the limit above
-    raw = counts.join(side, "term").withColumn("_w", F.col("tf") * F.col("idf"))
+    raw = counts.join(terms_kept.select("term", "idf"), "term").withColumn("_w", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
     return raw.select(id_col, "term", (F.col("_w") / length).alias("weight"))
 

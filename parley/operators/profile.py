@@ -67,12 +67,10 @@ def text_length_stats(records: DataFrame, text_col="text") -> DataFrame:
     )
 
 
-def named_records(records: DataFrame) -> DataFrame:
-    """Records with a well-formed file name, with call_id and channel."""
-    return (
-        records.withColumn("call_id", T.call_id("file_name"))
-        .where("call_id <> ''").withColumn("channel", T.channel("file_name"))
-    )
+def named_records(records: DataFrame, malformed=False) -> DataFrame:
+    """Records with call_id and channel; those with a malformed file name only if asked for."""
+    named = records.withColumn("call_id", T.call_id("file_name")).withColumn("channel", T.channel("file_name"))
+    return named if malformed else named.where("call_id <> ''")
 
 
 def one_value(column: str) -> Column:
@@ -89,9 +87,10 @@ def exactly(column: str, *values) -> Column:
     return reduce(lambda a, b: a & b, held)
 
 
-def call_groups(records: DataFrame) -> DataFrame:
-    """One row per (split, call): group size and which pairing rules hold."""
-    return named_records(records).groupBy("split", "call_id").agg(
+def call_groups(records: DataFrame, malformed=False) -> DataFrame:
+    """One row per (split, call): group size and which pairing rules hold. With `malformed`, records
+    without a call id are counted too, under the id ''."""
+    return named_records(records, malformed).groupBy("split", "call_id").agg(
         F.count("*").alias("n"),
         exactly("channel", 1, 2).alias("channels_ok"),
         exactly("role", "agent", "customer").alias("roles_ok"),
@@ -106,21 +105,22 @@ def call_group_sizes(records: DataFrame) -> DataFrame:
     )
 
 
+def _nameless() -> Column:
+    return F.col("call_id") == ""
+
+
 def _complete() -> Column:
     return (F.col("n") == 2) & F.col("channels_ok") & F.col("roles_ok") & F.col("domain_ok")
 
 
 def pair_completeness(records: DataFrame) -> DataFrame:
     """Calls, calls of exactly two records, complete pairs, malformed names, broken groups."""
-    calls = call_groups(records).agg(
-        F.count("*").alias("calls"),
-        F.count_if(F.col("n") == 2).alias("exactly_two"),
-        F.count_if(_complete()).alias("complete"),
-    )
-    malformed = records.agg(F.count_if(T.call_id("file_name") == "").alias("n")).scalar()
-    return calls.withColumn("malformed", malformed).withColumn(
-        "broken", F.col("calls") - F.col("complete") + F.col("malformed")
-    )
+    return call_groups(records, malformed=True).agg(
+        F.count_if(~_nameless()).alias("calls"),
+        F.count_if(~_nameless() & (F.col("n") == 2)).alias("exactly_two"),
+        F.count_if(~_nameless() & _complete()).alias("complete"),
+        F.coalesce(F.sum(F.when(_nameless(), F.col("n"))), F.lit(0)).alias("malformed"),
+    ).withColumn("broken", F.col("calls") - F.col("complete") + F.col("malformed"))
 
 
 def pair_anomalies(records: DataFrame) -> DataFrame:

@@ -31,11 +31,13 @@ def rank_by_hash(df: DataFrame, group_col, id_col, seed, digits=BUCKET_HEX_DIGIT
         .drop("_n")
     )
     inside = Window.partitionBy(group_col, "_b").orderBy("_h", id_col)
+    # null-safe: rows of the null group, and rows without an id, have a place too
+    offsets = offsets.withColumnsRenamed({group_col: "_group", "_b": "_bucket"})
     return (
         keyed.withColumn("_rn", F.row_number().over(inside))
-        .join(offsets, [group_col, "_b"])
+        .join(offsets, F.col(group_col).eqNullSafe(F.col("_group")) & F.col("_b").eqNullSafe(F.col("_bucket")))
         .withColumn("rn", F.col("_off") + F.col("_rn"))
-        .drop("_h", "_b", "_off", "_rn")
+        .drop("_h", "_b", "_off", "_rn", "_group", "_bucket")
     )
 
 

@@ -25,12 +25,13 @@ def emerging_report(events: DataFrame, start, hours, terms: DataFrame, event_id=
     """
     series = dense_hourly_counts(events, start, hours, clusters)
     alerts = detect_alerts(series, **detection)
-    shown = alert_events(events, alerts, event_id, samples)
+    shown = alert_events(events, alerts, start, event_id, samples)
     keep = ["cluster_id", "bucket_ts", "rank", event_id]
     if texts is not None:
-        shown = shown.join(texts.select(text_key, text_col), text_key, "left").withColumn(
-            "preview", T.one_line(text_col, chars)
-        )
+        # only the texts that are shown move, and only their first characters
+        wanted = texts.join(shown.select(text_key).distinct(), text_key, "left_semi")
+        wanted = wanted.select(text_key, T.one_line(text_col, chars).alias("preview"))
+        shown = shown.join(wanted, text_key, "left")
         keep.append("preview")
     return EmergingReport(attach_terms(alerts, terms), shown.select(*keep))
 

@@ -213,7 +213,7 @@ def tfidf_weights(spark, sf):
     SELECT cluster_id, term, round(weight, 6) AS weight, CAST(rank AS INTEGER) AS rank FROM described""")
 def descriptive_terms(spark, sf):
     docs = I.document_conversations(spark, sf)
-    labels = docs.select("conversation_id", I.cluster_of_language().alias("cluster_id"))
+    labels = I.language_clusters(docs.select("conversation_id", "domain")).select("conversation_id", "cluster_id")
     top = K.descriptive_terms(X.tfidf_weights(docs), labels)
     return top.withColumn("weight", F.round("weight", 6))
 

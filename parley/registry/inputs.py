@@ -4,12 +4,11 @@ A few hand-made rows are added where the tables hold no broken row of a kind tha
 find; they come on top of the whole table.
 """
 
-from datetime import datetime
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley import constants as C
+from parley.operators.alerts import observed_hours
 from parley.operators.conversations import assemble_channels
 from parley.registry.base import sql_list, sql_text, table
 from parley.schemas import CHANNEL_RECORD
@@ -87,13 +86,9 @@ def turn_records(spark, sf_dir) -> DataFrame:
 
 
 def channel_records(spark, sf_dir) -> DataFrame:
-    """One record per call and side, the turns joined in order.
-
-    A side too large for one cell stays as its turns, so its call is found among the pair rejects.
-    """
+    """One record per call and side, the turns joined in order."""
     turns = table(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant"))
-    channels, oversize = assemble_channels(turns, ["conv_id", "role"])
-    channels = channels.unionByName(oversize.select(*channels.columns))
+    channels = assemble_channels(turns, ["conv_id", "role"])
     return _as_records(channels, _side_information(spark, sf_dir)).unionByName(_broken(spark))
 
 
@@ -154,16 +149,12 @@ DOCUMENTS_SQL = (
 )
 
 
-def cluster_of_language(column="domain"):
-    """A fixed cluster id per language, for operators that describe given clusters."""
-    return F.array_position(F.array(*[F.lit(x) for x in LANGUAGES]), F.col(column)).cast("int") - 1
-
-
-LANGUAGES = ("de", "en", "es", "fr")
+def language_clusters(docs, column="domain") -> DataFrame:
+    """`docs` with a cluster_id per language found in them, for operators that describe given clusters."""
+    return with_kind(docs, column)
 
 
-def sql_cluster_of_language(column="domain") -> str:
-    return f"CAST(list_position([{sql_list(LANGUAGES)}], {column}) - 1 AS INTEGER)"
+LANGUAGE_CLUSTER_SQL = "CAST(dense_rank() OVER (ORDER BY {column} NULLS FIRST) - 1 AS INTEGER)"
 
 
 def rule_predictions(spark, sf_dir) -> DataFrame:
@@ -187,35 +178,63 @@ PREDICTIONS_SQL = DOCUMENTS_SQL + """, predictions AS (
 
 # ---- events ----
 
-START = datetime(2024, 1, 1)
-HOURS = 720
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+# An event long after the others, of a kind of its own: hours and clusters must follow the data.
+LATE_EVENT = (-1, -1, "2024-02-20 07:30:00", "odd")
+
+
+def given_events(spark, sf_dir) -> DataFrame:
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type"
+    )
+    late = spark.createDataFrame([LATE_EVENT], "event_id long, user_id long, ts string, event_type string")
+    return events.unionByName(late.withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+def numbered_kinds(df, column) -> DataFrame:
+    """(column, cluster_id): the distinct values numbered from 0 by name; a null is the first of them."""
+    kinds = df.select(column).distinct()
+    return kinds.select(column, (F.row_number().over(Window.orderBy(F.col(column).asc_nulls_first())) - 1).alias("cluster_id"))
+
+
+def with_kind(df, column, seen=None) -> DataFrame:
+    """`df` with the cluster_id of its value, joined null-safe from the values that the data (`seen`, or
+    `df` itself) have."""
+    kinds = numbered_kinds(df if seen is None else seen, column).withColumnRenamed(column, "_kind")
+    return df.join(kinds, F.col(column).eqNullSafe(F.col("_kind")), "left").drop("_kind")
 
 
 def cluster_events(spark, sf_dir) -> DataFrame:
     """Events with cluster_id = place of the event type by name, and a UTC timestamp."""
-    events = table(spark, sf_dir, "events")
-    kinds = events.agg(F.array_sort(F.collect_set("event_type")).alias("kinds")).scalar()
-    return events.select(
-        "event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_type",
-        (F.array_position(kinds, F.col("event_type")).cast("int") - 1).alias("cluster_id"),
-    )
+    return with_kind(given_events(spark, sf_dir), "event_type")
+
+
+def event_hours(spark, sf_dir):
+    """(first hour, hours) that the events cover."""
+    return observed_hours(given_events(spark, sf_dir))
 
 
-EVENTS_SQL = """ev AS (
+_TABLE_EVENTS = "SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, event_type FROM events"
+_LATE_SQL = f" UNION ALL SELECT {LATE_EVENT[0]}, {LATE_EVENT[1]}, TIMESTAMP '{LATE_EVENT[2]}', '{LATE_EVENT[3]}'"
+_SPAN_SQL = """,
+  span AS (SELECT date_trunc('hour', min(ts)) AS h0,
+    CAST(date_diff('hour', date_trunc('hour', min(ts)), max(ts)) AS INTEGER) + 1 AS hours FROM given_ev)"""
+_NUMBERED_SQL = """, ev AS (
   SELECT event_id, user_id, ts, event_type,
-         CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS cluster_id,
-         CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 3600000000.0) AS INTEGER) AS hour
-  FROM events)"""
+         CAST(dense_rank() OVER (ORDER BY event_type NULLS FIRST) - 1 AS INTEGER) AS cluster_id,
+         CAST(floor((epoch_us(ts) - epoch_us((SELECT h0 FROM span))) / 3600000000.0) AS INTEGER) AS hour
+  FROM given_ev)"""
+EVENTS_SQL = f"given_ev AS ({_TABLE_EVENTS}{_LATE_SQL}){_SPAN_SQL}{_NUMBERED_SQL}"
+#: The same without the late event: what a stream of the table sees.
+LIVE_EVENTS_SQL = f"given_ev AS ({_TABLE_EVENTS}){_SPAN_SQL}{_NUMBERED_SQL}"
 
 
 def sql_series(source="ev", name="series") -> str:
     return f"""{name}_counts AS (SELECT cluster_id, hour, count(*) AS n FROM {source}
-    WHERE hour BETWEEN 0 AND 719 GROUP BY ALL),
-  {name} AS (SELECT k.cluster_id, h.hour, TIMESTAMP '2024-01-01' + to_hours(h.hour) AS bucket_ts,
+    GROUP BY ALL),
+  {name} AS (SELECT k.cluster_id, h.hour, (SELECT h0 FROM span) + to_hours(h.hour) AS bucket_ts,
     CAST(coalesce(c.n, 0) AS BIGINT) AS n
   FROM (SELECT DISTINCT cluster_id FROM {name}_counts) k
-  CROSS JOIN (SELECT CAST(range AS INTEGER) AS hour FROM range(720)) h
+  CROSS JOIN (SELECT CAST(unnest(range(hours)) AS INTEGER) AS hour FROM span) h
   LEFT JOIN {name}_counts c ON c.cluster_id = k.cluster_id AND c.hour = h.hour)"""
 
 
@@ -233,6 +252,7 @@ def sql_alerts(scored="scored", name="alerts") -> str:
 
 
 ALERTS_SQL = ", ".join([EVENTS_SQL, sql_series(), sql_scored(), sql_alerts()])
+LIVE_ALERTS_SQL = ", ".join([LIVE_EVENTS_SQL, sql_series(), sql_scored(), sql_alerts()])
 
 # ---- a text with a request in it ----
 
@@ -251,8 +271,9 @@ def cue_texts(spark, sf_dir) -> DataFrame:
 
 
 ODD_TEXTS = [
-    (-1, 0, "Hello, my name is Jo. I wanted to change my flight seat. Thanks.", "odd"),
-    (-1, 1, "Hello Jo. I'm looking for a new electricity service. Yes, that's right.", "odd"),
+    (-1, 0, "Good evening to you. I want to move the delivery to Friday. Nothing else.", "odd"),
+    (-1, 1, "Is that the shop? I'm calling about a kettle without a lid. It came today.", "odd"),
+    (-1, 7, "Well\x1cI'd\x1clike to pay", "odd"),
     (-1, 2, "  \t Well  I'd like to " + "pay the bill now " * 20, "odd"),
     (-1, 3, "He said \"I can't do it\"", "odd"),
     (-1, 4, "Yes! 😀 calling about a parcel", "odd"),
@@ -301,7 +322,7 @@ TFIDF_SQL = ", ".join([DOCUMENTS_SQL, sql_terms("docs", "conversation_id", "cust
   raw AS (SELECT conversation_id, term, tf * idf AS w FROM tf JOIN vocab USING (term)),
   weights AS (SELECT conversation_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY conversation_id)) AS weight FROM raw)"""
 DESCRIBE_SQL = TFIDF_SQL + f""",
-  lab AS (SELECT conversation_id, {sql_cluster_of_language()} AS cluster_id FROM docs),
+  lab AS (SELECT conversation_id, {LANGUAGE_CLUSTER_SQL.format(column='domain')} AS cluster_id FROM docs),
   sizes AS (SELECT cluster_id, count(*) AS size FROM lab GROUP BY ALL),
   means AS (SELECT cluster_id, term, sum(weight) / any_value(size) AS weight
     FROM weights JOIN lab USING (conversation_id) JOIN sizes USING (cluster_id) GROUP BY ALL HAVING sum(weight) > 0),

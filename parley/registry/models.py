@@ -191,7 +191,7 @@ def analyze(spark, sf):
 @query("cluster_metadata")
 def cluster_metadata(spark, sf):
     """Terms per cluster with the manifest of the model they describe, as written and read back."""
-    ks = len(I.LANGUAGES)
+    ks = I.numbered_kinds(I.document_conversations(spark, sf), "domain").count()
     rows = M.as_features(vectors(spark, sf), "embedding").select("_features").persist()
     try:
         model = M.fit_kmeans(rows, ks)

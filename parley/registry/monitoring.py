@@ -1,7 +1,5 @@
 """Queries: hourly counts, scores, alerts, report, streaming forms."""
 
-from datetime import timezone
-
 from pyspark.sql import functions as F
 
 from parley.operators import alerts as A
@@ -10,7 +8,7 @@ from parley.operators import features as X
 from parley.plans import emerging as M
 from parley.registry import inputs as I
 from parley.registry.base import query, sql_text, table
-from parley.registry.inputs import ALERTS_SQL, DESCRIBE_SQL, EVENTS_SQL, HOURS, START
+from parley.registry.inputs import ALERTS_SQL, DESCRIBE_SQL, LIVE_ALERTS_SQL, LIVE_EVENTS_SQL
 from parley.sources.workspace import new_path
 from parley.streaming import live as L
 
@@ -31,7 +29,7 @@ _SCORES_SQL = ", ".join(f"round({c}, 6) AS {c}" for c in _SCORES)
 
 
 def series(spark, sf):
-    return A.dense_hourly_counts(I.cluster_events(spark, sf), START, HOURS)
+    return A.dense_hourly_counts(I.cluster_events(spark, sf), *I.event_hours(spark, sf))
 
 
 def alerts(spark, sf):
@@ -39,9 +37,9 @@ def alerts(spark, sf):
 
 
 def document_terms(spark, sf):
-    """Descriptive terms of the documents of each language, as terms of clusters 0..3."""
+    """Descriptive terms of the documents of each language, as terms of numbered clusters."""
     docs = I.document_conversations(spark, sf)
-    labels = docs.select("conversation_id", I.cluster_of_language().alias("cluster_id"))
+    labels = I.language_clusters(docs.select("conversation_id", "domain")).select("conversation_id", "cluster_id")
     return K.terms_table(K.descriptive_terms(X.tfidf_weights(docs), labels))
 
 
@@ -93,12 +91,18 @@ def alerts_json_fields(spark, sf):
 _OPEN, _CLOSE = A.C.ALERT_SUBJECT_WITH_TERMS
 
 
+def _fixed(c, places):
+    """Decimals of the exact value. Only a multiple of 1/2^(places + 1) can be a true half, which goes up."""
+    ties = 2 ** (places + 1)
+    return f"printf('%.{places}f', CASE WHEN {c} * {ties} = floor({c} * {ties}) THEN {c} + 1e-9 ELSE {c} END)"
+
+
 @query("alert_text", f"""WITH {ALERTS_SQL}, {DESCRIBE_SQL},
   three AS (SELECT cluster_id, string_agg(term, ', ' ORDER BY rank) AS terms FROM described WHERE rank <= 3 GROUP BY ALL)
   SELECT strftime(bucket_ts, '%Y-%m-%d %H:%M') || ' UTC' AS time, CAST(a.cluster_id AS VARCHAR) AS cluster,
-    CAST(current_count AS VARCHAR) AS current, printf('%.2f', round(historical_mean, 2)) AS usual,
-    printf('%.4f', round(anomaly_score, 4)) AS score,
-    CASE WHEN increase_ratio IS NULL THEN '—' ELSE printf('%.2f', round(increase_ratio, 2)) || '×' END AS ratio,
+    CAST(current_count AS VARCHAR) AS current, {_fixed('historical_mean', 2)} AS usual,
+    {_fixed('anomaly_score', 4)} AS score,
+    CASE WHEN increase_ratio IS NULL THEN '—' ELSE {_fixed('increase_ratio', 2)} || '×' END AS ratio,
     CASE WHEN terms IS NULL THEN {sql_text(A.C.ALERT_SUBJECT_PLAIN)}
       ELSE {sql_text(_OPEN)} || terms || {sql_text(_CLOSE)} END || {sql_text(A.C.ALERT_PREDICATE)} AS summary
   FROM alerts a LEFT JOIN three t ON t.cluster_id = a.cluster_id""")
@@ -112,7 +116,7 @@ def alert_text(spark, sf):
       row_number() OVER (PARTITION BY x.cluster_id, x.bucket_ts ORDER BY e.ts, e.event_id) AS rank
     FROM alerts x JOIN ev e ON e.cluster_id = x.cluster_id AND e.hour = x.hour) a WHERE rank <= 3""")
 def alert_events(spark, sf):
-    found = A.alert_events(I.cluster_events(spark, sf), alerts(spark, sf))
+    found = A.alert_events(I.cluster_events(spark, sf), alerts(spark, sf), I.event_hours(spark, sf)[0])
     return found.select("event_id", "cluster_id", F.date_format("bucket_ts", _STAMP).alias("bucket"), "rank")
 
 
@@ -132,7 +136,7 @@ def _once_per_user(events):
   FROM alerts a FULL OUTER JOIN alerts2 b ON a.cluster_id = b.cluster_id AND a.bucket_ts = b.bucket_ts""")
 def alert_diff(spark, sf):
     events = I.cluster_events(spark, sf)
-    changed = A.detect_alerts(A.dense_hourly_counts(_once_per_user(events), START, HOURS))
+    changed = A.detect_alerts(A.dense_hourly_counts(_once_per_user(events), *I.event_hours(spark, sf)))
     diff = A.alert_diff(alerts(spark, sf), changed)
     return diff.select(
         "cluster_id", F.date_format("bucket_ts", _STAMP).alias("bucket"), "status",
@@ -159,17 +163,17 @@ def alert_summary(spark, sf):
 
 
 def user_calls(spark, sf):
-    """Events as calls of their user, with the cluster (by language) of the user's document."""
-    events = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
-    docs = table(spark, sf, "documents").select(
-        F.col("doc_id").alias("user_id"), I.cluster_of_language("lang").alias("cluster_id")
-    )
-    return events.join(docs, "user_id")
+    """Events as calls of their user, with the cluster (by language) of the user's document; an event of a
+    user without a document belongs to cluster -1."""
+    docs = I.language_clusters(table(spark, sf, "documents").select(F.col("doc_id").alias("user_id"), "lang"), "lang")
+    calls = I.given_events(spark, sf).drop("event_type").join(docs.drop("lang"), "user_id", "left")
+    return calls.withColumn("cluster_id", F.coalesce("cluster_id", F.lit(-1)))
 
 
-@query("emerging_report", f"""WITH calls AS (SELECT event_id, ts, text, {I.sql_cluster_of_language('lang')} AS cluster_id,
-    CAST(floor((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 3600000000.0) AS INTEGER) AS hour
-    FROM events JOIN documents ON doc_id = user_id),
+@query("emerging_report", f"""WITH {I.EVENTS_SQL}, spoken AS (SELECT doc_id, text,
+    {I.LANGUAGE_CLUSTER_SQL.format(column='lang')} AS cluster_id FROM documents),
+  calls AS (SELECT event_id, ts, text, coalesce(d.cluster_id, -1) AS cluster_id, hour
+    FROM ev LEFT JOIN spoken d ON doc_id = user_id),
   {I.sql_series('calls')}, {I.sql_scored()}, {I.sql_alerts()}, {_TERMS_SQL},
   samples AS (SELECT x.cluster_id, x.bucket_ts, substr(replace(c.text, chr(10), ' '), 1, 180) AS preview,
       row_number() OVER (PARTITION BY x.cluster_id, x.bucket_ts ORDER BY c.ts, c.event_id) AS rank
@@ -182,7 +186,7 @@ def user_calls(spark, sf):
 def emerging_report(spark, sf):
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("user_id"), "text")
     report = M.emerging_report(
-        user_calls(spark, sf), START, HOURS, document_terms(spark, sf), texts=texts,
+        user_calls(spark, sf), *I.event_hours(spark, sf), document_terms(spark, sf), texts=texts,
         text_key="user_id", text_col="text",
     )
     return _shown(
@@ -192,24 +196,23 @@ def emerging_report(spark, sf):
 
 
 def event_stream(spark, sf):
-    """The events table as a stream of cluster events."""
-    table(spark, sf, "events")
-    rows = (
-        spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet")
-        .parquet(sf)
-    )
-    kinds = F.array(*[F.lit(k) for k in I.EVENT_TYPES])
-    return rows.select(
-        F.col("ts").cast("timestamp").alias("ts"),
-        (F.array_position(kinds, F.col("event_type")).cast("int") - 1).alias("cluster_id"),
-    )
+    """The events table, a file or a folder of files, as a stream of cluster events."""
+    events = table(spark, sf, "events")
+    source = spark.readStream.schema(events.schema)
+    if any(f.rstrip("/").endswith("/events.parquet") for f in events.inputFiles()):
+        # a single file can only be streamed by way of its folder
+        rows = source.option("pathGlobFilter", "events.parquet").parquet(sf)
+    else:
+        rows = source.parquet(f"{sf}/events.parquet")
+    rows = I.with_kind(rows, "event_type", events)
+    return rows.select(F.col("ts").cast("timestamp").alias("ts"), "cluster_id")
 
 
 _CLOSED_SQL = "bucket_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
 
 
-@query("live_hourly_counts", f"""WITH {EVENTS_SQL}, b AS (
-    SELECT cluster_id, TIMESTAMP '2024-01-01' + to_hours(hour) AS bucket_ts, count(*) AS n FROM ev GROUP BY ALL)
+@query("live_hourly_counts", f"""WITH {LIVE_EVENTS_SQL}, b AS (
+    SELECT cluster_id, (SELECT h0 FROM span) + to_hours(hour) AS bucket_ts, count(*) AS n FROM ev GROUP BY ALL)
   SELECT cluster_id, {_BUCKET}, n FROM b WHERE {_CLOSED_SQL}""")
 def live_hourly_counts(spark, sf):
     path = new_path(spark, "live-counts")
@@ -218,9 +221,10 @@ def live_hourly_counts(spark, sf):
     return counts.select("cluster_id", F.date_format("bucket_ts", _STAMP).alias("bucket"), "n")
 
 
-@query("live_alerts", f"""WITH {ALERTS_SQL} SELECT {_BUCKET}, cluster_id, current_count, {_SCORES_SQL} FROM alerts
+@query("live_alerts", f"""WITH {LIVE_ALERTS_SQL} SELECT {_BUCKET}, cluster_id, current_count, {_SCORES_SQL} FROM alerts
     WHERE {_CLOSED_SQL}""")
 def live_alerts(spark, sf):
-    sink = L.AlertSink(spark, new_path(spark, "live-alerts"), START.replace(tzinfo=timezone.utc))
+    start, _ = A.observed_hours(table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts")))
+    sink = L.AlertSink(spark, new_path(spark, "live-alerts"), start)
     L.write_alerts_stream(event_stream(spark, sf), sink, new_path(spark, "live-alerts-log")).awaitTermination()
     return _shown(sink.alerts())

@@ -99,7 +99,7 @@ def pair_rejects(spark, sf):
     SELECT split || ':' || call_id AS conversation_id, cd AS domain, ct AS customer_text, agt AS agent_text,
       cs AS customer_speaker_id, ags AS agent_speaker_id FROM judged WHERE reject_reason IS NULL""")
 def build_conversations(spark, sf):
-    return V.build_conversations(I.channel_records(spark, sf))[0]
+    return V.build_conversations(I.channel_records(spark, sf), split_count=2)[0]
 
 
 BAD_EXAMPLES = [("-1", "", "en"), ("-2", " \n", "en"), ("-3", None, "en"), ("-4", "fine", None), ("-5", "fine", "")]

@@ -7,15 +7,16 @@ scoring of a micro-batch reads only the last `window` hours of that table.
 import os
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from parley import constants as C
+from parley.functions.display import in_utc
 from parley.operators.alerts import dense_hours, hour_offset, scored_buckets
 
 BUCKETS = "cluster_id int, bucket_ts timestamp, n long, batch_id long, dt date"
+STATE = "cluster_id int, last int"
 
 
 def hourly_counts_stream(events: DataFrame, delay="1 hour") -> DataFrame:
@@ -41,8 +42,10 @@ def write_hourly_counts(events: DataFrame, path, checkpoint, delay="1 hour", tri
 class AlertSink:
     """foreachBatch writer: stores closed hours, scores the new ones, stores their alerts.
 
-    A batch writes to folders that carry its number and overwrites them, so a batch that is run
-    again after a failure leaves the same tables.
+    What a batch needs of the past is the last hour and the clusters so far, which the batch before has
+    left in a small state table, and the buckets of the last `window` hours, found by date. So what a
+    batch reads does not grow with the history. A batch writes to folders that carry its number and
+    overwrites them, so a batch that is run again after a failure leaves the same tables.
     """
 
     def __init__(self, spark: SparkSession, path, start: datetime, clusters: DataFrame = None,
@@ -55,39 +58,46 @@ class AlertSink:
         self.scoring = {"window": window, "min_history": min_history, "std_floor": std_floor}
         self.buckets_path = os.path.join(path, "buckets")
         self.alerts_path = os.path.join(path, "alerts")
+        self.state_path = os.path.join(path, "state")
 
     def buckets(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(BUCKETS).parquet(self.buckets_path)
-        except AnalysisException:
-            return self.spark.createDataFrame([], BUCKETS)
+        return self.spark.read.schema(BUCKETS).parquet(self.buckets_path)
 
     def alerts(self) -> DataFrame:
         return self.spark.read.parquet(self.alerts_path)
 
+    def _state(self, batch_id):
+        return os.path.join(self.state_path, f"batch_id={batch_id}")
+
     def __call__(self, closed: DataFrame, batch_id: int) -> None:
-        closed.withColumn("dt", F.to_date("bucket_ts")).write.mode("overwrite").partitionBy(
-            "dt"
-        ).parquet(os.path.join(self.buckets_path, f"batch_id={batch_id}"))
-        stored = self.buckets().where(F.col("batch_id") <= batch_id)
+        folder = os.path.join(self.buckets_path, f"batch_id={batch_id}")
+        closed.withColumn("dt", F.to_date(in_utc("bucket_ts"))).write.mode("overwrite").partitionBy("dt").parquet(folder)
+        stored = self.spark.read.schema("cluster_id int, bucket_ts timestamp, n long, dt date").parquet(folder)
         hour = hour_offset("bucket_ts", self.start)
-        ends = stored.groupBy((F.col("batch_id") == batch_id).alias("new")).agg(
-            F.max(hour).alias("last")
-        ).collect()
-        last = {row.new: row["last"] for row in ends}
-        # Hours are emitted in order, so all up to the newest one are closed, empty ones too.
-        if True not in last:
+        now = stored.agg(F.max(hour).alias("last")).first()["last"]
+        if batch_id > 0:
+            before = self.spark.read.schema(STATE).parquet(self._state(batch_id - 1))
+        else:
+            before = self.spark.createDataFrame([], STATE)
+        past = before.agg(F.max("last").alias("last")).first()["last"]
+        past = -1 if past is None else past
+        last = past if now is None else max(past, now)
+        clusters = before.select("cluster_id").union(stored.select("cluster_id")).distinct()
+        clusters.withColumn("last", F.lit(last)).write.mode("overwrite").parquet(self._state(batch_id))
+        if now is None:
             return
-        first = max(last.get(False, -1) + 1, 0)
+        # Hours are emitted in order, so all up to the newest one are closed, empty ones too.
+        first = past + 1
         since = max(first - self.scoring["window"], 0)
         recent = self.start + timedelta(hours=since)
-        counts = stored.where(
-            (F.col("dt") >= F.lit(recent.date())) & (hour >= since)
+        day = recent.astimezone(timezone.utc).date()
+        counts = self.buckets().where(
+            (F.col("batch_id") <= batch_id) & (F.col("dt") >= F.lit(day)) & (hour >= since)
         ).select("cluster_id", (hour - since).alias("hour"), "n")
-        clusters = self.clusters
-        if clusters is None:
-            clusters = stored.select("cluster_id").distinct()
-        series = dense_hours(counts, clusters, recent, last[True] - since + 1)
+        known = self.clusters
+        if known is None:
+            known = self.spark.read.schema(STATE).parquet(self._state(batch_id)).select("cluster_id")
+        series = dense_hours(counts, known, recent, last - since + 1)
         new_from = F.lit((self.start + timedelta(hours=first)))
         found = scored_buckets(series, **self.scoring).where(
             (F.col("bucket_ts") >= new_from) & (F.col("current_count") >= self.minimum_count)

@@ -72,3 +72,10 @@ def test_encoded_documents_have_unit_length(spark):
     got = QUERIES["encode_long_texts"](spark, DATA).toPandas()
     norms = (got.value ** 2).groupby(got.conversation_id).sum()
     assert ((norms - 1).abs() < 5e-3).all()
+
+
+def test_live_queries_read_a_table_of_several_files(spark, duck, tmp_path):
+    folder = str(tmp_path / "events.parquet")
+    spark.read.parquet(f"{DATA}/events.parquet").repartition(3).write.parquet(folder)
+    for name in ("live_hourly_counts", "live_alerts"):
+        assert rows(QUERIES[name](spark, str(tmp_path)).toPandas()) == rows(duck.sql(ORACLES[name]).df())

@@ -96,14 +96,13 @@ def test_length_stats_of_no_rows_and_even_median(spark):
     assert (stats.min_length, stats.max_length, stats.mean_length, stats.median_length) == (1, 7, 3.5, 3.0)
 
 
-def test_turns_join_in_order_and_an_oversize_channel_stays_whole(spark):
+def test_turns_join_in_order(spark):
     turns = spark.createDataFrame(
         [(1, "u", 2, "third"), (1, "u", 0, "first"), (1, "u", 1, "second"), (2, "u", 0, "x" * 50), (2, "u", 1, "y")],
         "conv int, role string, turn int, text string",
     )
-    channels, oversize = V.assemble_channels(turns, ["conv", "role"], max_cell_chars=40)
-    assert [(r.conv, r.text) for r in channels.collect()] == [(1, "first\nsecond\nthird")]
-    assert sorted((r.conv, r.turn) for r in oversize.collect()) == [(2, 0), (2, 1)]
+    channels = V.assemble_channels(turns, ["conv", "role"])
+    assert sorted((r.conv, r.text) for r in channels.collect()) == [(1, "first\nsecond\nthird"), (2, "x" * 50 + "\ny")]
 
 
 def test_splits(spark):
