@@ -19,8 +19,10 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-#: Pre-tokens kept with their ids per task, and the longest that is kept.
-MEMO_SIZE, MEMO_CHARS = 300_000, 64
+from parley.llm.memo import Memo
+
+#: Pre-tokens kept with their ids per worker process and generation, and the longest that is kept.
+MEMO_SIZE, MEMO_CHARS = 300_000, 48
 _MASK = (1 << 64) - 1
 
 
@@ -80,58 +82,59 @@ class PerfectHash:
         return rank if rank >= 0 and self.tokens[rank] == token else None
 
 
-class Encoder(dict):
-    """Pre-token (text) -> ids, by looking it up in itself; keeps a bounded number of answers."""
+class Encoder:
+    """Ids of pre-tokens."""
 
     def __init__(self, table: PerfectHash):
-        super().__init__()
         self.table = table
+        self.memo = Memo(self.piece, MEMO_SIZE, lambda p: len(p) <= MEMO_CHARS)
+        self.ranks = {t: i for i, t in enumerate(table.tokens)}  # for the parts of a pre-token
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def piece(self, piece: str) -> tuple[int, ...]:
         raw = piece.encode("utf-8")
         rank = self.table.get(raw)
-        ids = (rank,) if rank is not None else tuple(self.merge(raw))
-        if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO_SIZE:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def merge(self, raw: bytes) -> list[int]:
+        return (rank,) if rank is not None else self.merge(raw)
+
+    def merge(self, raw: bytes) -> tuple[int, ...]:
         """Ids of bytes that are no token as a whole."""
-        get, n = self.table.get, len(raw)
+        ranks, n = self.ranks, len(raw)
+        get, push, pop = ranks.get, heapq.heappush, heapq.heappop
         end = list(range(1, n + 1))  # where the part that starts here ends; 0 once it is merged away
-        before = list(range(-1, n - 1))
-        heap = []
-
-        def offer(i):
-            j = end[i]
-            if j < n:
-                rank = get(raw[i:end[j]])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, i, j, end[j]))
-
-        for i in range(n):
-            offer(i)
+        before = list(range(-1, n))
+        # a pair is (rank, start, middle, end)
+        heap = [(rank, i, i + 1, i + 2) for i in range(n - 1) if (rank := get(raw[i:i + 2])) is not None]
+        heapq.heapify(heap)
         while heap:
-            _, i, j, k = heapq.heappop(heap)
-            if end[i] != j or end[j] != k:  # a part of it has changed since
+            _, i, j, k = pop(heap)
+            if end[i] != j or j == n or end[j] != k:  # a part of it has changed since
                 continue
-            end[i], end[j] = k, 0
-            if k < n:
-                before[k] = i
-                offer(i)
-            if before[i] >= 0:
-                offer(before[i])
+            end[i], end[j], before[k] = k, 0, i
+            if k < n and (rank := get(raw[i:end[k]])) is not None:
+                push(heap, (rank, i, k, end[k]))
+            h = before[i]
+            if h >= 0 and (rank := get(raw[h:k])) is not None:
+                push(heap, (rank, h, i, k))
         out, i = [], 0
         while i < n:
-            out.append(get(raw[i:end[i]]))
+            out.append(ranks[raw[i:end[i]]])
             i = end[i]
-        return out
+        return tuple(out)
+
+
+_WORKER = {}
+
+
+def worker_encoder(table: PerfectHash) -> Encoder:
+    """The encoder of this worker process, which later tasks with the same vocabulary find warm."""
+    name = hashlib.sha256(b"".join(table.tokens)).digest()
+    if name not in _WORKER:
+        _WORKER.clear()
+        _WORKER[name] = Encoder(table)
+    return _WORKER[name]
 
 
 def encode(texts, encoder: Encoder, pattern) -> list[list[int]]:
-    return [list(chain.from_iterable(map(encoder.__getitem__, pattern.findall(t)))) for t in texts]
+    return [list(chain.from_iterable(map(encoder.memo.__getitem__, pattern.findall(t)))) for t in texts]
 
 
 def decode(ids, tokens: list[bytes]) -> bytes:
@@ -143,7 +146,7 @@ def with_ids(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     table = PerfectHash(read_ranks(ranks_path))
 
     def run(batches):
-        encoder, split = Encoder(table), regex.compile(pattern)
+        encoder, split = worker_encoder(table), regex.compile(pattern)
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "ids": encode(b["text"].fillna(""), encoder, split)})
 
@@ -155,7 +158,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     table = PerfectHash(read_ranks(ranks_path))
 
     def run(batches):
-        encoder, split = Encoder(table), regex.compile(pattern)
+        encoder, split = worker_encoder(table), regex.compile(pattern)
         names, tokens = [str(i) for i in range(table.n)], table.tokens
         for b in batches:
             rows = []
