@@ -8,7 +8,7 @@ import numpy as np
 import zstandard
 from pyspark import TaskContext
 
-CHUNK_BYTES = 24_000_000
+CHUNK_BYTES = 8_000_000
 
 
 def chunk_rows(batches):

@@ -32,7 +32,7 @@ from parley.llm.common import written
 
 FOLDS, TEST, HELD = 10, 0, 1
 #: Characters of text per key range: it sets how much one reducer call holds.
-RANGE_CHARS = 8_000_000
+RANGE_CHARS = 4_000_000
 MEMO_SIZE = 400_000
 ADD = 0.1
 STEPS, FLOOR = 8, -40  # the histogram's steps per octave, and its least octave
