@@ -49,8 +49,9 @@ def cuts(n: int, capacity: int = CAPACITY, tolerance: float = TOLERANCE) -> list
 
 
 WORD_END = "</w>"
-#: A stop or comma next to another mark, with which it makes one pre-token.
-_MARKS_TOGETHER = re.compile(r"[.,](?:(?<=[^\w\s][.,])|(?<=_[.,])|(?=[^\w\s]|_))")
+#: A stop or comma next to another mark, with which it makes one pre-token. The lower case of U+0130 ends in
+#: a mark, and U+001C to U+001F are marks to the tokenizer.
+_MARKS_TOGETHER = re.compile(r"[.,](?:(?<=[^\w\s][.,])|(?<=[_\u0130\x1c-\x1f][.,])|(?=[^\w\s]|[_\x1c-\x1f]))")
 
 
 class Packer:
