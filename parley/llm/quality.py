@@ -157,7 +157,9 @@ def keep_good(docs: DataFrame, groups=("lang", "source")) -> DataFrame:
     """The rows of `docs` that are kept, columns unchanged. Texts are measured twice and never shuffled
     while the fences are few."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    sketch = written(sketches(with_stats(docs.select(*groups, "text")).drop("text"), groups), "quality-sketch")
-    limits = written(fences(sketch, groups), "quality-fences")
-    x = with_stats(docs.select(row, F.col("text").alias("_text"), *groups), "_text")
-    return attach_small(x, limits, list(groups)).filter(~base_failed() & passes()).select("_row.*")
+    stats = written(with_stats(docs.select(*groups, "text")).drop("text"), "quality-stats")
+    limits = written(fences(written(sketches(stats, groups), "quality-sketch"), groups), "quality-fences")
+    x = attach_small(with_stats(docs.select(row, F.col("text").alias("_text"), *groups), "_text"), limits, list(groups))
+    # a plain filter would be pushed below the figures and compute them again inside its own lambdas
+    kept = x.select(F.explode_outer(F.when(~base_failed() & passes(), F.array("_row"))).alias("_row"))
+    return kept.filter(F.col("_row").isNotNull()).select("_row.*")
