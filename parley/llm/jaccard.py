@@ -17,11 +17,13 @@ Counts per shingle: as in the language model, a chunk of texts sends its distinc
 by range and is answered with counts in the same order. Keys are cut to as many bits as the corpus needs to
 keep false sharing rare: that may only move a shingle in the order, alike everywhere.
 
-Links without all pairs of a group: in the first round every set meets the one set that leads most of its
-lists (a hub), so a group of thousands of near copies costs as many pairs as members. Linked sets become
-components. In the second round, lists that still hold several components give the pairs across them, all
-of them, less those already compared; nothing is left out, so components are exact. Every link between two
-texts of one component need not be listed; `n_links` counts those compared.
+Links without all pairs of a group: in the first round every set meets one hub, the set of its lists whose
+shingles most documents hold (the original among edited copies), so a group of thousands of near copies
+costs as many pairs as members. Sets that are far from their hub then meet all others of that hub, in
+blocks whose overlaps are one matrix product; a block gives a spanning forest of its links, never the pairs.
+Last, lists that still hold several components give the pairs across them that have no hub in common, all
+of them. Nothing is left out, so components are exact; of links inside a component `n_links` counts those
+that were needed.
 
 Null or empty text, or text of white space: the empty set, linked with nothing. Fewer than five words: the
 whole sequence is the one shingle. Rows that repeat a doc_id are one node each by their text; a null doc_id
@@ -40,7 +42,7 @@ from parley.llm.common import written
 from parley.llm.graph import components
 
 WORDS, SHARE = 5, 75  # shingle length; percent
-RANGE_CHARS = 8_000_000
+RANGE_CHARS = 4_000_000
 MEMO_SIZE = 400_000
 SPARE_BITS = 12  # key bits beyond those that number the corpus' shingles
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -160,7 +162,7 @@ def boundary(mean_list: float, share: int = SHARE) -> int:
         size += 1
 
 
-SENT = "kind string, doc_id long, f1 long, f2 long, n int, sig long, place int, shingles array<long>"
+SENT = "kind string, doc_id long, f1 long, f2 long, n int, sig long, place int, weight int, shingles array<long>"
 
 
 def _senders(bits: int, small: int, share: int):
@@ -183,7 +185,7 @@ def _senders(bits: int, small: int, share: int):
             doc = None if pd.isna(doc) else int(doc)
             mine, a = df[a: a + len(s)], a + len(s)
             f1, f2 = _fingerprint(s) if len(s) else (None, None)
-            out.append(("doc", doc, f1, f2, len(s), None, None, None))
+            out.append(("doc", doc, f1, f2, len(s), None, None, None, None))
             if not len(s) or (f1, f2) in seen or not (mine > 1).any():
                 continue
             p = len(s) - least_need(len(s), share) + 1
@@ -200,10 +202,11 @@ def _senders(bits: int, small: int, share: int):
                 sent += [(int(v), -1) for v in _scramble(lo * _MIX[0] + _scramble(hi + _MIX[1])).view(np.int64)]
             if sent:
                 seen.add((f1, f2))
-                out.append(("set", doc, f1, f2, len(s), None, None, s.view(np.int64)))
-                out += [("sig", doc, f1, f2, len(s), v, i, None) for v, i in sent]
+                weight = int(64 * math.log2(float(mine.mean())))
+                out.append(("set", doc, f1, f2, len(s), None, None, weight, s.view(np.int64)))
+                out += [("sig", doc, f1, f2, len(s), v, i, weight, None) for v, i in sent]
         got = pd.DataFrame(out, columns=names)
-        for c in ("doc_id", "f1", "f2", "n", "sig", "place"):
+        for c in ("doc_id", "f1", "f2", "n", "sig", "place", "weight"):
             got[c] = got[c].astype("Int64")
         return got
 
@@ -222,30 +225,97 @@ def _sizes_fit(a, b, share):
     return (100 * F.least(a, b) >= share * F.greatest(a, b))
 
 
+BLOCK = 1024  # members of a hub's group that one task compares at a time
+
+
+def _forest(n: int, pairs) -> list[tuple[int, int]]:
+    """Of pairs of 0..n-1, those that join what was apart."""
+    parent = list(range(n))
+
+    def top(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for a, b in pairs:
+        x, y = top(a), top(b)
+        if x != y:
+            parent[x] = y
+            out.append((a, b))
+    return out
+
+
+def _compare(share: int):
+    """For groups by (hub, i, j): links between the far members of block i and the members of block j, as
+    few as keep together what they join. Members near the hub are together already."""
+
+    def run(key, group):
+        far, sets = group["far"].to_numpy(bool), [np.asarray(s) for s in group["shingles"]]
+        nodes, near = group["node"].to_numpy(), group["near"].to_numpy(bool)
+        sizes = np.array([len(s) for s in sets])
+        every, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        column = np.cumsum(counts > 1) - 1  # what one set alone has is in no overlap
+        hot = counts[at] > 1
+        m = np.zeros((len(sets), max(1, int((counts > 1).sum()))), np.float32)
+        m[np.repeat(np.arange(len(sets)), sizes)[hot], column[at[hot]]] = 1
+        a, b = np.flatnonzero(far), np.flatnonzero(~far)
+        both = m[a] @ m[b].T
+        linked = (100 * both >= share * (sizes[a][:, None] + sizes[b][None, :] - both)) & (nodes[a][:, None] != nodes[b][None, :])
+        x, y = np.nonzero(linked)
+        name = {}
+        row = [name.setdefault("near" if near[k] else int(nodes[k]), len(name)) for k in range(len(nodes))]
+        tree = {}
+        for p, q in zip(a[x].tolist(), b[y].tolist()):
+            tree.setdefault((row[p], row[q]), (int(nodes[p]), int(nodes[q])))
+        kept = _forest(len(name), tree)
+        return pd.DataFrame([tree[k] for k in kept], columns=["a", "b"]).astype("int64")
+
+    return run
+
+
 def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = SHARE):
     """(links compared and found, components of them) among the sets that meet in lists.
 
     met: (sig, node, n, place; -1 for no place), a written table of lists with two nodes at least;
-    votes: (node, lead, c), how many lists of a node a lead heads; sets: (node, n, shingles), written."""
-    # round 1: each set with the hub of most of its lists
-    best = votes.filter("node <> lead").groupBy("node").agg(F.max_by("lead", F.struct("c", -F.col("lead"))).alias("b"))
-    pairs1 = written(best.select(F.col("node").alias("a"), "b"), "pairs")
+    votes: (node, lead, weight, c), leads of a node's lists; sets: (node, n, shingles), written."""
+    # round 1: each set with one hub, the heaviest that leads a list of it
+    best = votes.filter("node <> lead").groupBy("node").agg(F.max_by("lead", F.struct("weight", "lead")).alias("hub"))
+    best = written(best, "hubs")
+    pairs1 = best.select(F.col("node").alias("a"), F.col("hub").alias("b"))
     links1 = written(_verified(pairs1, sets, share), "links")
-    found = components(links1)
 
-    # round 2: pairs across components in the lists that hold several
-    at = met.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = at.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("sig")
-    at = written(at.join(several, "sig").select("sig", "node", "n", "place", "component"), "mixed-lists")
+    # round 2: what is far from its hub meets all others of that hub's group, block by block
+    group = best.join(links1.select(F.col("a").alias("node"), F.lit(True).alias("near")), "node", "left")
+    group = written(group.withColumn("near", F.coalesce("near", F.lit(False))), "hub-groups")
+    sizes = group.groupBy("hub").agg(F.count(F.lit(1)).alias("all"), F.count_if(~F.col("near")).alias("apart")).filter("apart > 0 and all > 1")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    sizes = sizes.select("hub", blocks("all").alias("nj"), blocks("apart").alias("ni"))
+    dealt = group.join(sizes, "hub").withColumns({
+        "i": F.pmod(F.xxhash64("node", F.lit(1)), "ni").cast("int"), "j": F.pmod(F.xxhash64("node"), "nj").cast("int")})
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    as_member = dealt.select("hub", F.explode(upto("ni")).alias("i"), "j", "node", "near", F.lit(False).alias("far"))
+    as_far = dealt.filter("not near").select("hub", "i", F.explode(upto("nj")).alias("j"), "node", "near", F.lit(True).alias("far"))
+    tasks = as_member.unionByName(as_far).join(sets.select("node", "shingles"), "node")
+    links2 = tasks.groupBy("hub", "i", "j").applyInPandas(_compare(share), "a long, b long")
+    links2 = written(links1.unionByName(links2), "links")
+    found = components(links2)
+
+    # round 3: pairs across components and hubs in the lists that still hold several
+    at = met.select("sig", "node", "n", "place").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(best, "node", "left")
+    at = at.withColumn("hub", F.coalesce("hub", "node"))
+    several = at.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("hub").alias("h0"),
+                                    F.max("hub").alias("h1")).filter("lo < hi and h0 < h1").select("sig")
+    at = written(at.join(several, "sig").select("sig", "node", "n", "place", "component", "hub"), "mixed-lists")
     x = at.alias("x").join(at.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node"))
-                           & (F.col("x.component") != F.col("y.component")) & _sizes_fit(F.col("x.n"), F.col("y.n"), share)
+                           & (F.col("x.component") != F.col("y.component")) & (F.col("x.hub") != F.col("y.hub"))
+                           & _sizes_fit(F.col("x.n"), F.col("y.n"), share)
                            & ((F.col("x.place") < 0) | (F.col("y.place") < 0) | (
                                F.least("x.place", "y.place") + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
                                >= F.ceil(share * (F.col("x.n") + F.col("y.n")) / (100 + share)))))
-    pairs2 = x.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    done = pairs1.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links2 = _verified(pairs2.join(done, ["a", "b"], "left_anti"), sets, share)
-    links = written(links1.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().unionByName(links2), "links")
+    pairs3 = x.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    links3 = _verified(pairs3, sets, share)
+    links = written(links2.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().unionByName(links3), "links")
     return links, components(links)
 
 
@@ -277,13 +347,14 @@ def link_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     sets = written(sets.join(names, ["f1", "f2"]).select("node", "n", "shingles"), "jaccard-sets")
 
     # lists with two sets at least
-    sig = sent.filter("kind = 'sig'").select("sig", F.struct("f1", "f2").alias("me"), "n", "place")
-    first = sig.groupBy("sig").agg(F.min("me").alias("hub"), F.max("me").alias("end")).filter("hub <> end").drop("end")
+    sig = sent.filter("kind = 'sig'").select("sig", F.struct("f1", "f2").alias("me"), "n", "place", "weight")
+    ranked = F.struct("weight", "me")
+    first = sig.groupBy("sig").agg(F.max(ranked).alias("hub"), F.min("me").alias("lo"), F.max("me").alias("hi")).filter("lo <> hi")
     named = lambda x, c, to: x.join(names.select(F.struct("f1", "f2").alias(c), F.col("node").alias(to)), c).drop(c)
-    met = sig.join(first, "sig").dropDuplicates(["sig", "me"])
+    met = sig.join(first.select("sig", F.col("hub.me").alias("hub"), F.col("hub.weight").alias("lead_weight")), "sig").dropDuplicates(["sig", "me"])
     met = written(named(met, "me", "node"), "jaccard-lists")
-
-    votes = named(met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c")), "hub", "lead")
+    votes = met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c"), F.max("lead_weight").alias("weight"))
+    votes = named(votes, "hub", "lead")
     links, final = link_lists(met, votes, sets, share)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
 

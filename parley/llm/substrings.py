@@ -40,8 +40,8 @@ BANDS, ROWS = 20, 4
 SPARE_BITS = 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _rng = np.random.default_rng(11)
-_A = (_rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-_B = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+_A = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
+_B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
 
 def _runs(w: np.ndarray, width: int) -> np.ndarray:
@@ -62,7 +62,7 @@ def _runs(w: np.ndarray, width: int) -> np.ndarray:
 
 def _bands(sets: list[np.ndarray]) -> np.ndarray:
     """Band keys of each shingle set, one row per set."""
-    every = np.concatenate(sets)
+    every = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     at = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
     low = np.empty((len(sets), BANDS * ROWS), np.uint64)
     for k in range(BANDS * ROWS):
@@ -165,7 +165,8 @@ def _answer(key, group):
     return pd.DataFrame(out, columns=[c.split()[0] for c in ANSWERS.split(", ")])
 
 
-SENT = ("kind string, doc_id long, place long, start int, words int, node long, sig long, shingles array<long>, kept boolean")
+SENT = ("kind string, doc_id long, place long, start int, words int, node long, sig long, weight int, shingles array<long>, "
+        "kept boolean")
 
 
 def _spans(covered: np.ndarray):
@@ -214,7 +215,7 @@ def _found(bits: int):
             covered = _widen(gone[a: a + n], n + WINDOW - 1) if n else np.empty(0, bool)
             for kept, mask in ((False, covered), (True, _widen(stays[a: a + n], n + WINDOW - 1) if n else covered)):
                 for s, e in _spans(mask):
-                    out.append(("run", doc, places[i], s, e - s, None, None, None, kept))
+                    out.append(("run", doc, places[i], s, e - s, None, None, None, None, kept))
             a += n
             for start, words, s in paragraphs:
                 b, keys = bands[p], c.bands[p]
@@ -222,10 +223,11 @@ def _found(bits: int):
                 if not b.any() or (len(covered) and covered[start: start + words].all()):
                     continue
                 node = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
-                out.append(("paragraph", doc, places[i], start, words, node, None, s.view(np.int64), None))
-                out += [("band", None, None, None, len(s), node, int(k), None, None) for k in keys[b].view(np.int64)]
+                out.append(("paragraph", doc, places[i], start, words, node, None, None, s.view(np.int64), None))
+                weight = int(b.sum())  # how many bands another document has too
+                out += [("band", None, None, None, len(s), node, int(k), weight, None, None) for k in keys[b].view(np.int64)]
         got = pd.DataFrame(out, columns=names)
-        for x in ("doc_id", "place", "start", "words", "node", "sig"):
+        for x in ("doc_id", "place", "start", "words", "node", "sig", "weight"):
             got[x] = got[x].astype("Int64")
         got["kept"] = got["kept"].astype("boolean")
         return got
@@ -254,10 +256,11 @@ def find_repeats(docs: DataFrame, share: int = SHARE) -> DataFrame:
     units = sent.filter("kind = 'paragraph'").select("doc_id", "place", "start", "words", "node")
     sets = written(sent.filter("kind = 'paragraph'").groupBy("node").agg(F.first("shingles").alias("shingles")).select(
         "node", F.size("shingles").alias("n"), "shingles"), "substring-sets")
-    bands = sent.filter("kind = 'band'").select("sig", "node", F.col("words").alias("n"), F.lit(-1).alias("place")).distinct()
-    first = bands.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("end")).filter("hub < end").drop("end")
-    met = written(bands.join(first, "sig"), "substring-lists")
-    votes = met.groupBy("node", F.col("hub").alias("lead")).agg(F.count(F.lit(1)).alias("c"))
+    bands = sent.filter("kind = 'band'").groupBy("sig", "node").agg(F.first("words").alias("n"), F.max("weight").alias("weight"))
+    first = bands.groupBy("sig").agg(F.max(F.struct("weight", "node")).alias("hub"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    first = first.filter("lo < hi").select("sig", F.col("hub.node").alias("lead"), F.col("hub.weight").alias("lead_weight"))
+    met = written(bands.drop("weight").withColumn("place", F.lit(-1)).join(first, "sig"), "substring-lists")
+    votes = met.groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"), F.max("lead_weight").alias("weight"))
     _, found = link_lists(met, votes, sets, share)
     named = units.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     order = F.struct("place", "start")
