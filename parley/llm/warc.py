@@ -50,7 +50,7 @@ def dictionary_frame(dictionary: bytes) -> bytes:
     return struct.pack("<II", MAGIC, len(body)) + body
 
 
-def record(page_id: int, url: str, kind: str, payload: bytes, digest: str, refers_to) -> bytes:
+def record(page_id: str, url: str, kind: str, payload: bytes, digest: str, refers_to) -> bytes:
     """A response or revisit record, as WARC 1.1 lays it out."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = head + payload if kind == "response" else head
@@ -94,11 +94,11 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT)
             started = True
             for page, url, payload, digest, ref in zip(b["page_id"], b["url"], b["payload"], b["digest"], b["refers_to"]):
                 again = not pd.isna(ref)
-                out.append(zip_.compress(record(page, url, "revisit" if again else "response", payload, digest, int(ref) if again else None)))
+                out.append(zip_.compress(record(page, url, "revisit" if again else "response", payload, digest, ref if again else None)))
             yield pd.DataFrame({"frame": out})
 
-    # the nullable id stays whole: as text, it is not turned into a float
-    x = x.withColumn("refers_to", F.col("refers_to").cast("string"))
+    # nullable ids stay whole: as text, they are not turned into floats
+    x = x.withColumns({"page_id": F.coalesce(F.col("page_id").cast("string"), F.lit("")), "refers_to": F.col("refers_to").cast("string")})
     x.mapInPandas(frames, "frame binary").select(F.col("frame").cast("string").alias("frame")).write.option(
         "lineSep", SEPARATOR).option("compression", "none").text(path)
 
@@ -184,7 +184,10 @@ def parse_record(raw: bytes) -> dict:
             raise ValueError("payload digest differs")
     elif fields["warc-type"] != "revisit" or payload:
         raise ValueError("neither a response nor an empty revisit")
-    page = lambda x: int(x.removeprefix("<urn:page:").removesuffix(">")) if x else None
+    def page(x):
+        number = (x or "").removeprefix("<urn:page:").removesuffix(">")
+        return int(number) if number else None
+
     return {"page_id": page(fields["warc-record-id"]), "url": fields.get("warc-target-uri"), "payload_bytes": length,
             "payload_digest": digest, "record_type": fields["warc-type"], "refers_to": page(fields.get("warc-refers-to")),
             "payload": payload if fields["warc-type"] == "response" else None, "error": None}
