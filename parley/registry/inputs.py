@@ -18,7 +18,7 @@ from parley.sources.splits import union_splits
 
 BROKEN_RECORDS = [
     # split, file_name, role, text, domain, speaker_id, accent, gender
-    ("labelled", "hand/ok_channel1.wav", "customer", "My modem keeps dropping.", "telecom", "s1", "a", "f"),
+    ("labelled", "hand/ok_channel1.wav", "customer", "The kettle has no lid.", "kitchen", "s1", "a", "f"),
     ("labelled", "hand/ok_channel2.wav", "agent", "Let me look at it.", "telecom", "s2", "a", "m"),
     ("labelled", "hand/nodomain_channel1.wav", "customer", "Hello.", None, None, None, None),
     ("labelled", "hand/nodomain_channel2.wav", "agent", "Good day.", None, "s2", None, "m"),
@@ -33,7 +33,7 @@ BROKEN_RECORDS = [
     ("unlabelled", "hand/halfdomain_channel2.wav", "agent", "Two.", None, "s7", "b", "f"),
     ("unlabelled", "hand/norole_channel1.wav", None, "One.", "travel", "s6", "b", "f"),
     ("unlabelled", "hand/norole_channel2.wav", "agent", "Two.", "travel", "s7", "b", "f"),
-    ("unlabelled", "hand/call_without_channel.wav", "agent", " \t\n ", "travel", "s7", "b", "f"),
+    ("unlabelled", "hand/nochannel.wav", "agent", " \t\n ", "travel", "s7", "b", "f"),
     ("unlabelled", "hand/three_channel3.wav", "agent", " ", "travel", "s7", "b", "f"),
     ("unlabelled", None, "agent", None, None, None, None, None),
 ]
