@@ -9,7 +9,9 @@ whole table hold them, rarest first (only template tokens can meet, so only thes
 * length filter: a block must hold `need` template tokens at all;
 * positional filter: what is left behind the shared token in both orders must suffice for `need`;
 
-and what remains is verified by a plain intersection. Only documents that hold a prefix token are cut
+and what remains is verified by a plain intersection. The share alone does not tell short templates apart
+(a CC BY-NC line holds 6 of the 7 words of the CC BY-SA one); with `marks` a block must also hold the
+template's own words, all of them. Only documents that hold a prefix token are cut
 into blocks. The templates are a fixed table, so what is broadcast does not grow.
 
 Base places (a phrase's words, consecutive) come from the same words. Null or empty text: no words, no
@@ -42,6 +44,11 @@ TEMPLATES = (
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("all-rights-reserved", "copyright all rights reserved no part may be reproduced without permission"),
 )
+#: Words without which a block is not the template's, template by template: what tells it from its neighbours.
+MARKS = (
+    ("mit",), (), ("apache",), ("gnu", "3"), ("gnu",), ("redistribution",), ("mozilla", "2"),
+    ("creative", "commons", "attribution"), ("cc", "nc"), ("cc", "sa"), ("rights", "reserved"),
+)
 BLOCK, THRESHOLD = 40, 0.8
 _APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -79,8 +86,11 @@ def token_order(docs: DataFrame, templates=TEMPLATES) -> list[str]:
     return sorted(vocabulary, key=lambda t: (df.get(t, 0), t))
 
 
-def matches(words: DataFrame, order: list[str], templates=TEMPLATES, threshold=THRESHOLD, block=BLOCK) -> DataFrame:
-    """Of (key..., words): (key..., label, start, score) for each block and template that match."""
+def matches(words: DataFrame, order: list[str], templates=TEMPLATES, threshold=THRESHOLD, block=BLOCK,
+            marks=None) -> DataFrame:
+    """Of (key..., words): (key..., label, start, score) for each block and template that match. marks: per
+    template, words of it that the block must hold."""
+    marks = marks or [()] * len(templates)
     keys = [c for c in words.columns if c != "words"]
     rank = {t: i for i, t in enumerate(order)}
     rows, prefixes = [], set()
@@ -89,9 +99,9 @@ def matches(words: DataFrame, order: list[str], templates=TEMPLATES, threshold=T
         need = math.ceil(threshold * len(tokens))
         for place, t in enumerate(tokens[: len(tokens) - need + 1]):
             prefixes.add(t)
-            rows.append((n, label, t, place, len(tokens), need, tokens))
+            rows.append((n, label, t, place, len(tokens), need, tokens, list(marks[n])))
     spark = words.sparkSession
-    prefix = spark.createDataFrame(rows, "template int, label string, t string, place int, size int, need int, tokens array<string>")
+    prefix = spark.createDataFrame(rows, "template int, label string, t string, place int, size int, need int, tokens array<string>, marks array<string>")
     half = block // 2
     found = words.filter(F.arrays_overlap("words", _texts(sorted(prefixes))))
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - half - 1, F.lit(0)), F.lit(half))
@@ -104,11 +114,12 @@ def matches(words: DataFrame, order: list[str], templates=TEMPLATES, threshold=T
         (F.size("held") >= F.col("need"))
         & (F.least("i", "place") + F.least(F.size("held") - F.col("i"), F.col("size") - F.col("place")) >= F.col("need")))
     both = F.size(F.array_intersect("held", "tokens"))
-    return near.filter(both >= F.col("need")).select(
+    own = F.size(F.array_intersect("held", "marks")) == F.size("marks")
+    return near.filter((both >= F.col("need")) & own).select(
         *keys, "label", "start", (both / F.col("size")).alias("score"))
 
 
-def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold=THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold=THRESHOLD, marks=None) -> DataFrame:
     """One row per document: figures of the base places, labels of both, and the best share as score."""
     docs = docs.select("doc_id", "text")
     order = token_order(docs, templates)
@@ -126,7 +137,7 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold=THRESH
                     F.array_min(every).cast("long").alias("first_word"),
                     F.array_max(every).cast("long").alias("last_word"), labels.alias("_base"))
     base = written(base, "license-base")
-    hits = (matches(words, order, templates, threshold).groupBy(F.col("doc_id").alias("_d"), F.col("_h").alias("_g"))
+    hits = (matches(words, order, templates, threshold, marks=marks).groupBy(F.col("doc_id").alias("_d"), F.col("_h").alias("_g"))
             .agg(F.collect_set("label").alias("_more"), F.max("score").alias("_score")))  # a label each at most
     x = base.join(hits, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_g")), "left")
     more = F.coalesce("_more", F.array().cast("array<string>"))

@@ -1,6 +1,6 @@
 """op3: license scan over all documents."""
 
-from parley.llm.licenses import BLOCK, PHRASES, TEMPLATES, THRESHOLD, scan
+from parley.llm.licenses import BLOCK, MARKS, PHRASES, TEMPLATES, THRESHOLD, scan
 from parley.llm.registry import query
 from parley.registry.base import sql_list, sql_text, table
 
@@ -32,3 +32,15 @@ FROM w LEFT JOIN b USING (rid) LEFT JOIN m USING (rid)"""
 def license_scans(spark, sf_dir):
     """Base license places and all license labels of every document."""
     return scan(table(spark, sf_dir, "documents"))
+
+
+_MARKED_ROWS = ", ".join(f"({sql_text(k)}, [{sql_list(sorted(set(t.split())))}], [{sql_list(m)}]::VARCHAR[])" for (k, t), m in zip(TEMPLATES, MARKS))
+_NEED = "WHERE len(list_intersect(g, t)) >="
+OWN_SQL = SQL.replace(f"te(label, t) AS (VALUES {_TEMPLATE_ROWS})", f"te(label, t, m) AS (VALUES {_MARKED_ROWS})").replace(
+    _NEED, "WHERE list_has_all(g, m) AND" + _NEED.removeprefix("WHERE"))
+
+
+@query("op3_license_own_labels", OWN_SQL)
+def license_own_labels(spark, sf_dir):
+    """As op3_license_scans, but a template also needs its own words, so that a notice is not its neighbour's."""
+    return scan(table(spark, sf_dir, "documents"), marks=MARKS)

@@ -253,6 +253,15 @@ def test_license_filters_lose_nothing(docs):
         assert got[d].labels == ",".join(sorted(set(best) | base)) and got[d].base_labels == ",".join(sorted(base))
 
 
+def test_each_notice_is_its_own_license_only(docs):
+    rows = list(enumerate(text for _, text in licenses.TEMPLATES))
+    rows += [(100, "released under the old license"), (101, "see the license under which it is released"), (102, "licensed under cc by nd 4 0")]
+    got = {x.doc_id: x.labels for x in licenses.scan(docs(rows), marks=licenses.MARKS).collect()}
+    expected = {i: label for i, (label, _) in enumerate(licenses.TEMPLATES)} | {100: "", 101: "", 102: ""}
+    assert got == expected
+    assert all(set(m) <= set(t.split()) for (_, t), m in zip(licenses.TEMPLATES, licenses.MARKS, strict=True))
+
+
 def test_archive_faults_are_rows(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{'text ' * 40}{i}</p>") for i in range(300)], "page_id long, url string, html string").coalesce(1)
     path = str(tmp_path / "a")
