@@ -1,8 +1,9 @@
 """Substring dedup: paragraphs that come near another, and long passages that come word for word again.
 
-Paragraphs (lines of PARAGRAPH_WORDS words or more) get a MinHash of their 5-word shingles, cut into BANDS
+Paragraphs are the lines of WORDS words or more, and, as a paragraph may be wrapped, the runs of lines under
+PARAGRAPH_WORDS words up to a blank or a longer line. They get a MinHash of their 5-word shingles, cut into BANDS
 bands of ROWS values: at a similarity of 0.75 a pair shares a band with a chance of 1 - (1 - 0.75^4)^20,
-over 0.999. Paragraphs that share a band are joined by way of hubs (see `jaccard.link_lists`), verified by
+over 0.999; sets of one or two shingles link with their equals only and have one key. Paragraphs that share a band are joined by way of hubs (see `jaccard.link_lists`), verified by
 exact Jaccard and put into components; in each, the first paragraph in table order stays.
 
 A passage may also sit inside a longer paragraph, which no paragraph signature shows. So every run of
@@ -37,6 +38,7 @@ from parley.llm.jaccard import RANGE_CHARS, SHARE, WORDS, _LOWER, _MIX, _scrambl
 WINDOW = 50
 PARAGRAPH_WORDS = 40
 BANDS, ROWS = 20, 4
+BANDED = 16_384  # sets whose bands are made at a time
 SPARE_BITS = 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _rng = np.random.default_rng(11)
@@ -61,29 +63,43 @@ def _runs(w: np.ndarray, width: int) -> np.ndarray:
 
 
 def _bands(sets: list[np.ndarray]) -> np.ndarray:
-    """Band keys of each shingle set, one row per set."""
+    """Band keys of each shingle set, one row per set; of a set under 3 shingles all are one."""
+    if len(sets) > BANDED:
+        return np.concatenate([_bands(sets[i: i + BANDED]) for i in range(0, len(sets), BANDED)])
     every = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
     at = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
-    low = np.empty((len(sets), BANDS * ROWS), np.uint64)
+    low = np.empty((len(sets), BANDS * ROWS), np.uint32)
     for k in range(BANDS * ROWS):
         low[:, k] = np.minimum.reduceat(every * _A[k] + _B[k], at)
     out = np.zeros((len(sets), BANDS), np.uint64)
     for r in range(ROWS):
         out = _scramble(out * _MIX[2] + low[:, r::ROWS])
-    return _scramble(out + np.arange(BANDS, dtype=np.uint64))
+    few = np.array([len(s) < 3 for s in sets])
+    return _scramble(out + np.where(few[:, None], np.uint64(0), np.arange(BANDS, dtype=np.uint64)))
 
 
 def _document(text: str, known: dict):
     """(run keys, [(first word, words, shingles)] of its paragraphs)."""
-    w, paragraphs, at = [], [], 0
-    for line in text.encode("utf-8").translate(_LOWER).split(b"\n"):
+    w, paragraphs, at, short = [], [], 0, []
+
+    def sign(h, start):
+        if len(h) >= WORDS:
+            paragraphs.append((start, len(h), np.unique(_runs(h, WORDS))))
+
+    for line in [*text.encode("utf-8").translate(_LOWER).split(b"\n"), b""]:
         words = line.split()
+        if not 0 < len(words) < PARAGRAPH_WORDS:
+            if len(short) > 1:
+                h = np.concatenate(short)
+                sign(h, at - len(h))
+            short = []
         if words:
             h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
             w.append(h)
-            if len(words) >= PARAGRAPH_WORDS:
-                paragraphs.append((at, len(words), np.unique(_runs(h, WORDS))))
+            sign(h, at)
             at += len(words)
+            if len(words) < PARAGRAPH_WORDS:
+                short.append(h)
     return _runs(np.concatenate(w), WINDOW) if w else np.empty(0, np.uint64), paragraphs
 
 
@@ -225,7 +241,7 @@ def _found(bits: int):
                 node = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
                 out.append(("paragraph", doc, places[i], start, words, node, None, None, s.view(np.int64), None))
                 weight = int(b.sum())  # how many bands another document has too
-                out += [("band", None, None, None, len(s), node, int(k), weight, None, None) for k in keys[b].view(np.int64)]
+                out += [("band", None, None, None, len(s), node, int(k), weight, None, None) for k in np.unique(keys[b].view(np.int64))]
         got = pd.DataFrame(out, columns=names)
         for x in ("doc_id", "place", "start", "words", "node", "sig", "weight"):
             got[x] = got[x].astype("Int64")
@@ -264,7 +280,7 @@ def find_repeats(docs: DataFrame, share: int = SHARE) -> DataFrame:
     _, found = link_lists(met, votes, sets, share)
     named = units.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     order = F.struct("place", "start")
-    head = named.groupBy("component").agg(F.min(order).alias("lo"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    head = named.groupBy("component").agg(F.min(order).alias("lo"), F.max("place").alias("hi")).filter("lo.place < hi").drop("hi")
     near = named.join(head, "component").select(
         "doc_id", "place", F.col("start").alias("start_word"), F.col("words").alias("n_words"), F.lit("paragraph").alias("kind"),
         "component", (order == F.col("lo")).alias("kept"), F.col("lo.place").alias("_head"))

@@ -111,6 +111,22 @@ def test_long_runs_and_near_paragraphs(docs, corpus):
     assert all(r.text == texts[r.doc_id] for r in left if r.doc_id in clean)
 
 
+def test_short_and_wrapped_paragraphs_are_signed(docs):
+    r = random.Random(8)
+    text = lambda n, k: [f"{k}{r.randrange(10**6)}" for _ in range(n)]
+    wrap = lambda w, n: "\n".join(" ".join(w[i: i + n]) for i in range(0, len(w), n))
+    short, line, long = text(30, "s"), text(6, "l"), text(160, "w")
+    near = short[:28] + ["edited"] + short[29:] + text(2, "t")
+    edited = [f"edited{i}" if i % 45 == 40 else w for i, w in enumerate(long)]
+    rows = [(1, " ".join(short)), (2, " ".join(near)), (3, wrap(long, 9)), (4, wrap(edited, 13)), (5, " ".join(long)),
+            (6, "alone here\n" + " ".join(line)), (7, " ".join(line) + "\nother words"), (8, "one two three four\none two three four")]
+    got = {(x.doc_id, x.kept) for x in substrings.find_repeats(docs(rows).coalesce(1)).collect() if x.kind == "paragraph"}
+    assert {(1, True), (2, False), (3, True), (4, False), (6, True), (7, False)} <= got
+    assert 8 not in {d for d, _ in got}  # repeats itself only
+    left = {x.doc_id: x.text for x in substrings.remove_repeats(docs(rows).coalesce(1)).collect()}
+    assert set(left) == {1, 3, 6, 7, 8} and left[7].strip() == "other words"
+
+
 def test_lm_counts_weights_and_base(docs, corpus):
     got = {r.doc_id: r for r in lm.score(docs(corpus)).collect()}
     fold = lambda d: zlib.crc32(str(d).encode()) % 10
