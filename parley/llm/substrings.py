@@ -13,7 +13,9 @@ SPARE_BITS more bits than number the corpus' characters; that two neighbours bot
 below one case in 10^12 of them.
 
 Keys travel as in the language model: packed, once per chunk, and answered with whether a key stands in
-more than one document and whether this chunk is the first that has it. Unshared keys make no rows. Both
+more than one document and whether this chunk is the first that has it. Unshared keys make no rows. A span
+is named by its first key; spans that hold the same shared key are linked, by key range again, and components
+of these links are the classes of the exact passages: a copy that goes shares one with each that stays. Both
 kinds of removal keep what comes first, so nothing loses its last copy.
 
 Null or empty text: nothing to remove. What repeats only within one document stays. Repeated rows count as
@@ -33,6 +35,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from parley.llm.chunks import block_of, chunk_rows, pack, range_ends, unpack
 from parley.llm.common import written
+from parley.llm.graph import components
 from parley.llm.jaccard import RANGE_CHARS, SHARE, WORDS, _LOWER, _MIX, _scramble, _Words, link_lists
 
 WINDOW = 50
@@ -182,7 +185,7 @@ def _answer(key, group):
 
 
 SENT = ("kind string, doc_id long, place long, start int, words int, node long, sig long, weight int, shingles array<long>, "
-        "kept boolean")
+        "kept boolean, r int, keys binary, names binary, name_of binary")
 
 
 def _spans(covered: np.ndarray):
@@ -200,7 +203,36 @@ def _widen(starts: np.ndarray, n_words: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def _found(bits: int):
+def _links(keys: np.ndarray, nodes: np.ndarray, ranges: int, bits: int):
+    """(range, keys, names, which name) of the distinct pairs of a key and the span that holds it, packed."""
+    names, at = np.unique(nodes, return_inverse=True)
+    order = np.lexsort((at, keys))
+    keys, at = keys[order], at[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (at[1:] != at[:-1])
+    keys, at = keys[new], at[new]
+    ends = range_ends(keys, ranges, bits)
+    for i in range(ranges):
+        a, b = ends[i], ends[i + 1]
+        if b > a:
+            used, of = np.unique(at[a:b], return_inverse=True)
+            yield i, pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(names[used]), pack(of)
+
+
+def _joined(key, group):
+    """Links between the names of spans that hold the same key: each with the least of them."""
+    keys = np.concatenate([np.cumsum(unpack(k), dtype=np.uint64) for k in group["keys"]])
+    names = np.concatenate([unpack(n)[unpack(of).astype(np.int64)] for n, of in zip(group["names"], group["name_of"])]).view(np.int64)
+    order = np.lexsort((names, keys))
+    keys, names = keys[order], names[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    least = names[new][np.cumsum(new) - 1]
+    pairs = np.unique(np.stack([least, names], 1)[least != names], axis=0)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _found(bits: int, ranges: int):
     """For cogroup: spans that repeat word for word, and paragraphs that share a band, with their bands."""
     names = [c.split()[0] for c in SENT.split(", ")]
 
@@ -223,15 +255,20 @@ def _found(bits: int):
         gone = (shared == 2) | ((shared == 1) & ~first_here)
         stays = (shared == 1) & first_here
         bands = code["b"][c.at["b"]].reshape(-1, BANDS) > 0
-        out, a, p = [], 0, 0
+        out, a, p, passages = [], 0, 0, []
+        run_keys = c.keys["w"][c.at["w"]]
         ids, places = docs["doc_id"].tolist(), docs["place"].tolist()
         for i, (runs, paragraphs) in enumerate(c.docs):
             doc = None if pd.isna(ids[i]) else int(ids[i])
             n = len(runs)
             covered = _widen(gone[a: a + n], n + WINDOW - 1) if n else np.empty(0, bool)
-            for kept, mask in ((False, covered), (True, _widen(stays[a: a + n], n + WINDOW - 1) if n else covered)):
-                for s, e in _spans(mask):
-                    out.append(("run", doc, places[i], s, e - s, None, None, None, None, kept))
+            for kept, mask, starts in ((False, covered, gone), (True, _widen(stays[a: a + n], n + WINDOW - 1) if n else covered, stays)):
+                spans = _spans(mask)
+                if spans:  # a span starts with a shared key, and that names it
+                    heads, own = np.array([s for s, _ in spans]), np.flatnonzero(starts[a: a + n])
+                    passages.append((run_keys[a + own], run_keys[a + heads[np.searchsorted(heads, own, side="right") - 1]]))
+                for s, e in spans:
+                    out.append(("run", doc, places[i], s, e - s, int(run_keys[a + s].view(np.int64)), None, None, None, kept, *[None] * 4))
             a += n
             for start, words, s in paragraphs:
                 b, keys = bands[p], c.bands[p]
@@ -239,11 +276,14 @@ def _found(bits: int):
                 if not b.any() or (len(covered) and covered[start: start + words].all()):
                     continue
                 node = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
-                out.append(("paragraph", doc, places[i], start, words, node, None, None, s.view(np.int64), None))
+                out.append(("paragraph", doc, places[i], start, words, node, None, None, s.view(np.int64), *[None] * 5))
                 weight = int(b.sum())  # how many bands another document has too
-                out += [("band", None, None, None, len(s), node, int(k), weight, None, None) for k in np.unique(keys[b].view(np.int64))]
+                out += [("band", None, None, None, len(s), node, int(k), weight, *[None] * 6) for k in np.unique(keys[b].view(np.int64))]
+        if passages:
+            keys, nodes = (np.concatenate(x) for x in zip(*passages))
+            out += [("link", *[None] * 9, *x) for x in _links(keys, nodes, ranges, bits)]
         got = pd.DataFrame(out, columns=names)
-        for x in ("doc_id", "place", "start", "words", "node", "sig", "weight"):
+        for x in ("doc_id", "place", "start", "words", "node", "sig", "weight", "r"):
             got[x] = got[x].astype("Int64")
         got["kept"] = got["kept"].astype("boolean")
         return got
@@ -253,7 +293,7 @@ def _found(bits: int):
 
 def find_repeats(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """Repeats: doc_id, place (row in table order), start_word, n_words, kind (run or paragraph), component
-    (of a paragraph), kept (true for the copy that stays). Words count from 0 over the whole text."""
+    (the class: of exact passages that share words, or of near paragraphs), kept (true for the copy that stays). Words count from 0 over the whole text."""
     d = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(1, math.ceil(chars / RANGE_CHARS))
@@ -268,7 +308,7 @@ def find_repeats(docs: DataFrame, share: int = SHARE) -> DataFrame:
 
     blocks = d.mapInPandas(tagged, "block long, place long, doc_id long, text string")
     sent = written(blocks.groupBy("block").cogroup(answers.select("block", "kind", "r", "code").groupBy("block"))
-                   .applyInPandas(_found(bits), SENT), "substring-sent")
+                   .applyInPandas(_found(bits, ranges), SENT), "substring-sent")
     units = sent.filter("kind = 'paragraph'").select("doc_id", "place", "start", "words", "node")
     sets = written(sent.filter("kind = 'paragraph'").groupBy("node").agg(F.first("shingles").alias("shingles")).select(
         "node", F.size("shingles").alias("n"), "shingles"), "substring-sets")
@@ -286,8 +326,10 @@ def find_repeats(docs: DataFrame, share: int = SHARE) -> DataFrame:
         "component", (order == F.col("lo")).alias("kept"), F.col("lo.place").alias("_head"))
     # a paragraph that comes again within its own document only is no repeat across documents
     near = near.filter("kept or place <> _head").drop("_head")
-    runs = sent.filter("kind = 'run'").select("doc_id", "place", F.col("start").alias("start_word"), F.col("words").alias("n_words"),
-                                             "kind", F.lit(None).cast("long").alias("component"), "kept")
+    linked = components(sent.filter("kind = 'link'").select("r", "keys", "names", "name_of").groupBy("r").applyInPandas(_joined, "a long, b long"))
+    runs = sent.filter("kind = 'run'").join(linked, "node", "left").select(
+        "doc_id", "place", F.col("start").alias("start_word"), F.col("words").alias("n_words"), "kind",
+        F.coalesce("component", "node").alias("component"), "kept")
     return runs.unionByName(near)
 
 

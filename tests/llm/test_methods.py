@@ -127,6 +127,19 @@ def test_short_and_wrapped_paragraphs_are_signed(docs):
     assert set(left) == {1, 3, 6, 7, 8} and left[7].strip() == "other words"
 
 
+def test_copies_of_a_passage_share_a_class(docs):
+    r = random.Random(9)
+    text = lambda n: [f"p{r.randrange(10**6)}" for _ in range(n)]
+    one, two = text(150), text(80)
+    parts = [text(5) + one + text(70) + two, one[:70] + text(60), text(20) + one[60:], text(9) + one[90:145] + text(30), two + text(20)]
+    rows = substrings.find_repeats(docs([(i, " ".join(w)) for i, w in enumerate(parts)]).coalesce(1)).collect()
+    runs = [x for x in rows if x.kind == "run"]
+    at = lambda d: {x.component for x in runs if x.doc_id == d}
+    assert len(at(0)) == 2 and all(len(at(d)) == 1 for d in (1, 2, 3, 4)) and None not in at(0)
+    assert at(1) == at(2) == at(3) != at(4) and at(1) | at(4) == at(0)
+    assert all({x.kept for x in runs if x.component == c} == {True, False} for c in at(0))
+
+
 def test_lm_counts_weights_and_base(docs, corpus):
     got = {r.doc_id: r for r in lm.score(docs(corpus)).collect()}
     fold = lambda d: zlib.crc32(str(d).encode()) % 10
