@@ -22,8 +22,10 @@ shingles most documents hold (the original among edited copies), so a group of t
 costs as many pairs as members. Sets that are far from their hub then meet all others of that hub, in
 blocks whose overlaps are one matrix product; a block gives a spanning forest of its links, never the pairs.
 Last, lists that still hold several components give the pairs across them that have no hub in common, all
-of them. Nothing is left out, so components are exact; of links inside a component `n_links` counts those
-that were needed.
+of them. Nothing is left out, so components are exact. Linked sets lie in one component, so the links of every
+set are counted there afterwards: members meet in salted blocks whose overlaps are one matrix product, and a
+block gives sums per member, never pairs. `n_links` is the number of other rows with an id whose set links
+with the row's, equal sets included. The comparisons of a component still grow with the square of its sets.
 
 Null or empty text, or text of white space: the empty set, linked with nothing. Fewer than five words: the
 whole sequence is the one shingle. Rows that repeat a doc_id are one node each by their text; a null doc_id
@@ -38,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from parley.llm.chunks import block_of, chunk_rows, pack, range_ends, unpack
-from parley.llm.common import written
+from parley.llm.common import attach_small, written
 from parley.llm.graph import components
 
 WORDS, SHARE = 5, 75  # shingle length; percent
@@ -319,8 +321,86 @@ def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = S
     return links, components(links)
 
 
+COLUMNS = 4096  # shingles of a matrix at a time
+TASK_ROWS = 4096  # sets that one task of the count reads, about
+
+
+def _count(share: int):
+    """For groups by bucket: per set of each (component, i, j), the rows of the other block it links with."""
+
+    def one(t):
+        sets, copies = [np.asarray(s) for s in t["shingles"]], t["copies"].to_numpy(np.float64)
+        sizes = np.array([len(s) for s in sets])
+        row = np.repeat(np.arange(len(sets)), sizes)
+        every, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        column, hot = np.cumsum(counts > 1) - 1, counts[at] > 1
+        row, column = row[hot], column[at[hot]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        block, i, j = t["own"].to_numpy(), t["i"].iloc[0], t["j"].iloc[0]
+        a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        both = np.zeros((len(a), len(b)), np.float32)
+        width = int(column[-1]) + 1 if len(column) else 0
+        for c in range(0, width, COLUMNS):
+            x, y = np.searchsorted(column, (c, c + COLUMNS))
+            m = np.zeros((len(sets), min(COLUMNS, width - c)), np.float32)
+            m[row[x:y], column[x:y] - c] = 1
+            both += m[a] @ m[b].T
+        linked = 100 * both >= share * (sizes[a][:, None] + sizes[b][None, :] - both)
+        links = np.zeros(len(sets))
+        if i == j:
+            np.fill_diagonal(linked, False)
+            links[a] = linked @ copies[b]
+        else:
+            links[a], links[b] = linked @ copies[b], linked.T @ copies[a]
+        return pd.DataFrame({"f1": t["f1"].to_numpy(), "f2": t["f2"].to_numpy(), "links": links.astype(np.int64)})
+
+    def run(group):
+        return pd.concat([one(t) for _, t in group.groupby(["component", "i", "j"], sort=False)])
+
+    return run
+
+
+def count_links(sets: DataFrame, found: DataFrame, share: int = SHARE) -> DataFrame:
+    """(f1, f2, links): per set in a component, the rows of other sets that it links with.
+
+    sets: (f1, f2, node, copies, shingles), written; found: (node, component)."""
+    members = written(sets.select("f1", "f2", "node", "copies").join(found, "node").select("f1", "f2", "copies", "component"), "jaccard-members")
+    large = members.groupBy("component").agg(F.count(F.lit(1)).alias("all")).filter(F.col("all") > BLOCK)
+    large = written(large.select("component", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks")), "jaccard-large")
+    m = attach_small(members, large, ["component"]).withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    m = m.withColumn("own", F.pmod(F.xxhash64("f1", "f2"), "blocks").cast("int"))
+    tasks = m.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).withColumns({
+        "i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    rows = tasks.count()
+    buckets = F.lit(max(1, math.ceil(rows / TASK_ROWS)))
+    tasks = tasks.select("f1", "f2", "copies", "component", "own", "i", "j", F.pmod(F.xxhash64("component", "i", "j"), buckets).alias("bucket"))
+    counted = tasks.join(sets.select("f1", "f2", "shingles"), ["f1", "f2"]).groupBy("bucket").applyInPandas(
+        _count(share), "f1 long, f2 long, links long")
+    return counted.groupBy("f1", "f2").agg(F.sum("links").alias("links"))
+
+
 def link_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links, the links compared of the row's set, for each row."""
+    """doc_id, n_shingles, component_id and n_links, the number of other rows that link (0 for a null doc_id),
+    for each row."""
+    rows, classes, sets, found = _linked(docs, share)
+    links = count_links(sets, found, share)
+    company = _company(classes, found).join(links, ["f1", "f2"], "left")
+    company = company.select("f1", "f2", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    own = F.when(F.col("doc_id").isNotNull(), F.col("links"))
+    return rows.join(company, ["f1", "f2"], "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
+        F.coalesce(own, F.lit(0)).cast("long").alias("n_links"))
+
+
+def _company(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """Classes with company, and their components; only these need their names joined back to rows."""
+    x = classes.join(found, "node", "left").filter("copies > 1 or component is not null")
+    return x.select("f1", "f2", "copies", F.coalesce("component", "node").alias("component"))
+
+
+def _linked(docs: DataFrame, share: int):
+    """The documents' rows, classes of equal sets, sets that may have partners, and components of the classes."""
     d = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(1, math.ceil(chars / RANGE_CHARS))
@@ -341,10 +421,10 @@ def link_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
 
     # classes of equal sets, named by their smallest doc_id
     classes = written(rows.filter("n > 0 and doc_id is not null").groupBy("f1", "f2").agg(
-        F.min("doc_id").alias("node"), F.max("doc_id").alias("last")), "jaccard-classes")
+        F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies")), "jaccard-classes")
     names = classes.select("f1", "f2", "node")
     sets = sent.filter("kind = 'set'").groupBy("f1", "f2").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
-    sets = written(sets.join(names, ["f1", "f2"]).select("node", "n", "shingles"), "jaccard-sets")
+    sets = written(sets.join(classes, ["f1", "f2"]).select("f1", "f2", "node", "copies", "n", "shingles"), "jaccard-sets")
 
     # lists with two sets at least
     sig = sent.filter("kind = 'sig'").select("sig", F.struct("f1", "f2").alias("me"), "n", "place", "weight")
@@ -355,20 +435,14 @@ def link_components(docs: DataFrame, share: int = SHARE) -> DataFrame:
     met = written(named(met, "me", "node"), "jaccard-lists")
     votes = met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c"), F.max("lead_weight").alias("weight"))
     votes = named(votes, "hub", "lead")
-    links, final = link_lists(met, votes, sets, share)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-
-    # only classes with company need their names joined back
-    company = classes.join(final, "node", "left").join(degree, "node", "left").filter("node < last or component is not null")
-    company = company.select("f1", "f2", F.coalesce("component", "node").alias("component"), F.coalesce("links", F.lit(0)).alias("links"))
-    return rows.join(company, ["f1", "f2"], "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    _, final = link_lists(met, votes, sets, share)
+    return rows, classes, sets, final
 
 
 def keep_one(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """The rows of `docs` less all but one of each group of linked documents: that with the smallest doc_id
     stays. Rows that repeat a doc_id share its fate. Empty texts and null ids stay."""
-    found = link_components(docs, share)
-    gone = written(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
+    rows, classes, _, found = _linked(docs, share)
+    named = rows.join(_company(classes, found), ["f1", "f2"])
+    gone = written(named.filter("doc_id <> component").select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

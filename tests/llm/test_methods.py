@@ -77,6 +77,18 @@ def test_jaccard_components(docs, corpus, monkeypatch, block):
     assert kept == set(expected.values())
 
 
+@pytest.mark.parametrize("block", [1024, 4])
+def test_links_are_counted_whole(docs, corpus, monkeypatch, block):
+    for name, value in (("BLOCK", block), ("COLUMNS", 7 * block)):
+        monkeypatch.setattr(jaccard, name, value)
+    base = [f"b{i}" for i in range(200)]
+    rows = [*corpus, *((10_000 + i, " ".join([*base[: 100 + i], "edit", *base[101 + i:]])) for i in range(30)), (10_000, " ".join(base))]
+    sets = [(d, frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) or frozenset({tuple(w)})) for d, w in ((d, words(t)) for d, t in rows)]
+    expected = Counter((d, sum(100 * len(s & z) >= 75 * len(s | z) for k, (_, z) in enumerate(sets) if k != j)) for j, (d, s) in enumerate(sets))
+    got = jaccard.link_components(docs(rows)).collect()
+    assert Counter((r.doc_id, r.n_links) for r in got) == expected and max(n for _, n in expected) >= 30
+
+
 def test_pairs_of_small_sets_find_what_single_shingles_find():
     for size in range(2, 60):
         assert jaccard.least_need(size) >= 2  # else pairs would miss a link
