@@ -79,36 +79,34 @@ def join_hot(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return named.join(right, key, "left").unionByName(rest, allowMissingColumns=True)
 
 
-def linked_turns(turns: DataFrame, order) -> DataFrame:
-    """(tree, node, parent, role, text, score) of linear conversations (tree, role, text, and the `order` columns):
-    a turn replies to the one before it. All rows are sorted by range, so a conversation of any length is dealt over
-    tasks; the last turn of each range, one row, goes to the next. Ties are ordered by role and text."""
+def linked_turns(turns: DataFrame, order):
+    """(links, said) of linear conversations (tree, role, text, and the `order` columns): a turn replies to the one
+    before it. links: (tree, node, parent, score); said: (node, role, text). Ties are ordered by role and text.
+
+    The rows without their texts are sorted by range, so a conversation of any length is dealt over tasks; the
+    last turn of each range, one row, goes to the next."""
     rows = turns.select("tree", *order, F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("_same", F.sha2("text", 256))
-    key = ["tree", *order, "role", "_same"]
+    # a turn that comes again is another row, and its number deals even these over ranges
+    rows = written(rows.withColumn("node", F.monotonically_increasing_id()).withColumn("_same", F.sha2("text", 256)), "chat-turns")
+    key = ["tree", *order, "role", "_same", "node"]
+    at = [F.col(k).asc_nulls_first() for k in key]
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # a turn that comes again is another row; the last key deals even these over ranges
-    dealt = rows.withColumn("_deal", F.rand(7)).repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in key], "_deal")
-    rows = written(dealt.withColumn("_range", F.spark_partition_id()).withColumn("node", F.monotonically_increasing_id()), "chat-turns")
-    at = [F.col(k).asc_nulls_first() for k in (*key, "_deal", "node")]
+    narrow = written(rows.drop("text").repartitionByRange(n, *at).withColumn("_range", F.spark_partition_id()), "chat-order")
     before = F.lag(F.struct("tree", "node")).over(Window.partitionBy("_range").orderBy(*at))
-    narrow = rows.drop("text").withColumn("_before", before)
-    last = rows.groupBy("_range").agg(F.max_by(F.struct("tree", "node"), F.struct(*key, "_deal", "node")).alias("_end"))
+    last = narrow.groupBy("_range").agg(F.max_by(F.struct("tree", "node"), F.struct(*key)).alias("_end"))
     # one row per range
-    ends = last.select((F.lead("_range").over(Window.orderBy("_range"))).alias("_range"), "_end").filter("_range is not null")
-    x = narrow.join(F.broadcast(ends), "_range", "left")
-    x = x.withColumn("_before", F.coalesce("_before", "_end"))
+    ends = last.select(F.lead("_range").over(Window.orderBy("_range")).alias("_range"), "_end").filter("_range is not null")
+    x = narrow.withColumn("_before", before).join(F.broadcast(ends), "_range", "left").withColumn("_before", F.coalesce("_before", "_end"))
     parent = F.when(F.col("_before.tree").eqNullSafe(F.col("tree")), F.col("_before.node"))
-    links = written(x.select("node", parent.alias("parent")), "chat-links")
-    return rows.select("tree", "node", "role", "text", F.lit(0.0).alias("score")).join(links, "node")
+    links = written(x.select("tree", "node", parent.alias("parent"), F.lit(0.0).alias("score")), "chat-links")
+    return links, rows.select("node", "role", "text")
 
 
 def climb(messages: DataFrame) -> list[DataFrame]:
-    """Tables (node, up, steps, total): the message 2^k replies above, or null above the root; how many messages the
+    """Tables (node, up, steps, total) of written messages (node, parent, score): the message 2^k replies above, or null above the root; how many messages the
     way has so far, itself included; and the sum of their scores. The last one has reached every root."""
-    nodes = messages.select("node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
-    known = nodes.select(F.col("node").alias("parent"), F.lit(True).alias("_known"))
-    base = written(nodes, "chat-nodes")
+    base = messages.select("node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
+    known = base.select(F.col("node").alias("parent"), F.lit(True).alias("_known"))
     first = join_hot(base, known, "parent")
     up = F.when(F.col("_known"), F.col("parent"))
     tables = [written(first.select("node", up.alias("up"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "chat-climb")]
@@ -219,15 +217,14 @@ def read_back(conversations: DataFrame) -> DataFrame:
     return ordered.select("path", F.col("tree").cast("string"), "text", pick("start").alias("starts"), pick("length").alias("lengths")).mapInPandas(run, DIGESTS)
 
 
-def format_trees(messages: DataFrame, keep: int | None = 1, trained=TRAINED) -> DataFrame:
-    """(path, tree, part, text, mask) of the chosen paths of reply trees (tree, node, parent, role, text, score)."""
-    chosen = paths(messages.select("tree", "node", "parent", "score"), keep)
-    said = messages.select("node", "role", "text")
-    return formatted(chosen.join(said, "node"), trained)
+def format_trees(links: DataFrame, said: DataFrame, keep: int | None = 1, trained=TRAINED) -> DataFrame:
+    """(path, tree, part, text, mask) of the chosen paths of reply trees: links (tree, node, parent, score) and
+    what each message said (node, role, text). Texts meet the chosen paths only."""
+    return formatted(paths(links, keep).join(said, "node"), trained)
 
 
 def format_conversations(turns: DataFrame, trained=TRAINED) -> DataFrame:
     """The same of linear conversations (conv_id, turn, role, text); tree is the conv_id."""
     rows = turns.select(F.col("conv_id").cast("long").alias("tree"), "turn", "role", "text")
-    messages = written(linked_turns(rows, ["turn"]), "chat-messages")
-    return written(format_trees(messages, 1, trained), "chat-formatted")
+    links, said = linked_turns(rows, ["turn"])
+    return format_trees(links, said, 1, trained)

@@ -75,7 +75,8 @@ def test_paths_of_trees(spark, keep, monkeypatch):
 def test_best_path_is_one_conversation(spark):
     rows = [(1, 1, None, "user", "q", 0.0), (1, 2, 1, "assistant", "worse", 0.2), (1, 3, 1, "assistant", "better", 0.9), (1, 4, 2, "user", "more", 0.1),
             (2, 5, None, None, None, None)]
-    got = {r.tree: r for r in chat.format_trees(spark.createDataFrame(rows, SHAPE)).collect()}
+    messages = spark.createDataFrame(rows, SHAPE)
+    got = {r.tree: r for r in chat.format_trees(messages.select("tree", "node", "parent", "score"), messages.select("node", "role", "text")).collect()}
     assert chat.parse(got[1].text) == [("user", "q"), ("assistant", "better")] and chat.parse(got[2].text) == [("", "")]
     assert [(m.start, m.length) for m in got[1].mask] == [(got[1].text.index("better"), 6)]
 
