@@ -16,7 +16,7 @@ GENERIC_STATEMENTS = (
 )
 GENERIC_PHRASE = "anything else i can help you with"
 EMPTY_STATEMENTS = ("", "n/a", "none", "unknown", "no issue")
-HESITATIONS = ("um", "uh", "ah", "er", "hmm")
+HESITATION = r"[\W_]*(?:um|uh|ah|er|hmm)[\W_]*"
 NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten")
 
 REQUEST_CUE = (
@@ -61,12 +61,6 @@ DISPLAY_DASH = "—"
 CUT_MARK = "… [kısaltıldı]"
 BINARY_MARK = "<ikili veri gösterilmiyor>"
 
-SANITY_SENTENCES = (
-    "My internet keeps disconnecting.",
-    "My connection drops every few minutes.",
-    "I need to change my flight seat.",
-)
-
 # ---- End of the fixed values ----
 
 # General English stop words: the default list of pyspark.ml.feature.StopWordsRemover.
@@ -100,6 +94,13 @@ WHITESPACE = "".join(
     )
 )
 
+# A sentence, one of like meaning, one of another.
+SANITY_SENTENCES = (
+    "The oven door will not close.",
+    "My oven does not shut properly.",
+    "Please cancel tomorrow's taxi.",
+)
+
 SEED = 42
 K_CANDIDATES = (8, 12, 16, 20, 24, 30)
 KMEANS_RESTARTS = 5

@@ -206,7 +206,7 @@ def normalize_statement(c) -> Column:
     )
     junk = (
         lowered.isin(*C.EMPTY_STATEMENTS)
-        | value.rlike(r"(?iU)^[\W_]*(?:" + "|".join(C.HESITATIONS) + r")[\W_]*\z")
+        | value.rlike(f"(?iU)^{C.HESITATION}\\z")
         | plain.isin(*C.GENERIC_STATEMENTS)
         | plain.contains(C.GENERIC_PHRASE)
         | (F.size(found) < 3)

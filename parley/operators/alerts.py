@@ -1,7 +1,7 @@
 """Hourly counts per cluster, trailing z-score, alerts.
 
-The hourly count reduces the raw events; grid, windows and joins that follow see hours x clusters rows,
-whatever the number of events.
+The hourly count reduces the raw events; windows and joins that follow see the hours that have events,
+whatever the number of events. The dense grid of hours x clusters is made only where it is asked for.
 """
 
 from datetime import datetime, timezone
@@ -75,6 +75,24 @@ def hourly_counts(events: DataFrame, start, hours, cluster_count=None, rejects=F
     return (counts, handed_back) if rejects else counts
 
 
+def epoch_hour_counts(events: DataFrame, key="cluster_id") -> DataFrame:
+    """(key, hour, n): events per key and hour since 1970. Needs no first look at the data, so the events
+    are read once; `numbered_from` turns the hours into those of a series. An event without a time stops the job."""
+    hour = F.floor(F.unix_micros("ts") / F.lit(HOUR_MICROS)).cast("int")
+    met = F.when(hour.isNull(), F.raise_error(F.lit("event without a time")).cast("int")).otherwise(hour)
+    return events.groupBy(key, met.alias("hour")).agg(F.count("*").alias("n"))
+
+
+def numbered_from(counts: DataFrame):
+    """(counts with hours from the first one on, start in UTC, hours) of a small written table of
+    `epoch_hour_counts`."""
+    ends = counts.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi")).first()
+    first = 0 if ends.lo is None else ends.lo
+    hours = 1 if ends.lo is None else ends.hi - ends.lo + 1
+    start = datetime.fromtimestamp(first * 3600, timezone.utc)
+    return counts.withColumn("hour", F.col("hour") - first), start, hours
+
+
 def cluster_range(spark, cluster_count) -> DataFrame:
     return spark.range(cluster_count).select(F.col("id").cast("int").alias("cluster_id"))
 
@@ -104,20 +122,14 @@ def dense_hourly_counts(events, start, hours, clusters=None, cluster_count=None)
     return dense_hours(counts, clusters, start, hours)
 
 
-def scored_buckets(series: DataFrame, window=C.HISTORY_WINDOW, min_history=C.MIN_HISTORY,
-                   std_floor=C.STD_FLOOR) -> DataFrame:
-    """Score every bucket against the `window` buckets before it.
+def _score(history: DataFrame, min_history, std_floor) -> DataFrame:
+    """Scores from `_k` buckets before a row's own, their sum `_s` and their sum of squares `_ss`.
 
     Mean and population deviation come from integer sums, so no rounding drifts at the threshold.
-    A bucket with less than `min_history` buckets before it has no score and is left out.
     """
-    w = Window.partitionBy("cluster_id").orderBy("bucket_ts").rowsBetween(-window, -1)
     k, s, ss = F.col("_k"), F.col("_s"), F.col("_ss")
     scored = (
-        series.withColumn("_k", F.count("n").over(w))
-        .withColumn("_s", F.sum("n").over(w))
-        .withColumn("_ss", F.sum(F.col("n") * F.col("n")).over(w))
-        .where((k >= min_history) & (k > 0))
+        history.where((k >= min_history) & (k > 0))
         .withColumn("historical_mean", s / k)
         .withColumn("historical_std", F.sqrt((k * ss - s * s).cast("double")) / k)
     )
@@ -130,12 +142,58 @@ def scored_buckets(series: DataFrame, window=C.HISTORY_WINDOW, min_history=C.MIN
     )
 
 
+def scored_buckets(series: DataFrame, window=C.HISTORY_WINDOW, min_history=C.MIN_HISTORY,
+                   std_floor=C.STD_FLOOR) -> DataFrame:
+    """Score every bucket of a dense series against the `window` buckets before it.
+
+    A bucket with less than `min_history` buckets before it has no score and is left out.
+    """
+    w = Window.partitionBy("cluster_id").orderBy("bucket_ts").rowsBetween(-window, -1)
+    history = (
+        series.withColumn("_k", F.count("n").over(w))
+        .withColumn("_s", F.sum("n").over(w))
+        .withColumn("_ss", F.sum(F.col("n") * F.col("n")).over(w))
+    )
+    return _score(history, min_history, std_floor)
+
+
+def scored_counts(counts: DataFrame, start: datetime, window=C.HISTORY_WINDOW, min_history=C.MIN_HISTORY,
+                  std_floor=C.STD_FLOOR) -> DataFrame:
+    """Score the hours that have events, from their counts (cluster_id, hour, n) alone.
+
+    The same scores as `scored_buckets` gives these hours in the dense series from `start`: an hour
+    without events adds nothing to the sums, and how many hours came before follows from the hour's
+    number. So a gap of any length costs nothing, and an event with a stray date adds one row.
+    """
+    w = Window.partitionBy("cluster_id").orderBy("hour").rangeBetween(-window, -1)
+    n = F.col("n").cast("long")
+    history = counts.select(
+        "cluster_id", bucket_start("hour", start).alias("bucket_ts"), n.alias("n"),
+        F.least(F.col("hour"), F.lit(window)).cast("long").alias("_k"),
+        F.coalesce(F.sum(n).over(w), F.lit(0)).alias("_s"), F.coalesce(F.sum(n * n).over(w), F.lit(0)).alias("_ss"),
+    )
+    return _score(history, min_history, std_floor)
+
+
+def _alerting(scored: DataFrame, threshold, minimum_count) -> DataFrame:
+    return scored.where((F.col("current_count") >= minimum_count) & (F.col("anomaly_score") >= threshold))
+
+
 def detect_alerts(series: DataFrame, threshold=C.ANOMALY_THRESHOLD, minimum_count=C.MIN_EVENT_COUNT,
                   **scoring) -> DataFrame:
-    """Buckets with enough history, enough events and a high enough score."""
-    return scored_buckets(series, **scoring).where(
-        (F.col("current_count") >= minimum_count) & (F.col("anomaly_score") >= threshold)
-    )
+    """Buckets of a dense series with enough history, enough events and a high enough score."""
+    return _alerting(scored_buckets(series, **scoring), threshold, minimum_count)
+
+
+def alerts_of_counts(counts: DataFrame, start: datetime, threshold=C.ANOMALY_THRESHOLD,
+                     minimum_count=C.MIN_EVENT_COUNT, **scoring) -> DataFrame:
+    """The alerts that `detect_alerts` finds in the dense series from `start`, without that series.
+
+    Only an hour with events can be an alert, so the count must be asked for at least one event.
+    """
+    if minimum_count < 1:
+        raise ValueError("an alert needs an event at least; use detect_alerts on the dense series")
+    return _alerting(scored_counts(counts, start, **scoring), threshold, minimum_count)
 
 
 def in_order(alerts: DataFrame) -> DataFrame:
@@ -202,6 +260,14 @@ def largest_group(labels: DataFrame, minimum_size=2 * C.MIN_EVENT_COUNT, group_c
     )
 
 
+def largest_of_counts(counts: DataFrame, minimum_size=2 * C.MIN_EVENT_COUNT, group_col="cluster_id"):
+    """The same from counts per group and hour."""
+    return (
+        counts.groupBy(group_col).agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= minimum_size).orderBy(F.desc("n"), group_col).limit(1)
+    )
+
+
 def require_group(group: DataFrame) -> DataFrame:
     if not group.limit(1).collect():
         raise ValueError("no group is large enough")

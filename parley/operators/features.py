@@ -1,13 +1,14 @@
 """TF-IDF, as tables and as a Spark ML pipeline.
 
-The relational form keeps one row per (document, term) and is checked against SQL. Terms are counted
-inside a document's own row, so no text is shuffled; the document frequencies are shuffled by term,
-after a partial count in every task, so a common word is no hot key.
+Texts are tokenized once; their tokens are written to the shared folder and both steps read them there.
+Document frequencies and totals are combined in every task before they are shuffled by term, so a common word
+is no hot key. With a bounded vocabulary, terms are counted, weighted and scaled inside a document's own row by
+Spark's own vectorizer, and no (document, term) row is shuffled. The relational form is checked against SQL.
 """
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
-    IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer, SQLTransformer,
+    IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from parley import constants as C
 from parley.functions import text as T
+from parley.sources.workspace import written
 
 
 def exploded(df: DataFrame, array, out, *keep) -> DataFrame:
@@ -24,30 +26,23 @@ def exploded(df: DataFrame, array, out, *keep) -> DataFrame:
     return df.select(*keep, F.explode_outer(array).alias(out)).where(F.col(out).isNotNull())
 
 
-def counted_terms(docs: DataFrame, terms, id_col="conversation_id") -> DataFrame:
-    """(id, counts): the terms of a document with their counts, as an array of (term, tf) in its row.
-
-    The sorted terms are cut into runs of equal ones, so counting needs no shuffle and no text moves.
-    """
-    ordered = docs.select(id_col, F.sort_array(terms).alias("_t"))
-    t = F.col("_t")
-    starts = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i - 1) != F.get(t, i)))
-    runs = ordered.select(id_col, "_t", F.when(F.size(t) > 0, starts).otherwise(F.array().cast("array<int>")).alias("_s"))
-    s = F.col("_s")
-    counts = F.transform(s, lambda i, k: F.struct(
-        F.get(t, i).alias("term"), (F.coalesce(F.get(s, k + 1), F.size(t)) - i).cast("long").alias("tf")))
-    return runs.select(id_col, counts.alias("counts"))
+def token_bags(docs: DataFrame, tokens, id_col="conversation_id") -> DataFrame:
+    """(id, tokens) of every document, written once."""
+    return written(docs.select(id_col, tokens.alias("_tokens")), "token-bags")
 
 
-def term_counts(docs: DataFrame, terms, id_col="conversation_id", text_col="customer_text") -> DataFrame:
-    """(id, term, tf): occurrences of every term in every document. Ids must be unique."""
-    pairs = exploded(counted_terms(docs, terms, id_col), "counts", "_c", id_col)
-    return pairs.select(id_col, "_c.term", "_c.tf")
+def bag_frequencies(bags: DataFrame, terms) -> DataFrame:
+    """(term, df, total): documents that hold a term, and how often it occurs, over `terms` of each bag."""
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    every = bags.select(F.explode(terms).alias("term"), none.alias("df"), one.alias("total"))
+    once = bags.select(F.explode(F.array_distinct(terms)).alias("term"), one.alias("df"), none.alias("total"))
+    return every.unionAll(once).groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
 
 
-def document_frequency(counts: DataFrame) -> DataFrame:
-    """(term, df, total) of a term-count table."""
-    return counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
+def term_frequencies(docs: DataFrame, id_col="conversation_id", text_col="customer_text") -> DataFrame:
+    """(term, df, total) of the clustering terms of the texts."""
+    bags = token_bags(docs, T.without_stop_words(T.tokens(text_col)), id_col)
+    return bag_frequencies(bags, T.unigrams_and_bigrams("_tokens"))
 
 
 def vocabulary(frequencies: DataFrame, doc_count, min_df=C.CLUSTER_MIN_DF, max_df=C.CLUSTER_MAX_DF,
@@ -65,12 +60,37 @@ def vocabulary(frequencies: DataFrame, doc_count, min_df=C.CLUSTER_MIN_DF, max_d
 def tfidf_weights(docs: DataFrame, terms=None, id_col="conversation_id", text_col="customer_text",
                   min_df=C.CLUSTER_MIN_DF, max_df=C.CLUSTER_MAX_DF,
                   max_features=C.CLUSTER_MAX_FEATURES) -> DataFrame:
-    """(id, term, weight) with rows of unit length."""
-    terms = T.clustering_terms(text_col) if terms is None else terms
-    counts = term_counts(docs, terms, id_col, text_col)
-    doc_count = docs.agg(F.count("*").alias("n")).scalar()
-    terms_kept = vocabulary(document_frequency(counts), doc_count, min_df, max_df, max_features)
-    raw = counts.join(terms_kept.select("term", "idf"), "term").withColumn("_w", F.col("tf") * F.col("idf"))
+    """(id, term, weight) with rows of unit length. Ids must be unique.
+
+    `terms` is a column of arrays; without it, the clustering terms of `text_col`. The vocabulary holds at most
+    `max_features` terms, which go to the tasks; without such a bound the rows meet it in a join.
+    """
+    if terms is None:
+        bags = token_bags(docs, T.without_stop_words(T.tokens(text_col)), id_col)
+        terms = T.unigrams_and_bigrams("_tokens")
+    else:
+        bags, terms = token_bags(docs, terms, id_col), F.col("_tokens")
+    kept = vocabulary(bag_frequencies(bags, terms), bags.count(), min_df, max_df, max_features).select("term", "idf")
+    if max_features is None:
+        return _weights_by_join(bags, terms, kept, id_col)
+    found = sorted(kept.collect())
+    if not found:
+        return bags.select(id_col, F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
+    stages = [
+        CountVectorizerModel.from_vocabulary([r.term for r in found], "_terms", "_tf"),
+        ElementwiseProduct(scalingVec=Vectors.dense([r.idf for r in found]), inputCol="_tf", outputCol="_weighted"),
+        Normalizer(p=2.0, inputCol="_weighted", outputCol="_unit"),
+    ]
+    unit = F.unwrap_udt(F.col("_unit"))
+    rows = PipelineModel(stages).transform(bags.select(id_col, terms.alias("_terms"))).select(
+        id_col, F.explode(F.arrays_zip(unit["indices"].alias("position"), unit["values"].alias("weight"))).alias("_w"))
+    names = bags.sparkSession.createDataFrame([(i, r.term) for i, r in enumerate(found)], "position int, term string")
+    return rows.select(id_col, "_w.position", "_w.weight").join(F.broadcast(names), "position").select(id_col, "term", "weight")
+
+
+def _weights_by_join(bags: DataFrame, terms, kept: DataFrame, id_col) -> DataFrame:
+    counts = exploded(bags, terms, "term", id_col).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
+    raw = counts.join(kept, "term").withColumn("_w", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
     return raw.select(id_col, "term", (F.col("_w") / length).alias("weight"))
 
@@ -144,13 +164,16 @@ def tfidf_stages(train: DataFrame, text_col, out="features", stop_words=None, mi
 def fit_tfidf(train: DataFrame, text_col="customer_text", out="features", stop_words=None,
               min_df=C.CLUSTER_MIN_DF, max_df=C.CLUSTER_MAX_DF,
               max_features=C.CLUSTER_MAX_FEATURES) -> TfidfModel:
-    from pyspark.ml import PipelineModel
-
     words = C.stop_words() if stop_words is None else stop_words
     stages, terms = tfidf_stages(train, text_col, out, words, min_df, max_df, max_features)
     return TfidfModel(PipelineModel(stages), terms)
 
 
+def hashed_bucket_sql(token, buckets) -> str:
+    """Number of a token's bucket, from its MD5, so that any engine gives the same."""
+    return f"pmod(cast(conv(substring(md5({token}), 1, 8), 16, 10) as bigint), {buckets})"
+
+
 class LexicalEncoder:
     """Default encoder: hashed TF-IDF of unit length. A lexical stand-in, not a sentence model."""
 
@@ -161,10 +184,10 @@ class LexicalEncoder:
 
     @classmethod
     def fit(cls, train: DataFrame, text_col, dimension=384):
-        from pyspark.ml import PipelineModel
-
+        buckets = f"SELECT *, transform(_tok, t -> cast({hashed_bucket_sql('t', dimension)} as string)) AS _buckets FROM __THIS__"
         head = _term_stage("_text", None) + [
-            HashingTF(numFeatures=dimension, inputCol="_tok", outputCol="_tf")
+            SQLTransformer(statement=buckets),
+            CountVectorizerModel.from_vocabulary([str(i) for i in range(dimension)], "_buckets", "_tf"),
         ]
         hashed = PipelineModel(head).transform(train.select(F.col(text_col).alias("_text")))
         idf = IDF(inputCol="_tf", outputCol="_idf").fit(hashed)
@@ -181,5 +204,5 @@ class LexicalEncoder:
         """Add a float array; a text without any token gets a zero vector."""
         encoded = self.pipeline_model.transform(df.withColumn("_text", F.col(text_col)))
         return encoded.withColumn(out, vector_to_array("_unit", "float32")).drop(
-            "_text", "_tok", "_tf", "_weighted", "_unit"
+            "_text", "_tok", "_buckets", "_tf", "_weighted", "_unit"
         )

@@ -19,10 +19,78 @@ def split_counts(records: DataFrame) -> DataFrame:
     return records.rollup("split").agg(F.count("*").alias("n"))
 
 
+#: What a value can be seen as, each with a bit of its own; the patterns are tried in this order.
+OBSERVED = (
+    ("boolean", 2, "(?i)^(true|false)$"),
+    ("integer", 4, "^[+-]?[0-9]{1,18}$"),
+    ("decimal", 8, r"^[+-]?([0-9]+\.[0-9]*|\.[0-9]+|[0-9]+)([eE][+-]?[0-9]{1,3})?$"),
+    ("date", 16, "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+    ("timestamp", 32, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"),
+)
+BLANK, TEXT, DECLARED = 1, 64, 128
+LONGEST_LITERAL = 64
+#: What columns are that hold values of these kinds only; the first line that covers all of them holds.
+OBSERVED_AS = (("blank", BLANK), ("boolean", 3), ("integer", 5), ("decimal", 13), ("date", 17), ("timestamp", 49))
+
+
+def _kind_bit(field) -> Column:
+    """Bit of what a value is seen as; null for a null."""
+    c, kind = F.col(f"`{field.name}`"), field.dataType.typeName()
+    bits = {name: bit for name, bit, _ in OBSERVED}
+    if kind == "string":
+        short, value = F.length(c) <= LONGEST_LITERAL, T.strip(c)
+        seen = F.when(~short, F.lit(TEXT)).when(value == "", F.lit(BLANK))
+        for _, bit, pattern in OBSERVED:
+            seen = seen.when(value.rlike(pattern), F.lit(bit))
+        seen = seen.otherwise(F.lit(TEXT))
+    elif kind in ("double", "float", "decimal"):
+        # a quotient of a number that is not finite equals nothing
+        seen = F.when((c - c == 0) & (F.floor(c.cast("double")) == c), F.lit(bits["integer"])).otherwise(F.lit(bits["decimal"]))
+    elif kind in ("byte", "short", "integer", "long"):
+        seen = F.lit(bits["integer"])
+    else:
+        seen = F.lit(bits.get(kind.removesuffix("_ntz"), DECLARED))
+    return F.when(c.isNotNull(), seen)
+
+
+def _measured_length(field) -> Column:
+    c, kind = F.col(f"`{field.name}`"), field.dataType.typeName()
+    if kind in ("string", "binary"):
+        return F.length(c)
+    if kind in ("array", "map"):
+        return F.when(c.isNotNull(), F.size(c))
+    return F.lit(None).cast("int")
+
+
 def schema_summary(df: DataFrame) -> DataFrame:
-    """One row per column: name, declared type, nullable."""
-    fields = [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(fields, "name string, type string, nullable boolean")
+    """One row per column: name, declared type, nullable, the type that all its values are seen as, rows, nulls,
+    least and greatest length (characters, bytes or elements).
+
+    Every row is looked at, in one aggregate for all columns. What a column has been seen as is a set of bits
+    that tasks combine by OR, so the state is one number however many values there are. Text that holds only
+    literals of a kind is of that kind; blank text goes with any. A column without a value is 'none'.
+    """
+    fields = df.schema.fields
+    state = [F.count(F.lit(1)).alias("_rows")]
+    for i, f in enumerate(fields):
+        length = _measured_length(f)
+        state += [F.count(F.col(f"`{f.name}`")).alias(f"_c{i}"), F.bit_or(_kind_bit(f)).alias(f"_k{i}"),
+                  F.min(length).alias(f"_l{i}"), F.max(length).alias(f"_m{i}")]
+
+    def observed(i, f):
+        seen = F.col(f"_k{i}")
+        said = F.when(seen.isNull(), F.lit("none")).when(seen >= DECLARED, F.lit(f.dataType.simpleString()))
+        for name, allowed in OBSERVED_AS:
+            said = said.when(seen.bitwiseAND(F.lit(~allowed)) == 0, F.lit(name))
+        return said.otherwise(F.lit("text"))
+
+    rows = [
+        F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type"), F.lit(f.nullable).alias("nullable"),
+                 observed(i, f).alias("observed"), F.col("_rows").alias("rows"), (F.col("_rows") - F.col(f"_c{i}")).alias("nulls"),
+                 F.col(f"_l{i}").alias("min_length"), F.col(f"_m{i}").alias("max_length"))
+        for i, f in enumerate(fields)
+    ]
+    return df.agg(*state).select(F.inline(F.array(*rows)))
 
 
 def value_counts(records: DataFrame, columns=CATEGORIES) -> DataFrame:

@@ -3,7 +3,6 @@
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -12,27 +11,26 @@ from pyspark.sql import functions as F
 from parley import constants as C
 from parley.operators.evaluation import stratified_split, split_overlap
 from parley.operators.features import tfidf_stages
+from parley.operators.softmax import as_model, fit_softmax
 from parley.operators.quality import duplicate_ids, require_none, training_examples
 
 
 def fit_classifier(train: DataFrame, text_col="customer_text", label_col="domain",
-                   max_features=C.CLASSIFIER_MAX_FEATURES, max_iter=1000, tol=1e-4) -> PipelineModel:
+                   max_features=C.CLASSIFIER_MAX_FEATURES, tol=1e-4, max_passes=200) -> PipelineModel:
     """L2-regularised multinomial regression with C = 1, unscaled input.
 
-    Spark averages the loss over the rows, hence regParam = 1 / rows. The regression keeps its own
-    blocks of the training vectors, so nothing is persisted here. Spark solves in
-    coordinates scaled by deviation, where a penalty on unscaled coefficients converges slowly:
-    `tol` is the price of a pass over the data, not of the labels, which settle long before.
+    The loss is a mean over the rows, hence the penalty of 1 / rows; `parley.operators.softmax` has the solver. A
+    solver that does not converge within `max_passes` over the rows is an error.
     """
-    stages, _ = tfidf_stages(train, text_col, "features", max_features=max_features)
+    stages, terms = tfidf_stages(train, text_col, "features", max_features=max_features)
     indexer = StringIndexer(
         inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc", handleInvalid="error"
     ).fit(train)
     vectors = indexer.transform(PipelineModel(stages).transform(train)).select("features", "_label")
-    regression = LogisticRegression(
-        featuresCol="features", labelCol="_label", family="multinomial", regParam=1.0 / train.count(),
-        elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=tol, predictionCol="_class",
-    ).fit(vectors)
+    fit = fit_softmax(vectors, len(indexer.labels), len(terms), 1.0 / train.count(), tol=tol, max_passes=max_passes)
+    if not fit.converged:
+        raise RuntimeError(f"the classifier did not converge in {fit.passes} passes")
+    regression = as_model(train.sparkSession, fit).setFeaturesCol("features").setPredictionCol("_class")
     names = IndexToString(inputCol="_class", outputCol="predicted", labels=indexer.labels)
     return PipelineModel(stages + [regression, names])
 

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import text as T
-from parley.operators.alerts import alert_events, attach_terms, dense_hourly_counts, detect_alerts
+from parley.operators.alerts import (
+    alert_events, alerts_of_counts, attach_terms, epoch_hour_counts, numbered_from,
+)
+from parley.sources.workspace import written
 
 
 @dataclass
@@ -15,17 +18,17 @@ class EmergingReport:
     samples: DataFrame
 
 
-def emerging_report(events: DataFrame, start, hours, terms: DataFrame, event_id="event_id",
-                    texts=None, text_key="conversation_id", text_col="customer_text", clusters=None,
-                    samples=3, chars=180, **detection) -> EmergingReport:
+def emerging_report(events: DataFrame, terms: DataFrame, event_id="event_id", texts=None,
+                    text_key="conversation_id", text_col="customer_text", samples=3, chars=180, **detection) -> EmergingReport:
     """Count, score and filter; then terms per alert and up to `samples` previews.
 
-    `events` has cluster_id, ts and, for previews, the key of its text. The texts are joined last,
-    to the few rows that are shown, and not carried along with every event.
+    `events` has cluster_id, ts and, for previews, the key of its text; hours count from the first event's.
+    The hourly counts and the alerts are small and written once, so the events are read twice in all: to
+    count them, and to find those of the alerts. The texts are joined last, to the few rows that are shown.
     """
-    series = dense_hourly_counts(events, start, hours, clusters)
-    alerts = detect_alerts(series, **detection)
-    shown = alert_events(events, alerts, start, event_id, samples)
+    counts, start, _ = numbered_from(written(epoch_hour_counts(events), "event-counts"))
+    alerts = written(alerts_of_counts(counts, start, **detection), "alerts")
+    shown = written(alert_events(events, alerts, start, event_id, samples), "alert-events")
     keep = ["cluster_id", "bucket_ts", "rank", event_id]
     if texts is not None:
         # only the texts that are shown move, and only their first characters

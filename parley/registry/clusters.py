@@ -200,8 +200,7 @@ def rep_with_text(spark, sf):
   tf AS (SELECT conversation_id, term, count(*) AS tf FROM terms GROUP BY ALL)
   SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total FROM tf GROUP BY term""")
 def term_df(spark, sf):
-    docs = I.document_conversations(spark, sf)
-    return X.document_frequency(X.term_counts(docs, T.clustering_terms("customer_text")))
+    return X.term_frequencies(I.document_conversations(spark, sf))
 
 
 @query("tfidf_weights", f"WITH {TFIDF_SQL} SELECT conversation_id, term, round(weight, 6) AS weight FROM weights")

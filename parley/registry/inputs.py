@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley import constants as C
-from parley.operators.alerts import observed_hours
+from parley.operators.alerts import epoch_hour_counts, numbered_from
 from parley.operators.conversations import assemble_channels
 from parley.registry.base import sql_list, sql_text, table
 from parley.schemas import CHANNEL_RECORD
 from parley.sources.splits import union_splits
+from parley.sources.workspace import written
 
 # ---- channel records ----
 
@@ -203,14 +204,21 @@ def with_kind(df, column, seen=None) -> DataFrame:
     return df.join(kinds, F.col(column).eqNullSafe(F.col("_kind")), "left").drop("_kind")
 
 
-def cluster_events(spark, sf_dir) -> DataFrame:
-    """Events with cluster_id = place of the event type by name, and a UTC timestamp."""
-    return with_kind(given_events(spark, sf_dir), "event_type")
+def kind_counts(spark, sf_dir) -> DataFrame:
+    """(event_type, hour, n) of all events, by hours since 1970: a small table, written once, that the series,
+    the numbers of the kinds and the alerts are all made from."""
+    return written(epoch_hour_counts(given_events(spark, sf_dir), "event_type"), "event-counts")
 
 
-def event_hours(spark, sf_dir):
-    """(first hour, hours) that the events cover."""
-    return observed_hours(given_events(spark, sf_dir))
+def cluster_counts(counts: DataFrame):
+    """(counts per cluster and hour, first hour, hours): cluster_id = place of the event type by name."""
+    numbered, start, hours = numbered_from(counts)
+    return with_kind(numbered, "event_type").select("cluster_id", "hour", "n"), start, hours
+
+
+def cluster_events(spark, sf_dir, counts: DataFrame) -> DataFrame:
+    """Events with the cluster_id of their type, which comes from the counts: the events are not shuffled."""
+    return with_kind(given_events(spark, sf_dir), "event_type", counts)
 
 
 _TABLE_EVENTS = "SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, event_type FROM events"

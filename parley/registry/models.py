@@ -97,7 +97,20 @@ def encoder(spark, sf):
     return X.LexicalEncoder.fit(table(spark, sf, "documents"), "text")
 
 
-@query("encode_texts")
+_BUCKETS = 384
+_BUCKET_SQL = f"CAST(('0x' || substr(md5(t), 1, 8))::BIGINT % {_BUCKETS} AS INTEGER)"
+_ENCODER_SQL = f"""dt AS (SELECT DISTINCT doc_id, unnest(list_transform(regexp_extract_all(lower(text), '{I.TOKEN_RE}'), lambda t: {_BUCKET_SQL})) AS b
+    FROM documents),
+  idf AS (SELECT b, ln((SELECT count(*) + 1.0 FROM documents) / (1.0 + count(*))) + 1.0 AS idf FROM dt GROUP BY b)"""
+_CHUNK = 256 - 2 - C.TOKEN_MARGIN  # words of a chunk under the default limit
+#: A bucket that no document fills has the highest idf.
+_NO_IDF = "(SELECT ln(count(*) + 1.0) + 1.0 FROM documents)"
+
+
+@query("encode_texts", f"""WITH {_ENCODER_SQL},
+  tt AS (SELECT conv_id, turn, unnest(list_transform(regexp_extract_all(lower(text), '{I.TOKEN_RE}'), lambda t: {_BUCKET_SQL})) AS b FROM conversations),
+  w AS (SELECT conv_id, turn, tt.b, count(*) * coalesce(any_value(idf), {_NO_IDF}) AS w FROM tt LEFT JOIN idf ON idf.b = tt.b GROUP BY ALL)
+  SELECT conv_id, turn, b AS position, round((w / sqrt(sum(w * w) OVER (PARTITION BY conv_id, turn)))::FLOAT::DOUBLE, 4) AS value FROM w""")
 def encode_texts(spark, sf):
     """Lexical vectors of the turns, encoded as they are; norm and share of filled positions."""
     turns = encoder(spark, sf).encode(table(spark, sf, "conversations"), "text")
@@ -115,7 +128,18 @@ def document_vectors(spark, sf):
     return D.split_vectors(encoded)[0]
 
 
-@query("encode_long_texts")
+@query("encode_long_texts", f"""WITH {_ENCODER_SQL},
+  words AS (SELECT CAST(doc_id AS VARCHAR) AS conversation_id, list_filter(regexp_split_to_array(text, '{I.WS_RE}+'), lambda x: x <> '') AS t
+    FROM documents),
+  cut AS (SELECT conversation_id, t[start + 1 : start + {_CHUNK}] AS piece, start FROM (
+    SELECT conversation_id, t, unnest(range(0, len(t), {_CHUNK})) AS start FROM words)),
+  sizes AS (SELECT conversation_id, sum(len(piece)) AS total FROM cut GROUP BY ALL),
+  tt AS (SELECT conversation_id, start, len(piece) AS n,
+    unnest(list_transform(regexp_extract_all(lower(array_to_string(piece, ' ')), '{I.TOKEN_RE}'), lambda t: {_BUCKET_SQL})) AS b FROM cut),
+  w AS (SELECT conversation_id, start, n, tt.b, count(*) * coalesce(any_value(idf), {_NO_IDF}) AS w FROM tt LEFT JOIN idf ON idf.b = tt.b GROUP BY ALL),
+  u AS (SELECT *, (w / sqrt(sum(w * w) OVER (PARTITION BY conversation_id, start)))::FLOAT::DOUBLE AS v FROM w),
+  p AS (SELECT conversation_id, b, sum(v * n) / any_value(total) AS v FROM u JOIN sizes USING (conversation_id) GROUP BY ALL)
+  SELECT conversation_id, b AS position, round((v / sqrt(sum(v * v) OVER (PARTITION BY conversation_id)))::FLOAT::DOUBLE, 4) AS value FROM p""")
 def encode_long_texts(spark, sf):
     """One pooled vector per document, whatever its length."""
     docs = I.document_conversations(spark, sf).select("conversation_id", "customer_text")

@@ -9,7 +9,7 @@ from parley.plans import emerging as M
 from parley.registry import inputs as I
 from parley.registry.base import query, sql_text, table
 from parley.registry.inputs import ALERTS_SQL, DESCRIBE_SQL, LIVE_ALERTS_SQL, LIVE_EVENTS_SQL
-from parley.sources.workspace import new_path
+from parley.sources.workspace import new_path, written
 from parley.streaming import live as L
 
 _STAMP = "yyyy-MM-dd HH:mm:ss"
@@ -29,11 +29,13 @@ _SCORES_SQL = ", ".join(f"round({c}, 6) AS {c}" for c in _SCORES)
 
 
 def series(spark, sf):
-    return A.dense_hourly_counts(I.cluster_events(spark, sf), *I.event_hours(spark, sf))
+    counts, start, hours = I.cluster_counts(I.kind_counts(spark, sf))
+    return A.dense_hours(counts, counts.select("cluster_id").distinct(), start, hours)
 
 
 def alerts(spark, sf):
-    return A.detect_alerts(series(spark, sf))
+    counts, start, _ = I.cluster_counts(I.kind_counts(spark, sf))
+    return A.alerts_of_counts(counts, start)
 
 
 def document_terms(spark, sf):
@@ -116,14 +118,16 @@ def alert_text(spark, sf):
       row_number() OVER (PARTITION BY x.cluster_id, x.bucket_ts ORDER BY e.ts, e.event_id) AS rank
     FROM alerts x JOIN ev e ON e.cluster_id = x.cluster_id AND e.hour = x.hour) a WHERE rank <= 3""")
 def alert_events(spark, sf):
-    found = A.alert_events(I.cluster_events(spark, sf), alerts(spark, sf), I.event_hours(spark, sf)[0])
+    kinds = I.kind_counts(spark, sf)
+    counts, start, _ = I.cluster_counts(kinds)
+    found = A.alert_events(I.cluster_events(spark, sf, kinds), written(A.alerts_of_counts(counts, start), "alerts"), start)
     return found.select("event_id", "cluster_id", F.date_format("bucket_ts", _STAMP).alias("bucket"), "rank")
 
 
 def _once_per_user(events):
-    """The same events with every user counted once per cluster and hour."""
-    hour = F.date_trunc("hour", "ts")
-    return events.groupBy("cluster_id", hour.alias("ts"), "user_id").agg(F.count("*").alias("_n")).drop("_n")
+    """(event_type, hour, n): every user counted once per kind and hour since 1970."""
+    hour = F.floor(F.unix_micros("ts") / A.HOUR_MICROS).cast("int").alias("hour")
+    return events.select("event_type", "user_id", hour).distinct().groupBy("event_type", "hour").agg(F.count("*").alias("n"))
 
 
 @query("alert_diff", f"""WITH {ALERTS_SQL},
@@ -135,9 +139,10 @@ def _once_per_user(events):
     CASE WHEN a.cluster_id IS NULL THEN 'changed only' WHEN b.cluster_id IS NULL THEN 'control only' ELSE 'both' END AS status
   FROM alerts a FULL OUTER JOIN alerts2 b ON a.cluster_id = b.cluster_id AND a.bucket_ts = b.bucket_ts""")
 def alert_diff(spark, sf):
-    events = I.cluster_events(spark, sf)
-    changed = A.detect_alerts(A.dense_hourly_counts(_once_per_user(events), *I.event_hours(spark, sf)))
-    diff = A.alert_diff(alerts(spark, sf), changed)
+    counts, start, _ = I.cluster_counts(I.kind_counts(spark, sf))
+    # the same hours and kinds have events in both, so they are numbered alike
+    once, _, _ = I.cluster_counts(written(_once_per_user(I.given_events(spark, sf)), "user-counts"))
+    diff = A.alert_diff(A.alerts_of_counts(counts, start), A.alerts_of_counts(once, start))
     return diff.select(
         "cluster_id", F.date_format("bucket_ts", _STAMP).alias("bucket"), "status",
         *[F.coalesce(c, F.lit(0)).alias(c) for c in ("control_count", "changed_count")],
@@ -157,9 +162,10 @@ def largest_group(spark, sf):
     coalesce(bool_or(cluster_id = (FROM target) AND bucket_ts >= TIMESTAMP '2024-01-15'), false) AS detected_in_period
   FROM alerts""")
 def alert_summary(spark, sf):
-    target = A.largest_group(I.cluster_events(spark, sf)).select("cluster_id").scalar()
+    counts, start, _ = I.cluster_counts(I.kind_counts(spark, sf))
+    target = A.largest_of_counts(counts).select("cluster_id").scalar()
     period = F.lit("2024-01-15 00:00:00").cast("timestamp")
-    return A.alert_summary(alerts(spark, sf), target, period)
+    return A.alert_summary(A.alerts_of_counts(counts, start), target, period)
 
 
 def user_calls(spark, sf):
@@ -185,10 +191,7 @@ def user_calls(spark, sf):
   LEFT JOIN told s ON s.cluster_id = a.cluster_id AND s.bucket_ts = a.bucket_ts""")
 def emerging_report(spark, sf):
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("user_id"), "text")
-    report = M.emerging_report(
-        user_calls(spark, sf), *I.event_hours(spark, sf), document_terms(spark, sf), texts=texts,
-        text_key="user_id", text_col="text",
-    )
+    report = M.emerging_report(user_calls(spark, sf), document_terms(spark, sf), texts=texts, text_key="user_id", text_col="text")
     return _shown(
         M.report_rows(report), F.array_join("descriptive_terms", "|").alias("terms"),
         F.array_join("samples", "||").alias("samples"),
@@ -228,3 +231,36 @@ def live_alerts(spark, sf):
     sink = L.AlertSink(spark, new_path(spark, "live-alerts"), start)
     L.write_alerts_stream(event_stream(spark, sf), sink, new_path(spark, "live-alerts-log")).awaitTermination()
     return _shown(sink.alerts())
+
+
+# ---- late events ----
+
+PORTIONS = 4
+_PORTIONS_SQL = f"""portions AS (SELECT *, event_id % {PORTIONS} AS portion, date_trunc('hour', ts) AS bucket_ts FROM ev),
+  highs AS (SELECT portion, max(max(ts)) OVER (ORDER BY portion ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high
+    FROM portions GROUP BY portion),
+  marked AS (SELECT p.*, coalesce(bucket_ts + INTERVAL 1 HOUR <= high - INTERVAL 1 HOUR, false) AS late
+    FROM portions p JOIN highs USING (portion))"""
+
+
+@query("live_late_events", f"""WITH {LIVE_EVENTS_SQL}, {_PORTIONS_SQL}
+  SELECT cluster_id, {_BUCKET}, count(*) FILTER (NOT late) AS n_counted, count(*) FILTER (late) AS n_late FROM marked
+  WHERE {_CLOSED_SQL} GROUP BY cluster_id, bucket_ts""")
+def live_late_events(spark, sf):
+    """Closed hours of a stream that comes in portions, each over the whole time: what was counted in time, and the
+    events that came too late, which are kept."""
+    events = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    rows = I.with_kind(events, "event_type").select("event_id", "ts", "cluster_id")
+    folder, log = new_path(spark, "event-portions"), new_path(spark, "late-log")
+    sink = L.LateCountSink(spark, new_path(spark, "late-counts"), compact_every=3)
+    for portion in range(PORTIONS):
+        rows.where(F.col("event_id") % PORTIONS == portion).write.mode("append").parquet(folder)
+        L.write_counts_with_late(spark.readStream.schema(rows.schema).parquet(folder), sink, log).awaitTermination()
+    last = PORTIONS - 1
+    hour = F.timestamp_micros(F.floor(F.unix_micros("ts") / A.HOUR_MICROS) * A.HOUR_MICROS)
+    late = sink.late_events(last).groupBy("cluster_id", hour.alias("bucket_ts")).agg(F.count("*").alias("n_late"))
+    both = sink.closed_counts(last).join(late, ["cluster_id", "bucket_ts"], "full_outer")
+    return both.select(
+        "cluster_id", F.date_format("bucket_ts", _STAMP).alias("bucket"),
+        F.coalesce("n", F.lit(0)).alias("n_counted"), F.coalesce("n_late", F.lit(0)).alias("n_late"),
+    )

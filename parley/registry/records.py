@@ -1,5 +1,7 @@
 """Queries: splits, profile, pairing, row checks."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from parley.functions import display as D
@@ -10,8 +12,9 @@ from parley.operators import quality as Q
 from parley.registry import inputs as I
 from parley.registry.base import query, sql_text, table
 from parley.registry.inputs import (
-    CHANNEL_RECORDS_SQL, DOCUMENTS_SQL, SPLITS_SQL, TURN_RECORDS_SQL, sql_blank, sql_rows,
+    CHANNEL_RECORDS_SQL, DOCUMENTS_SQL, SPLITS_SQL, TURN_RECORDS_SQL, WS_SQL, sql_blank, sql_rows,
 )
+from parley.schemas import CHANNEL_RECORD
 from parley.sources import splits as S
 
 
@@ -26,9 +29,45 @@ def split_counts(spark, sf):
     return P.split_counts(I.text_splits(spark, sf)).withColumn("split", F.coalesce("split", F.lit("all")))
 
 
-@query("schema_summary")
+@query("split_counts_of_files", """WITH c AS (SELECT 'benchmark' AS split, count(*) AS n FROM benchmark
+    UNION ALL SELECT 'documents', count(*) FROM documents UNION ALL SELECT 'pages', count(*) FROM pages)
+  SELECT coalesce(split, 'all') AS split, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY ROLLUP (split)""")
+def split_counts_of_files(spark, sf):
+    """The same from the files' footers."""
+    paths = {name: os.path.join(sf, f"{name}.parquet") for name in ("benchmark", "documents", "pages")}
+    return S.split_counts_of_files(spark, paths).withColumn("split", F.coalesce("split", F.lit("all")))
+
+
+_EVENT_TYPES = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
+
+
+def _sql_summary(source, name, kind):
+    """A column's row of the summary."""
+    bits = {n: bit for n, bit, _ in P.OBSERVED}
+    if kind == "string":
+        tried = " ".join(f"WHEN regexp_matches(trim({name}, {WS_SQL}), '{pattern}') THEN {bit}" for _, bit, pattern in P.OBSERVED)
+        bit = f"CASE WHEN length({name}) > {P.LONGEST_LITERAL} THEN {P.TEXT} WHEN trim({name}, {WS_SQL}) = '' THEN {P.BLANK} {tried} ELSE {P.TEXT} END"
+    elif kind == "double":
+        bit = f"CASE WHEN isfinite({name}) AND floor({name}) = {name} THEN {bits['integer']} ELSE {bits['decimal']} END"
+    else:
+        bit = str(bits["timestamp" if kind.startswith("timestamp") else "integer"])
+    said = " ".join(f"WHEN (k & ~{allowed}) = 0 THEN '{n}'" for n, allowed in P.OBSERVED_AS)
+    length = f"length({name})" if kind == "string" else "NULL"
+    return f"""SELECT '{source}' AS source, '{name}' AS name, '{kind}' AS type, true AS nullable,
+      CASE WHEN k IS NULL THEN 'none' {said} ELSE 'text' END AS observed, rows, nulls, min_length, max_length FROM (
+      SELECT bit_or(CAST(CASE WHEN {name} IS NOT NULL THEN {bit} END AS INTEGER)) AS k, count(*) AS rows, count(*) - count({name}) AS nulls,
+        CAST(min({length}) AS DOUBLE) AS min_length, CAST(max({length}) AS DOUBLE) AS max_length FROM {source})"""
+
+
+@query("schema_summary", f"WITH {TURN_RECORDS_SQL} " + " UNION ALL ".join(
+    [_sql_summary("records", f.name, "string") for f in CHANNEL_RECORD.fields]
+    + [_sql_summary("events", name, kind) for name, kind in _EVENT_TYPES.items()]))
 def schema_summary(spark, sf):
-    return P.schema_summary(I.turn_records(spark, sf))
+    """Declared and observed types of the channel records and of the events."""
+    tables = {"records": I.turn_records(spark, sf), "events": table(spark, sf, "events")}
+    named = [P.schema_summary(df).withColumn("source", F.lit(name)) for name, df in tables.items()]
+    lengths = {c: F.col(c).cast("double") for c in ("min_length", "max_length")}
+    return named[0].unionByName(named[1]).withColumns(lengths)
 
 
 @query("preview_rows", f"""SELECT page_id, url, CASE WHEN length(html) > 300

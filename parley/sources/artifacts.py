@@ -1,7 +1,13 @@
-"""Tables with a manifest: written together, checked when read back."""
+"""Tables with a manifest: written together, checked when read back.
+
+Every write goes to a version folder of its own and is published last, by a line in a list of pointers; a reader
+takes the newest. So a reader never sees data of one run under the manifest of another, and a run that is
+killed half-way leaves the artifact before it readable.
+"""
 
 import json
 import os
+import uuid
 
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
@@ -23,6 +29,9 @@ ISSUE_PARAMETERS = {
 }
 
 
+POINTERS = "published"
+
+
 class ArtifactMissing(FileNotFoundError):
     """Nothing was written at the path."""
 
@@ -31,24 +40,57 @@ class ArtifactInvalid(ValueError):
     """The artifact cannot be read, is incomplete, or belongs to other parameters."""
 
 
-def _manifest(spark, path, values: dict):
-    """One JSON line beside the data, written by Spark so that any file system will do."""
-    spark.createDataFrame([(json.dumps(values, sort_keys=True),)], "value string").coalesce(
-        1
-    ).write.mode("overwrite").text(os.path.join(path, "manifest"))
+def _new_version(path) -> str:
+    """A folder of its own for what is written now; what was published before stays as it is."""
+    return os.path.join(path, f"version-{uuid.uuid4().hex}")
 
 
-def read_manifest(spark: SparkSession, path) -> dict:
+def _published(spark: SparkSession, path) -> list[dict]:
+    """Everything that was published at the path, the newest last."""
     try:
-        line = spark.read.text(os.path.join(path, "manifest")).first()
+        lines = spark.read.text(os.path.join(path, POINTERS)).collect()
     except PySparkException as error:
         raise ArtifactMissing(f"no artifact at {path}") from error
     try:
-        return json.loads(line.value)
-    except (AttributeError, ValueError) as error:
+        found = [json.loads(r.value) for r in lines]
+        if not found:
+            raise ValueError("no line")
+        return sorted(found, key=lambda x: (x["number"], x["version"]))
+    except (KeyError, TypeError, ValueError) as error:
         raise ArtifactInvalid(f"the manifest at {path} cannot be read") from error
 
 
+def _publish(spark: SparkSession, path, version, values: dict) -> None:
+    """Point to a version that is complete: one more JSON line beside the others, which Spark's own commit
+    shows at once or not at all. A run that ends before leaves the version before it in place."""
+    try:
+        number = _published(spark, path)[-1]["number"] + 1
+    except ArtifactMissing:
+        number = 0
+    line = json.dumps({"number": number, "version": os.path.basename(version), "manifest": values}, sort_keys=True)
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(os.path.join(path, POINTERS))
+
+
+def _current(spark: SparkSession, path):
+    """(folder, manifest) of the newest version."""
+    newest = _published(spark, path)[-1]
+    return os.path.join(path, newest["version"]), newest["manifest"]
+
+
+def read_manifest(spark: SparkSession, path) -> dict:
+    return _current(spark, path)[1]
+
+
+def drop_old_versions(spark: SparkSession, path, keep=2) -> list[str]:
+    """Remove the folders of all but the last `keep` published versions, and return their names. Folders of
+    runs that never published stay: one of them may still be at work."""
+    old = [x["version"] for x in _published(spark, path)[:-keep]] if keep > 0 else []
+    for name in old:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, name))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return old
+
+
 def _require(manifest, expected, path):
     wrong = {k: manifest.get(k) for k, v in expected.items() if manifest.get(k) != v}
     if wrong:
@@ -56,24 +98,24 @@ def _require(manifest, expected, path):
 
 
 def write_issues(issues: DataFrame, path, **parameters) -> None:
-    """Write issue records, validate what was written, then put the manifest beside them.
+    """Write issue records, validate what was written, then publish it.
 
-    The manifest comes last, so a run that failed leaves no artifact that can be read. Checking the
-    written table means that a generator is not run twice.
+    A run that failed leaves what was published before it. Checking the written table means that a
+    generator is not run twice.
     """
-    spark = issues.sparkSession
-    data = os.path.join(path, "records")
-    issues.select(*ISSUE.names).write.mode("overwrite").parquet(data)
+    spark, version = issues.sparkSession, _new_version(path)
+    data = os.path.join(version, "records")
+    issues.select(*ISSUE.names).write.parquet(data)
     written = spark.read.schema(ISSUE).parquet(data)
     require_none(issue_record_rejects(written), "issue record is not valid")
-    _manifest(spark, path, {**ISSUE_PARAMETERS, **parameters, "conversation_count": written.count()})
+    _publish(spark, path, version, {**ISSUE_PARAMETERS, **parameters, "conversation_count": written.count()})
 
 
 def read_issues(spark: SparkSession, path, **parameters) -> DataFrame:
-    manifest = read_manifest(spark, path)
+    folder, manifest = _current(spark, path)
     _require(manifest, {**ISSUE_PARAMETERS, **parameters}, path)
     try:
-        records = spark.read.schema(ISSUE).parquet(os.path.join(path, "records"))
+        records = spark.read.schema(ISSUE).parquet(os.path.join(folder, "records"))
         count = records.count()
     except PySparkException as error:
         raise ArtifactInvalid(f"the records at {path} cannot be read") from error
@@ -102,9 +144,10 @@ def write_cluster_model(model: KMeansModel, terms: DataFrame, path, embedding_mo
     values, table = cluster_metadata(
         terms, embedding_model, len(centers), len(centers[0]), conversation_count
     )
-    model.write().overwrite().save(os.path.join(path, "model"))
-    table.write.mode("overwrite").json(os.path.join(path, "terms"))
-    _manifest(terms.sparkSession, path, values)
+    version = _new_version(path)
+    model.write().save(os.path.join(version, "model"))
+    table.write.json(os.path.join(version, "terms"))
+    _publish(terms.sparkSession, path, version, values)
 
 
 def check_cluster_metadata(manifest, terms: DataFrame, cluster_count, dimension, embedding_model):
@@ -126,10 +169,10 @@ def check_cluster_metadata(manifest, terms: DataFrame, cluster_count, dimension,
 
 def read_cluster_model(spark: SparkSession, path, embedding_model):
     """(model, terms, manifest) of a cluster model, checked against each other."""
-    manifest = read_manifest(spark, path)
+    folder, manifest = _current(spark, path)
     try:
-        model = KMeansModel.load(os.path.join(path, "model"))
-        terms = spark.read.schema(CLUSTER_TERMS).json(os.path.join(path, "terms"), mode="FAILFAST")
+        model = KMeansModel.load(os.path.join(folder, "model"))
+        terms = spark.read.schema(CLUSTER_TERMS).json(os.path.join(folder, "terms"), mode="FAILFAST")
         centers = model.clusterCenters()
     except Exception as error:
         raise ArtifactInvalid(f"the cluster model at {path} cannot be read") from error
@@ -138,33 +181,36 @@ def read_cluster_model(spark: SparkSession, path, embedding_model):
 
 
 def write_classifier(model: PipelineModel, path, spark, input_mode=C.INPUT_MODE):
-    model.write().overwrite().save(os.path.join(path, "pipeline"))
-    _manifest(spark, path, {"input_mode": input_mode})
+    version = _new_version(path)
+    model.write().save(os.path.join(version, "pipeline"))
+    _publish(spark, path, version, {"input_mode": input_mode})
 
 
 def read_classifier(spark, path, input_mode=C.INPUT_MODE) -> PipelineModel:
     """Saved classifier; refused unless it was trained on the same kind of input."""
-    _require(read_manifest(spark, path), {"input_mode": input_mode}, path)
+    folder, manifest = _current(spark, path)
+    _require(manifest, {"input_mode": input_mode}, path)
     try:
-        return PipelineModel.load(os.path.join(path, "pipeline"))
+        return PipelineModel.load(os.path.join(folder, "pipeline"))
     except Exception as error:
         raise ArtifactInvalid(f"the classifier at {path} cannot be read") from error
 
 
 def write_alerts(alerts: DataFrame, path, temporal_mode="event_time", is_real_time=False):
     """Alerts as JSON lines with ISO timestamps, and how their times came about."""
-    alert_json(alerts).write.mode("overwrite").text(os.path.join(path, "alerts"))
-    _manifest(alerts.sparkSession, path, {"temporal_mode": temporal_mode, "is_real_time": is_real_time})
+    version = _new_version(path)
+    alert_json(alerts).write.text(os.path.join(version, "alerts"))
+    _publish(alerts.sparkSession, path, version, {"temporal_mode": temporal_mode, "is_real_time": is_real_time})
 
 
 def read_alerts(spark, path, temporal_mode="event_time", is_real_time=False) -> DataFrame:
-    manifest = read_manifest(spark, path)
+    folder, manifest = _current(spark, path)
     _require(manifest, {"temporal_mode": temporal_mode, "is_real_time": is_real_time}, path)
     kinds = {f.name: f.dataType.simpleString() for f in ALERT.fields}
     kinds["timestamp"] = kinds.pop("bucket_ts")
     schema = ", ".join(f"`{n}` {k}" for n, k in kinds.items())
     try:
-        rows = spark.read.schema(schema).json(os.path.join(path, "alerts"), mode="FAILFAST")
+        rows = spark.read.schema(schema).json(os.path.join(folder, "alerts"), mode="FAILFAST")
     except PySparkException as error:
         raise ArtifactInvalid(f"the alerts at {path} cannot be read") from error
     return rows.withColumnRenamed("timestamp", "bucket_ts").withColumn(

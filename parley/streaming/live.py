@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from parley import constants as C
 from parley.functions.display import in_utc
-from parley.operators.alerts import dense_hours, hour_offset, scored_buckets
+from parley.operators.alerts import HOUR_MICROS, dense_hours, hour_offset, scored_buckets
 
 BUCKETS = "cluster_id int, bucket_ts timestamp, n long, batch_id long, dt date"
 STATE = "cluster_id int, last int"
@@ -112,3 +112,88 @@ def write_alerts_stream(events: DataFrame, sink: AlertSink, checkpoint, delay="1
         .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+# ---- counts that keep late events ----
+
+OPEN_COUNTS = "cluster_id int, hour int, n long"
+PROGRESS = "high long, base long"
+COMPACT_EVERY = 20
+
+
+class LateCountSink:
+    """foreachBatch writer of raw events: hourly counts, and late events kept beside them.
+
+    The watermark is that of the stream: the newest event time of the batches before, less `delay`. An event
+    whose hour had closed by then is late. It changes no count that was given out, and is written to a table of
+    its own with the batch it came in, where a stream's window would have dropped it unseen.
+
+    A batch writes partial counts, late events and its progress (newest event time, and the last compacted
+    batch) to folders that carry its number, progress last, and overwrites them, so a batch that is run again
+    leaves the same tables. Every COMPACT_EVERY batches the partial counts so far become one folder, so what is read
+    does not grow with the number of batches.
+    """
+
+    def __init__(self, spark: SparkSession, path, delay=timedelta(hours=1), compact_every=COMPACT_EVERY):
+        self.spark, self.path, self.delay, self.compact_every = spark, path, delay, compact_every
+
+    def _folder(self, kind, batch_id):
+        return os.path.join(self.path, kind, f"batch_id={batch_id}")
+
+    def _progress(self, batch_id):
+        """(newest event time in microseconds or None, last compacted batch or None) after a batch."""
+        if batch_id < 0:
+            return None, None
+        row = self.spark.read.schema(PROGRESS).parquet(self._folder("progress", batch_id)).first()
+        return row.high, row.base
+
+    def _closed_before(self, high):
+        """The first hour since 1970 that is open under a newest event time; None if all are."""
+        if high is None:
+            return None
+        return (high - int(self.delay.total_seconds() * 1_000_000)) // HOUR_MICROS
+
+    def __call__(self, events: DataFrame, batch_id: int) -> None:
+        high, base = self._progress(batch_id - 1)
+        open_from = self._closed_before(high)
+        hour = F.floor(F.unix_micros("ts") / HOUR_MICROS).cast("int")
+        late = F.lit(False) if open_from is None else F.coalesce(hour < open_from, F.lit(False))
+        newest = F.max(F.unix_micros("ts")).alias("high")
+        on_time = events.where(~late).groupBy("cluster_id", hour.alias("hour")).agg(F.count("*").alias("n"), newest)
+        on_time.write.mode("overwrite").parquet(self._folder("counts", batch_id))
+        events.where(late).write.mode("overwrite").parquet(self._folder("late", batch_id))
+        # late events are older than the newest time so far, so those on time are enough to know it
+        now = self.spark.read.schema("high long").parquet(self._folder("counts", batch_id)).agg(F.max("high").alias("high")).first().high
+        high = now if high is None else max(high, high if now is None else now)
+        if (batch_id + 1) % self.compact_every == 0:
+            self._partial_counts(batch_id, base).groupBy("cluster_id", "hour").agg(F.sum("n").alias("n")).write.mode(
+                "overwrite").parquet(self._folder("compacted", batch_id))
+            base = batch_id
+        self.spark.createDataFrame([(high, base)], PROGRESS).coalesce(1).write.mode("overwrite").parquet(self._folder("progress", batch_id))
+
+    def _partial_counts(self, batch_id, base) -> DataFrame:
+        first = 0 if base is None else base + 1
+        paths = [self._folder("counts", i) for i in range(first, batch_id + 1)]
+        if base is not None:
+            paths.append(self._folder("compacted", base))
+        return self.spark.read.schema(OPEN_COUNTS).parquet(*paths)
+
+    def closed_counts(self, batch_id) -> DataFrame:
+        """(cluster_id, bucket_ts, n) of the hours that are closed after a batch."""
+        high, base = self._progress(batch_id)
+        open_from = self._closed_before(high)
+        counts = self._partial_counts(batch_id, base).groupBy("cluster_id", "hour").agg(F.sum("n").alias("n"))
+        closed = counts.where(F.col("hour") < (open_from if open_from is not None else -(2 ** 31)))
+        return closed.select("cluster_id", F.timestamp_micros(F.col("hour").cast("long") * HOUR_MICROS).alias("bucket_ts"), "n")
+
+    def late_events(self, batch_id) -> DataFrame:
+        """The late events of the batches up to one, with the `batch_id` they came in."""
+        late = self.spark.read.parquet(os.path.join(self.path, "late"))
+        return late.where(F.col("batch_id") <= batch_id)
+
+
+def write_counts_with_late(events: DataFrame, sink: LateCountSink, checkpoint, trigger=None) -> StreamingQuery:
+    return (
+        events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )

@@ -1,10 +1,14 @@
+import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from parley.functions import display as D
 from parley.operators import evaluation as S
 from parley.operators import features as X
+from parley.operators import softmax as M
 from parley.operators.centers import CenterMatrix
 from parley.operators.quality import DataQualityError
 from parley.operators.ranking import hash_order, rank_by_hash
@@ -67,6 +71,52 @@ def test_classifier_learns_from_train_only_and_round_trips(spark, trained, tmp_p
         R.read_classifier(spark, path)
 
 
+def softmax_rows(spark, n=400, d=60, classes=3):
+    """Rows of very unequal features, some rare, a few dense vectors among the sparse ones."""
+    draw = np.random.default_rng(7)
+    rows = []
+    for i in range(n):
+        label = int(draw.integers(0, classes))
+        found = sorted(set((draw.pareto(0.7, 6) * 2).astype(int) % d) | {3 * label + int(draw.integers(0, 4))})
+        values = draw.uniform(0.1, 1, len(found))
+        vector = Vectors.sparse(d, [int(j) for j in found], [float(x) for x in values])
+        rows.append((Vectors.dense(vector.toArray()) if i % 50 == 0 else vector, float(label)))
+    return spark.createDataFrame(rows, ["features", "_label"])
+
+
+def test_the_solver_finds_what_sparks_own_finds(spark):
+    rows = softmax_rows(spark).repartition(3).persist()
+    fit = M.fit_softmax(rows, 3, 60, 1 / 400, tol=1e-8)
+    own = LogisticRegression(featuresCol="features", labelCol="_label", family="multinomial", regParam=1 / 400, standardization=False,
+                             maxIter=3000, tol=1e-13).fit(rows)
+    assert fit.converged and fit.passes < 60
+    assert np.allclose(fit.coefficients, own.coefficientMatrix.toArray(), atol=2e-4)
+    assert np.allclose(fit.intercepts, own.interceptVector.toArray(), atol=2e-4)
+    assert fit.objective <= own.summary.objectiveHistory[-1] + 1e-9
+    model = M.as_model(spark, fit)
+    a, b = (m.transform(rows).select("probability", "prediction").collect() for m in (model, own))
+    assert [r.prediction for r in a] == [r.prediction for r in b]
+    assert max(np.abs(x.probability.toArray() - y.probability.toArray()).max() for x, y in zip(a, b)) < 1e-3
+
+
+def test_the_solver_goes_on_from_an_earlier_fit(spark):
+    rows = softmax_rows(spark).persist()
+    rough = M.fit_softmax(rows, 3, 60, 1 / 400, tol=1e-3)
+    fine = M.fit_softmax(rows, 3, 60, 1 / 400, tol=1e-6)
+    warm = M.fit_softmax(rows, 3, 60, 1 / 400, tol=1e-6, start=rough)
+    assert rough.passes < fine.passes and warm.passes < fine.passes and warm.converged
+    assert np.allclose(warm.coefficients, fine.coefficients, atol=1e-3)
+    short = M.fit_softmax(rows, 3, 60, 1 / 400, tol=1e-6, max_passes=4)
+    assert not short.converged and short.passes <= 5
+    with pytest.raises(ValueError):
+        M.fit_softmax(rows.limit(0), 3, 60, 1 / 400)
+
+
+def test_a_classifier_that_does_not_converge_is_an_error(spark):
+    with pytest.raises(RuntimeError, match="did not converge"):
+        L.fit_classifier(spark.createDataFrame(ROWS, SHAPE), max_passes=3)
+
+
 PAIRS = [("a", "a")] * 3 + [("a", "b")] * 2 + [("b", "b")] + [("b", "a")] + [("c", "a")]
 
 

@@ -35,7 +35,7 @@ def test_pairing_keeps_texts_unchanged(spark):
     ([record("c_channel1.wav", "customer"), record("c_channel2.wav", "agent", domain="food")], "domains differ"),
     ([record("c_channel1.wav", "customer"), record("c_channel2.wav", "agent", domain=None)], "domains differ"),
     ([record("c_channel1.wav", None), record("c_channel2.wav", "agent")], "roles are not customer and agent"),
-    ([record("audio/call_without_channel.wav", "agent")], "malformed file name"),
+    ([record("tape-17.wav", "agent")], "malformed file name"),
     ([record(None, "agent")], "malformed file name"),
     ([record("x_channel1.wav", "customer"), record("y_channel2.wav", "agent")], "not two records"),
 ])
