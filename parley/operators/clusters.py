@@ -28,6 +28,23 @@ def cluster_size_stats(sizes: DataFrame) -> DataFrame:
     )
 
 
+def candidate_verdicts(candidates: DataFrame, min_size=C.MIN_CLUSTER_SIZE, max_share=C.MAX_CLUSTER_SHARE,
+                       tolerance=C.SILHOUETTE_TOLERANCE) -> DataFrame:
+    """The candidates with what the rule says of each: 'chosen', or why not. With no viable candidate all rows
+    say why, and none is chosen."""
+    named = candidates.select([F.col(c) for c in candidates.columns])
+    chosen = select_k(named, min_size, max_share, tolerance).select(F.col("k").alias("_k"), "best_silhouette")
+    verdict = (
+        F.when(F.col("min_size") < min_size, F.lit("a cluster is too small"))
+        .when(F.col("max_share") > max_share, F.lit("a cluster is too large"))
+        .when(F.col("k") == F.col("_k"), F.lit("chosen"))
+        .when(F.col("silhouette") < F.col("best_silhouette") - tolerance, F.lit("silhouette too low"))
+        .otherwise(F.lit("a smaller k is as good"))
+    )
+    # one row at most stands beside a handful of candidates
+    return named.join(F.broadcast(chosen), F.lit(True), "left").withColumn("verdict", verdict).drop("_k", "best_silhouette")
+
+
 def select_k(candidates: DataFrame, min_size=C.MIN_CLUSTER_SIZE, max_share=C.MAX_CLUSTER_SHARE,
              tolerance=C.SILHOUETTE_TOLERANCE) -> DataFrame:
     """Smallest viable k within `tolerance` of the best viable silhouette, with that best score.

@@ -5,6 +5,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from parley import constants as C
 from parley.functions import text as T
@@ -13,6 +14,7 @@ from parley.operators.centers import CenterMatrix, nearest_center
 from parley.operators.encoding import encode_long_texts, encode_texts
 from parley.operators.quality import prediction_problem
 from parley.plans.classify import predict
+from parley.sources.workspace import written
 
 
 @dataclass
@@ -55,7 +57,9 @@ class Analyzer:
 
     def analyze(self, texts: DataFrame, id_col="conversation_id", text_col="customer_text", **encoding):
         """One result row per text. Long texts are cut into chunks and pooled."""
-        labelled = predict(self.classifier, texts.select(id_col, text_col))
+        # both branches read the same rows, worked out once
+        texts = written(texts.select(id_col, text_col), "texts-to-analyze")
+        labelled = predict(self.classifier, texts)
         vectors = encode_long_texts(texts, text_col, self.encoder, id_col=id_col, **encoding)
         placed = nearest_center(vectors, "embedding", self.centers).drop("embedding")
         # A left join: a text without a vector must be seen, and stop the job, not vanish.
@@ -69,3 +73,12 @@ class Analyzer:
         else:
             encoded = encode_texts(labelled, text_col, self.encoder, "_embedding")
         return self._finish(nearest_center(encoded, "_embedding", self.centers), id_col, text_col)
+
+
+def write_analysis(ready: Analyzer, texts: DataFrame, path, checkpoint, trigger=None, **columns) -> StreamingQuery:
+    """Append the results of a stream of short texts to a Parquet table. The fitted parts go to the tasks once
+    per micro-batch plan, and nothing is kept between batches."""
+    return (
+        ready.analyze_stateless(texts, **columns).writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start(path)
+    )

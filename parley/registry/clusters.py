@@ -10,10 +10,11 @@ from parley.operators import features as X
 from parley.operators import kmeans as M
 from parley.operators.centers import CenterMatrix, cosine_silhouette, mean_centers, nearest_center
 from parley.operators.pooling import pool_chunks
+from parley.plans import discover as D
 from parley.registry import inputs as I
 from parley.registry.base import query, table
 from parley.registry.inputs import (
-    DESCRIBE_SQL, DOCUMENTS_SQL, PREDICTIONS_SQL, TFIDF_SQL, VECTORS_SQL, sql_terms,
+    DESCRIBE_SQL, DOCUMENTS_SQL, PREDICTIONS_SQL, TFIDF_SQL, sql_terms,
 )
 
 
@@ -71,10 +72,7 @@ def pool(spark, sf):
     )
 
 
-_DISTANCES_SQL = VECTORS_SQL + """, pairs AS (
-    SELECT e.vec_id, any_value(e.label) AS own, c.label AS cluster_id, sqrt(sum((v - m) * (v - m))) AS distance,
-      sum(v * m) / sqrt(sum(v * v) * sum(m * m)) AS similarity
-    FROM e JOIN centers c ON c.d = e.d GROUP BY e.vec_id, c.label)"""
+_DISTANCES_SQL = I.DISTANCES_SQL
 
 
 @query("nearest_centroid", f"""WITH {_DISTANCES_SQL}
@@ -146,18 +144,35 @@ _SELECT_SQL = """WITH ks AS (SELECT unnest([8, 12, 16, 20, 24, 30]) AS k),
   SELECT CAST(k AS INTEGER) AS k, round(silhouette, 6) AS silhouette, min_size, max_size, round(max_share, 6) AS max_share,
     round(best, 6) AS best_silhouette FROM viable WHERE silhouette >= best - 0.005 ORDER BY k LIMIT 1""")
 def select_k(spark, sf):
-    rows = M.as_features(vectors(spark, sf), "embedding").select("vec_id", "_features")
-    stats = []
-    for k in M.C.K_CANDIDATES:
-        labelled = rows.withColumn("cluster_id", (F.col("vec_id") % k).cast("int"))
-        stats.append(M.candidate_stats(labelled, k))
-    chosen = K.select_k(spark.createDataFrame(stats, M.STATS))
+    chosen = K.select_k(_planted_stats(spark, sf))
     return chosen.select(
         "k", "min_size", "max_size",
         *[F.round(c, 6).alias(c) for c in ("silhouette", "max_share", "best_silhouette")],
     )
 
 
+def _planted_stats(spark, sf):
+    """Figures of clusterings by the remainder of the id."""
+    rows = M.as_features(vectors(spark, sf), "embedding").select("vec_id", "_features")
+    stats = [M.candidate_stats(rows.withColumn("cluster_id", (F.col("vec_id") % k).cast("int")), k) for k in M.C.K_CANDIDATES]
+    return spark.createDataFrame(stats, M.STATS)
+
+
+@query("candidate_verdicts", f"""{_SELECT_SQL}, small AS (SELECT CASE WHEN k = 16 THEN 4 ELSE min_size END AS min_size,
+    CASE WHEN k = 20 THEN 0.21 ELSE max_share END AS max_share, k, silhouette, max_size FROM cand),
+  viable AS (SELECT k, silhouette FROM small WHERE min_size >= 5 AND max_share <= 0.2), best AS (SELECT max(silhouette) AS b FROM viable),
+  pick AS (SELECT min(k) AS k FROM viable WHERE silhouette >= (SELECT b FROM best) - 0.005)
+  SELECT CAST(k AS INTEGER) AS k, round(silhouette, 6) AS silhouette, CASE WHEN min_size < 5 THEN 'a cluster is too small'
+    WHEN max_share > 0.2 THEN 'a cluster is too large' WHEN k = (SELECT k FROM pick) THEN 'chosen'
+    WHEN silhouette < (SELECT b FROM best) - 0.005 THEN 'silhouette too low' ELSE 'a smaller k is as good' END AS verdict FROM small""")
+def candidate_verdicts(spark, sf):
+    """What the rule says of each candidate; two of them are given figures that do not pass."""
+    stats = _planted_stats(spark, sf)
+    stats = stats.withColumn("min_size", F.when(F.col("k") == 16, F.lit(4).cast("long")).otherwise(F.col("min_size"))).withColumn(
+        "max_share", F.when(F.col("k") == 20, F.lit(0.21)).otherwise(F.col("max_share")))
+    return K.candidate_verdicts(stats).select("k", F.round("silhouette", 6).alias("silhouette"), "verdict")
+
+
 @query("rep_euclidean", f"""WITH {_DISTANCES_SQL} SELECT cluster_id, vec_id, round(distance, 6) AS distance,
     CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY distance, vec_id) AS INTEGER) AS rank
     FROM pairs WHERE own = cluster_id QUALIFY rank <= 3""")
@@ -203,6 +218,18 @@ def term_df(spark, sf):
     return X.term_frequencies(I.document_conversations(spark, sf))
 
 
+@query("centroid_terms_given", f"""WITH {DESCRIBE_SQL}, every AS (SELECT cluster_id, term, weight FROM means)
+    SELECT cluster_id, term, round(weight, 6) AS weight, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY round(weight, 12) DESC, term) AS INTEGER) AS rank
+    FROM every QUALIFY rank <= 8""")
+def centroid_terms_given(spark, sf):
+    """Heaviest terms of given centres: the mean TF-IDF vector of the documents of each language."""
+    docs = I.document_conversations(spark, sf)
+    rows, tfidf = D.tfidf_vectors(docs)
+    centers = CenterMatrix.collect(mean_centers(I.language_clusters(rows), "cluster_id", "features"))
+    centers = CenterMatrix(centers.ids, centers.values.round(12))  # order of addition must not break ties
+    return K.centroid_terms(centers, tfidf.terms, spark).withColumn("weight", F.round("weight", 6))
+
+
 @query("tfidf_weights", f"WITH {TFIDF_SQL} SELECT conversation_id, term, round(weight, 6) AS weight FROM weights")
 def tfidf_weights(spark, sf):
     return X.tfidf_weights(I.document_conversations(spark, sf)).withColumn("weight", F.round("weight", 6))

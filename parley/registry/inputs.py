@@ -329,19 +329,31 @@ TFIDF_SQL = ", ".join([DOCUMENTS_SQL, sql_terms("docs", "conversation_id", "cust
     WHERE df >= 3 AND df <= 0.85 * (SELECT count(*) FROM docs) ORDER BY total DESC, term LIMIT 12000),
   raw AS (SELECT conversation_id, term, tf * idf AS w FROM tf JOIN vocab USING (term)),
   weights AS (SELECT conversation_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY conversation_id)) AS weight FROM raw)"""
-DESCRIBE_SQL = TFIDF_SQL + f""",
-  lab AS (SELECT conversation_id, {LANGUAGE_CLUSTER_SQL.format(column='domain')} AS cluster_id FROM docs),
+def sql_described(lab) -> str:
+    """Descriptive terms of the clusters that `lab` (conversation_id, cluster_id) gives the documents."""
+    return TFIDF_SQL + f""",
+  lab AS ({lab}),
   sizes AS (SELECT cluster_id, count(*) AS size FROM lab GROUP BY ALL),
   means AS (SELECT cluster_id, term, sum(weight) / any_value(size) AS weight
     FROM weights JOIN lab USING (conversation_id) JOIN sizes USING (cluster_id) GROUP BY ALL HAVING sum(weight) > 0),
   described AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY round(weight, 12) DESC, term) AS rank
     FROM means QUALIFY rank <= 8)"""
 
+
+DESCRIBE_SQL = sql_described(f"SELECT conversation_id, {LANGUAGE_CLUSTER_SQL.format(column='domain')} AS cluster_id FROM docs")
+
 # ---- vectors ----
 
 VECTORS_SQL = """e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v,
     generate_subscripts(embedding, 1) AS d FROM embeddings),
   centers AS (SELECT label, d, avg(v) AS m FROM e GROUP BY ALL)"""
+DISTANCES_SQL = VECTORS_SQL + """, pairs AS (
+    SELECT e.vec_id, any_value(e.label) AS own, c.label AS cluster_id, sqrt(sum((v - m) * (v - m))) AS distance,
+      sum(v * m) / sqrt(sum(v * v) * sum(m * m)) AS similarity
+    FROM e JOIN centers c ON c.d = e.d GROUP BY e.vec_id, c.label)"""
+#: Cluster of each vector: the label whose centre is nearest.
+PLACED_SQL = DISTANCES_SQL + """, placed AS (SELECT vec_id, cluster_id FROM pairs
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster_id) = 1)"""
 
 
 def text_splits(spark, sf_dir) -> DataFrame:

@@ -4,6 +4,7 @@ tests check what must hold of them."""
 from pyspark.sql import functions as F
 
 from parley import constants as C
+from parley.functions import text as T
 from parley.operators import clusters as K
 from parley.operators import encoding as E
 from parley.operators import evaluation as S
@@ -18,9 +19,10 @@ from parley.plans import discover as D
 from parley.registry import inputs as I
 from parley.registry.base import query, table
 from parley.registry.clusters import vectors
-from parley.registry.monitoring import document_terms
 from parley.sources import artifacts
-from parley.sources.workspace import new_path
+from parley.sources.workspace import new_path, written
+
+GIVEN_VECTORS = "given vectors"
 
 
 def customer_texts(spark, sf):
@@ -30,15 +32,9 @@ def customer_texts(spark, sf):
     return build_conversations(I.channel_records(spark, sf))[0]
 
 
-_FITTED = {}
-
-
 def document_classifier(spark, sf):
-    """Classifier learned on all documents: fitted once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _FITTED:
-        _FITTED[key] = L.fit_classifier(I.document_conversations(spark, sf))
-    return _FITTED[key]
+    """Classifier learned on all documents."""
+    return L.fit_classifier(I.document_conversations(spark, sf))
 
 
 def trained(spark, sf):
@@ -150,38 +146,40 @@ def encode_long_texts(spark, sf):
     )
 
 
-def _candidates_within(stats):
-    """Chosen K, or the K of best silhouette where the size rule leaves none."""
-    row = K.select_k(stats).first()
-    return row.k if row is not None else stats.orderBy(F.desc("silhouette"), "k").first().k
-
-
 @query("issue_clusters")
 def issue_clusters(spark, sf):
-    """Size and top domains of the clusters of the documents' issue statements."""
+    """What the rule says of each K for the documents' issue statements; texts and statements that cannot be
+    clustered are rows with their reason and a count."""
     docs = I.document_conversations(spark, sf)
-    issues = U.extract_issues(docs.select("conversation_id", "domain", "customer_text"))
-    issues, _ = split_by_reason(issues, issue_problem())
-    encoded, _ = D.split_vectors(D.statement_vectors(
+    spoken, silent = U.blank_texts(docs.select("conversation_id", "domain", "customer_text"))
+    issues = U.extract_issues(spoken)
+    issues, bad = split_by_reason(issues, issue_problem())
+    vectors_of, empty = D.split_vectors(D.statement_vectors(
         issues, encoder(spark, sf), table_path=new_path(spark, "statement-vectors"), strict=False
     ))
-    sweep = M.sweep_k(encoded, "embedding")
-    k = _candidates_within(sweep.stats)
-    labels = D.assign(sweep.models[k], encoded, "embedding").select("conversation_id", "cluster_id")
-    domains = labels.join(docs.select("conversation_id", "domain"), "conversation_id")
-    top = K.cluster_domains(domains, limit=4).withColumn("share", F.round("share", 4))
-    return K.cluster_sizes(labels, k).withColumnRenamed("n", "size").join(top, "cluster_id", "left")
+    shown = K.candidate_verdicts(M.sweep_k(vectors_of, "embedding").stats)
+    rejects = silent.select("reason").unionByName(bad.select(F.col("reject_reason").alias("reason"))).unionByName(
+        empty.select(F.lit("no vector").alias("reason"))).groupBy("reason").agg(F.count("*").alias("n"))
+    return shown.withColumn("n", F.lit(None).cast("long")).unionByName(
+        rejects.select(F.col("reason").alias("verdict"), "n"), allowMissingColumns=True)
+
+
+def vector_texts(spark, sf, how="left"):
+    """The given vectors with their documents; empty texts for vectors without one, or only those with one."""
+    given = vectors(spark, sf).select(F.col("vec_id").cast("string").alias("conversation_id"), "embedding")
+    texts = given.join(I.document_conversations(spark, sf), "conversation_id", how)
+    return texts.withColumn("customer_text", F.coalesce("customer_text", F.lit("")))
 
 
 @query("representation_compare")
 def representation_compare(spark, sf):
-    """Sweep figures of the lexical vectors of the documents beside those of the given vectors."""
-    lexical = M.sweep_k(document_vectors(spark, sf), "embedding").stats
-    given = M.sweep_k(vectors(spark, sf), "embedding").stats
-    rows = lexical.withColumn("representation", F.lit("lexical")).unionByName(
-        given.withColumn("representation", F.lit("given"))
-    )
-    return rows.select("representation", *lexical.columns)
+    """The chosen clusterings of the same documents by their given vectors, their lexical vectors and their TF-IDF."""
+    texts = written(vector_texts(spark, sf, "inner"), "vector-texts")
+    lexical, _ = D.split_vectors(D.embedding_vectors(
+        texts.select("conversation_id", "customer_text"), encoder(spark, sf), table_path=new_path(spark, "document-vectors"), strict=False))
+    tfidf, _ = D.tfidf_vectors(texts.select("conversation_id", "customer_text"))
+    sweeps = {"given": (texts, "embedding"), "lexical": (lexical, "embedding"), "tfidf": (tfidf, "features")}
+    return D.compare_representations({name: M.sweep_k(df, column).stats for name, (df, column) in sweeps.items()})
 
 
 def analyzer(spark, sf, k=16):
@@ -214,17 +212,42 @@ def analyze(spark, sf):
 
 @query("cluster_metadata")
 def cluster_metadata(spark, sf):
-    """Terms per cluster with the manifest of the model they describe, as written and read back."""
-    ks = I.numbered_kinds(I.document_conversations(spark, sf), "domain").count()
-    rows = M.as_features(vectors(spark, sf), "embedding").select("_features").persist()
-    try:
-        model = M.fit_kmeans(rows, ks)
-        path = new_path(spark, "cluster-model")
-        artifacts.write_cluster_model(model, document_terms(spark, sf), path, C.LEXICAL_ENCODER_NAME, rows.count())
-    finally:
-        rows.unpersist()
-    _, terms, manifest = artifacts.read_cluster_model(spark, path, C.LEXICAL_ENCODER_NAME)
-    return terms.select(
-        "cluster_id", F.array_join("descriptive_terms", "|").alias("terms"),
+    """Terms, size and top domain per cluster with the manifest of the model they describe, as written and read back:
+    one discovery on the given vectors, described by the texts of the same documents."""
+    texts = written(vector_texts(spark, sf), "vector-texts")
+    found = D.discover(texts, "embedding")
+    told = D.describe(texts, found, "embedding", domain_limit=1)
+    path = new_path(spark, "cluster-model")
+    artifacts.write_cluster_model(found.model, told["terms"], path, GIVEN_VECTORS, texts.count())
+    _, terms, manifest = artifacts.read_cluster_model(spark, path, GIVEN_VECTORS)
+    rows = terms.join(told["sizes"], "cluster_id").join(told["domains"].select("cluster_id", "domain"), "cluster_id")
+    return rows.select(
+        "cluster_id", "n", "domain", F.array_join("descriptive_terms", "|").alias("terms"),
         *[F.lit(manifest[key]).alias(key) for key in sorted(manifest)],
     )
+
+
+@query("live_analyze", f"""SELECT conv_id, turn, CASE WHEN len(list_filter(regexp_split_to_array(text, '{I.WS_RE}+'), lambda x: x <> '')) <= {_CHUNK}
+    THEN true END AS as_batch FROM conversations""")
+def live_analyze(spark, sf):
+    """Every turn scored as a stream, and whether each result is that of the batch job on the same texts."""
+    ready = analyzer(spark, sf)
+    turns = table(spark, sf, "conversations").select(
+        "conv_id", "turn", F.concat_ws("/", "conv_id", "turn").alias("conversation_id"), F.col("text").alias("customer_text"))
+    folder, out = new_path(spark, "live-texts"), new_path(spark, "live-results")
+    turns.write.parquet(folder)
+    source = spark.readStream.schema(turns.schema).parquet(folder).select("conversation_id", "customer_text")
+    A.write_analysis(ready, source, out, new_path(spark, "live-log")).awaitTermination()
+    live = spark.read.parquet(out)
+    batch = ready.analyze(spark.read.parquet(folder).select("conversation_id", "customer_text"))
+    said = ("domain", "semantic_cluster", "cluster_descriptive_terms", "analysis_metadata", "domain_confidence", "cluster_similarity")
+    a, b = (x.select("conversation_id", F.struct(*said).alias(name)) for x, name in ((live, "live"), (batch, "batch")))
+    both = spark.read.parquet(folder).join(a, "conversation_id", "left").join(b, "conversation_id", "left")
+    same = F.lit(True)
+    for c in said[:4]:
+        same = same & (F.col(f"live.{c}") == F.col(f"batch.{c}"))
+    for c in said[4:]:
+        same = same & (F.abs(F.col(f"live.{c}") - F.col(f"batch.{c}")) < 1e-4)
+    # a text of more than one chunk is pooled by the batch job only
+    fits = F.size(T.words("customer_text")) <= _CHUNK
+    return both.select("conv_id", "turn", F.when(fits, F.coalesce(same, F.lit(False))).alias("as_batch"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from parley.operators import alerts as A
 from parley.operators import clusters as K
 from parley.operators import features as X
+from parley.operators.centers import CenterMatrix, mean_centers, nearest_center
 from parley.plans import emerging as M
 from parley.registry import inputs as I
 from parley.registry.base import query, sql_text, table
@@ -198,6 +199,44 @@ def emerging_report(spark, sf):
     )
 
 
+def placed_vectors(spark, sf):
+    """(user_id, cluster_id): the cluster of each user's text vector, by the nearest centre."""
+    given = table(spark, sf, "embeddings")
+    centers = CenterMatrix.collect(mean_centers(given, "label", "embedding"))
+    return nearest_center(given.select(F.col("vec_id").alias("user_id"), "embedding"), "embedding", centers).select("user_id", "cluster_id")
+
+
+@query("emerging_issue_report", f"""WITH {I.PLACED_SQL}, {I.EVENTS_SQL},
+  calls AS (SELECT event_id, ts, doc_id, text, coalesce(p.cluster_id, -1) AS cluster_id, hour
+    FROM ev LEFT JOIN placed p ON vec_id = user_id LEFT JOIN documents ON doc_id = user_id),
+  {I.sql_series('calls')}, {I.sql_scored()}, {I.sql_alerts()},
+  {I.sql_described('SELECT conversation_id, cluster_id FROM docs JOIN placed ON CAST(vec_id AS VARCHAR) = conversation_id')},
+  named_terms AS (SELECT cluster_id, string_agg(term, '|' ORDER BY rank) AS terms FROM described GROUP BY ALL),
+  samples AS (SELECT x.cluster_id, x.bucket_ts, substr(replace(c.text, chr(10), ' '), 1, 180) AS preview,
+      row_number() OVER (PARTITION BY x.cluster_id, x.bucket_ts ORDER BY c.ts, c.event_id) AS rank
+    FROM alerts x JOIN calls c ON c.cluster_id = x.cluster_id AND c.hour = x.hour QUALIFY rank <= 3),
+  told AS (SELECT cluster_id, bucket_ts, string_agg(preview, '||' ORDER BY rank) AS samples FROM samples GROUP BY ALL)
+  SELECT {_BUCKET.replace('bucket_ts', 'a.bucket_ts')}, a.cluster_id, current_count, {_SCORES_SQL},
+    coalesce(terms, '') AS terms, coalesce(samples, '') AS samples
+  FROM alerts a LEFT JOIN named_terms t ON t.cluster_id = a.cluster_id
+  LEFT JOIN told s ON s.cluster_id = a.cluster_id AND s.bucket_ts = a.bucket_ts""")
+def emerging_issue_report(spark, sf):
+    """Texts to vectors to clusters to events to alerts: the report over the clusters of the users' texts."""
+    docs = I.document_conversations(spark, sf)
+    placed = written(placed_vectors(spark, sf), "placed-vectors")
+    labels = placed.select(F.col("user_id").cast("string").alias("conversation_id"), "cluster_id").join(
+        docs.select("conversation_id"), "conversation_id")
+    terms = K.terms_table(K.descriptive_terms(X.tfidf_weights(docs), labels))
+    calls = I.given_events(spark, sf).drop("event_type").join(placed, "user_id", "left").withColumn(
+        "cluster_id", F.coalesce("cluster_id", F.lit(-1)))
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("user_id"), "text")
+    report = M.emerging_report(calls, terms, texts=texts, text_key="user_id", text_col="text")
+    return _shown(
+        M.report_rows(report), F.array_join("descriptive_terms", "|").alias("terms"),
+        F.coalesce(F.array_join("samples", "||"), F.lit("")).alias("samples"),
+    )
+
+
 def event_stream(spark, sf):
     """The events table, a file or a folder of files, as a stream of cluster events."""
     events = table(spark, sf, "events")

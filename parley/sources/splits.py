@@ -29,26 +29,30 @@ def read_splits(spark: SparkSession, paths: dict, fmt="parquet", schema=None) ->
 COUNTED_FORMATS = ("parquet", "orc")
 
 
+def footer_counts(spark: SparkSession, paths: dict, fmt="parquet") -> DataFrame:
+    """(split, n) of {name: path}, in a session of its own: the push-down is a setting of that session, and
+    the caller's stays as it is."""
+    session = spark.newSession()
+    if fmt in COUNTED_FORMATS:
+        session.conf.set("spark.sql.sources.useV1SourceList", "")
+        session.conf.set(f"spark.sql.{fmt}.aggregatePushdown", "true")
+    return reduce(DataFrame.unionAll, [
+        session.read.format(fmt).load(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("split"), "n")
+        for name, path in paths.items()
+    ])
+
+
 def split_counts_of_files(spark: SparkSession, paths: dict, fmt="parquet") -> DataFrame:
     """Rows per split of {name: path}, and in total in the row whose split is null.
 
     The counts of Parquet and ORC files come from their footers, by aggregate push-down: no column is read.
-    Files of other formats are counted row by row. The push-down is a setting of a session of its own, the
-    caller's stays as it is.
+    Files of other formats are counted row by row. One number per split comes to the driver.
     """
     if not paths:
         raise ValueError("there is no split to read")
-    session = spark.newSession()
-    if fmt in COUNTED_FORMATS:
-        session.conf.set("spark.sql.sources.useV1SourceList", "")
-        session.conf.set(f"spark.sql.{fmt}.aggregatePushdown", "true")
-    counts = [
-        session.read.format(fmt).load(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("split"), "n")
-        for name, path in paths.items()
-    ]
-    return reduce(DataFrame.unionAll, counts).rollup("split").agg(
-        # a pushed-down count of no file is null
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    # a pushed-down count of no file is null
+    counts = [(r.split, r.n or 0) for r in footer_counts(spark, paths, fmt).collect()]
+    return spark.createDataFrame([*counts, (None, sum(n for _, n in counts))], "split string, n long")
 
 
 def with_schema(df: DataFrame, schema=CHANNEL_RECORD) -> DataFrame:

@@ -58,7 +58,7 @@ def test_counts_come_from_the_footers(spark, tmp_path):
     before = spark.conf.get("spark.sql.sources.useV1SourceList")
     counted = S.split_counts_of_files(spark, paths)
     assert {r.split: r.n for r in counted.collect()} == {"a": 70, "b": 5, "empty": 0, None: 75}
-    plan = counted._jdf.queryExecution().executedPlan().toString()
+    plan = S.footer_counts(spark, paths)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PushedAggregation: [COUNT(*)]") == 3
     assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
     spark.range(4).selectExpr("cast(id as string) AS value").write.text(str(tmp_path / "text"))

@@ -62,10 +62,25 @@ def test_assignment_covers_every_vector(spark):
     assert got.cluster_id.between(0, 9).all() and got.similarity.between(-1, 1).all()
 
 
-def test_metadata_and_schema(spark):
-    assert QUERIES["cluster_metadata"](spark, DATA).count() == 4
-    names = [r.name for r in QUERIES["schema_summary"](spark, DATA).collect()]
-    assert names[:3] == ["split", "file_name", "role"]
+def test_metadata_belongs_to_the_clusters_it_describes(spark):
+    got = QUERIES["cluster_metadata"](spark, DATA).toPandas()
+    vectors = spark.read.parquet(f"{DATA}/embeddings.parquet").count()
+    assert len(got) == got.cluster_count.iloc[0] and set(got.cluster_id) == set(range(len(got)))
+    assert got.n.sum() == got.conversation_count.iloc[0] == vectors
+    assert set(got.embedding_model) == {"given vectors"} and got.n.min() >= 5 and got.n.max() <= 0.2 * vectors
+
+
+def test_no_choice_is_said_and_not_made(spark):
+    """Neither the statements nor the words of these documents have a viable K: no cluster is made up."""
+    got = QUERIES["issue_clusters"](spark, DATA).toPandas()
+    rule = got[got.k.notna()]
+    assert list(rule.k) == [8, 12, 16, 20, 24, 30]
+    for r in rule.itertuples():
+        assert (r.verdict == "a cluster is too small") == (r.min_size < 5)
+    assert (rule.verdict == "chosen").sum() == int(((rule.min_size >= 5) & (rule.max_share <= 0.2)).any())
+    seen = {r.representation: r for r in QUERIES["representation_compare"](spark, DATA).collect()}
+    assert set(seen) == {"given", "lexical", "tfidf"}
+    assert all((r.k is None) == (r.outcome == "no viable k") for r in seen.values())
 
 
 def test_encoded_documents_have_unit_length(spark):
