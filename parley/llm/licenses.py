@@ -87,9 +87,9 @@ def token_order(docs: DataFrame, templates=TEMPLATES) -> list[str]:
 
 
 def matches(words: DataFrame, order: list[str], templates=TEMPLATES, threshold=THRESHOLD, block=BLOCK,
-            marks=None) -> DataFrame:
+            marks=MARKS) -> DataFrame:
     """Of (key..., words): (key..., label, start, score) for each block and template that match. marks: per
-    template, words of it that the block must hold."""
+    template, words of it that the block must hold; none for no template if empty."""
     marks = marks or [()] * len(templates)
     keys = [c for c in words.columns if c != "words"]
     rank = {t: i for i, t in enumerate(order)}
@@ -119,7 +119,7 @@ def matches(words: DataFrame, order: list[str], templates=TEMPLATES, threshold=T
         *keys, "label", "start", (both / F.col("size")).alias("score"))
 
 
-def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold=THRESHOLD, marks=None) -> DataFrame:
+def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold=THRESHOLD, marks=MARKS) -> DataFrame:
     """One row per document: figures of the base places, labels of both, and the best share as score."""
     docs = docs.select("doc_id", "text")
     order = token_order(docs, templates)
