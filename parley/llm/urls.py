@@ -24,7 +24,7 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-#: The classifier is fitted on about so many labelled urls, chosen by their hash.
+#: The classifier is fitted on about so many labelled urls, half of either label, chosen by their hash.
 FIT_ROWS = 10_000
 SMOOTH = 20.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -124,17 +124,19 @@ def judge(pages: DataFrame, rules=RULES, fit_rows: int = FIT_ROWS, trees: int =
 
     if not 0 < bad < known:
         return constant("block" if bad else "allow")
-    # rows under a hash limit: about fit_rows of them, the same ones each time
-    chosen = x.filter(F.col("_label").isNotNull())
-    if known > fit_rows:
-        limit = int(fit_rows / known * 2 ** 32)
-        chosen = chosen.filter(F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(2 ** 32)) < limit)
+    # of either label about half of fit_rows rows, those under a hash limit and the least, the same ones each
+    # time; a label of fewer rows is there whole, and weights keep the labels' shares
+    half = max(1, fit_rows // 2)
+    share = {1.0: min(1.0, half / bad), 0.0: min(1.0, half / (known - bad))}
+    of_label = lambda f: F.when(F.col("_label") == 1.0, f(share[1.0])).otherwise(f(share[0.0]))
+    hashed = x.filter(F.col("_label").isNotNull()).withColumn("_hash", F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(2 ** 32)))
+    least = {r["_label"]: r["least"] for r in hashed.groupBy("_label").agg(F.min("_hash").alias("least")).collect()}  # two rows
+    chosen = hashed.filter((F.col("_hash") < of_label(lambda s: F.lit(int(s * 2 ** 32))))
+                           | (F.col("_hash") == F.when(F.col("_label") == 1.0, least[1.0]).otherwise(least[0.0])))
     into = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
-    fit = written(chosen.select("page_id", "_label", *FEATURES), "url-fit")
-    if fit.agg(F.countDistinct("_label")).first()[0] < 2:  # the hash left one kind: a few rows, repeated often
-        return constant("block" if 2 * bad > known else "allow")
+    fit = written(chosen.select("page_id", "_label", of_label(lambda s: F.lit(1 / s)).alias("_weight"), *FEATURES), "url-fit")
     ready = into.transform(fit.repartitionByRange(4, "page_id").sortWithinPartitions("page_id", *FEATURES))
-    model = GBTClassifier(labelCol="_label", featuresCol="_features", maxIter=trees, maxDepth=depth, seed=7).fit(ready)
+    model = GBTClassifier(labelCol="_label", weightCol="_weight", featuresCol="_features", maxIter=trees, maxDepth=depth, seed=7).fit(ready)
     scored = model.transform(into.transform(x)).withColumn("score", vector_to_array("probability")[1])
     return scored.select(*keep, F.coalesce("rule_verdict", F.when(F.col("score") > 0.5, "block").otherwise("allow")
                                            ).alias("verdict"), "score")
