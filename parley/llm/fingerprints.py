@@ -9,8 +9,9 @@ A fingerprint is the entries of the bins that have any, written as hexadecimal,
 
 Everything happens inside the row: k-mers sort as 64-bit integers (bin and hash above, position below).
 Null or empty text: no k-mers and the empty fingerprint; two of these are alike to 1. Fewer than k words:
-the words together are the one k-mer. Rows that repeat doc_id and text are one document, as they could not
-be told apart. Texts under one doc_id are ordered by their hash. No rows: no rows.
+the words together are the one k-mer. Rows that repeat doc_id and text stand at one place in the order, as
+they could not be told apart, and have the same figures each. Texts under one doc_id are ordered by their hash. A
+text of any length is read whole; other columns are not read. No rows: no rows.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -99,7 +100,8 @@ def fingerprint_pairs(docs: DataFrame, k=K, bins=BINS, per_bin=PER_BIN) -> DataF
     keys = written(d.groupBy("doc_id", "kd", "th").agg(F.first(F.length("text")).alias("n"), F.count(F.lit(1)).alias("rows")), "omh-keys")
     if keys.filter("rows > 1").limit(1).count():
         d = d.dropDuplicates(["kd", "th"])
-    near = written(neighbours(keys.drop("rows")), "omh-neighbours")
+    near = neighbours(keys.drop("rows")).join(keys.select("kd", "th", "rows"), ["kd", "th"])
+    near = written(near, "omh-neighbours")
     half = lambda n: F.floor(n / 2).cast("int")
     # both sides below are cut from this, and its exchange is made once
     own = with_fingerprint(d.select("kd", "th", "text"), "text", "fingerprint", k, bins, per_bin)
@@ -107,10 +109,13 @@ def fingerprint_pairs(docs: DataFrame, k=K, bins=BINS, per_bin=PER_BIN) -> DataF
     there = met.select(F.col("back.kd").alias("kd"), F.col("back.th").alias("th"),
                        F.substring("text", F.lit(1), half(F.col("back.n"))).alias("_lead"),
                        F.col("fingerprint").alias("_next_print"))
-    x = met.select("kd", "th", "doc_id", F.col("n").cast("long").alias("n_chars"), "fingerprint",
+    x = met.select("kd", "th", "doc_id", "rows", F.col("n").cast("long").alias("n_chars"), "fingerprint",
                    F.substring("text", F.lit(1), (F.col("n") - half(F.col("n"))).cast("int")).alias("_head"))
-    x = x.join(there, ["kd", "th"]).select("doc_id", "n_chars", "fingerprint", "_next_print", F.concat("_head", "_lead").alias("_edited"))
+    x = x.join(there, ["kd", "th"]).select(
+        "doc_id", "rows", "n_chars", "fingerprint", "_next_print", F.concat("_head", "_lead").alias("_edited"))
     x = with_fingerprint(x, "_edited", "edited_fingerprint", k, bins, per_bin)
+    # rows that repeat an id and its text have the same figures, and come back as often as they are there
+    x = x.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     return x.select("doc_id", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
                     likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
                     likeness(F.col("fingerprint"), F.col("_next_print")).alias("near_next"))
