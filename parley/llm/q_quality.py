@@ -1,6 +1,6 @@
 """op9: quality rules over all documents."""
 
-from parley.llm.quality import MAX_REPEAT_PERCENT, MIN_GROUP, MIN_WORDS, RULES, judge
+from parley.llm.quality import MAX_REPEAT_PERCENT, MIN_GROUP, MIN_WORDS, RULES, TENTHS, judge
 from parley.llm.registry import query
 from parley.registry.base import table
 
@@ -35,18 +35,24 @@ def _level(name, keys):
 {name}_c AS (SELECT {group}, b, count(*) AS n FROM b GROUP BY ALL),
 {name}_r AS (SELECT *, sum(n) OVER (PARTITION BY {group} ORDER BY b ROWS UNBOUNDED PRECEDING) AS r,
         sum(n) OVER (PARTITION BY {group}) AS a FROM {name}_c),
-{name} AS (SELECT {group}, max(a) AS total, min(CASE WHEN 4 * r >= a THEN b END) AS q1,
-        min(CASE WHEN 4 * r >= 3 * a THEN b END) AS q3 FROM {name}_r GROUP BY ALL)"""
+{name} AS (SELECT {group}, max(a) AS total, {", ".join(f"min(CASE WHEN 10 * r >= {n} * a THEN b END) AS {c}" for c, n in TENTHS.items())}
+      FROM {name}_r GROUP BY ALL)"""
+
+
+def _room(way):
+    told = " ".join(f"WHEN '{k}' THEN CASE WHEN {way} > 0 THEN {times} * ({way}) ELSE {distance} END" for k, (times, distance, _) in RULES.items())
+    return f"CASE m {told} END"
+
+
+def _chosen(c):
+    return f"CASE WHEN own.total >= {MIN_GROUP} THEN own.{c} WHEN mid.total >= {MIN_GROUP} THEN mid.{c} ELSE top.{c} END AS {c}"
 
 
-_SPREAD = " ".join(f"WHEN '{k}' THEN {times} * greatest(q3 - q1, {spread})" for k, (times, spread, _) in RULES.items())
 _OVER = " OR ".join(f"{k} > hi['{k}'][1]" + (f" OR {k} < lo['{k}'][1]" if both else "") for k, (_, _, both) in RULES.items())
 KEPT_SQL = f"""{STATS_SQL},{_level('own', ['lang', 'source'])},{_level('mid', ['lang'])},{_level('top', [])},
-chosen AS (SELECT own.lang, own.source, own.m,
-        CASE WHEN own.total >= {MIN_GROUP} THEN own.q1 WHEN mid.total >= {MIN_GROUP} THEN mid.q1 ELSE top.q1 END AS q1,
-        CASE WHEN own.total >= {MIN_GROUP} THEN own.q3 WHEN mid.total >= {MIN_GROUP} THEN mid.q3 ELSE top.q3 END AS q3
+chosen AS (SELECT own.lang, own.source, own.m, {", ".join(_chosen(c) for c in TENTHS)}
       FROM own JOIN mid ON own.m = mid.m AND own.lang IS NOT DISTINCT FROM mid.lang JOIN top ON own.m = top.m),
-lim AS (SELECT lang, source, m, q3 + CASE m {_SPREAD} END AS hi, q1 - CASE m {_SPREAD} END AS lo FROM chosen),
+lim AS (SELECT lang, source, m, chosen.hi + {_room('chosen.hi - md')} AS hi, chosen.lo - {_room('md - chosen.lo')} AS lo FROM chosen),
 lims AS (SELECT lang, source, map_from_entries(list((m, hi))) AS hi, map_from_entries(list((m, lo))) AS lo FROM lim GROUP BY ALL),
 judged AS (SELECT meas.*, NOT base_failed AND NOT coalesce({_OVER.replace('][1]', ']')}, false) AS kept
       FROM meas LEFT JOIN lims ON meas.lang IS NOT DISTINCT FROM lims.lang AND meas.source IS NOT DISTINCT FROM lims.source)"""

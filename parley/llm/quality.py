@@ -2,9 +2,11 @@
 
 Native: DataFrame functions only. A document is measured inside its own row. Each measure is an integer
 and goes to a bucket of relative width 1/32; a sketch is the count per bucket, so sketches are merged by
-adding counts and hold at most some 2,000 rows whatever they have seen. Fences come from the quartiles of
-the document's group (language and source), or of its language, or of everything where a group is too
-small; verdicts are joined back to the documents.
+adding counts and hold at most some 2,000 rows whatever they have seen. A fence stands beyond the tail of the
+document's group (language and source), or of its language, or of everything where a group is too small: past
+its 0.9 quantile by a multiple of the way from the median to there (0.1 on the low side). So the group decides
+how far is far; a fixed distance stands in only where that way is zero, as when nine in ten documents have no
+repeated line at all. Up to a tenth of a group may be bad without moving its fences. Verdicts are joined back.
 
 Null or empty text: no words, fails the base rule. A null language or source is a group like any other.
 Repeated rows are judged one by one and alike. No rows: no rows.
@@ -17,14 +19,16 @@ from parley.llm.common import attach_small, words_of, written
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: A group's own quartiles count from so many documents on.
+#: A group's own quantiles count from so many documents on.
 MIN_GROUP = 200
-#: name: (spreads beyond the quartile, least spread); the measure is low-fenced too if it says so.
+#: Tenths of a group below its low, middle and high quantile.
+TENTHS = {"lo": 1, "md": 5, "hi": 9}
+#: name: (multiple of the way from the median to the tail, distance where that is zero); low-fenced too if it says so.
 RULES = {
-    "repeat_share": (4, 100, False),
-    "symbol_share": (6, 25, False),
-    "dup_line_share": (4, 150, False),
-    "word_length": (6, 40, True),
+    "repeat_share": (12, 200, False),
+    "symbol_share": (6, 150, False),
+    "dup_line_share": (4, 400, False),
+    "word_length": (4, 100, True),
 }
 _FINE = 64  # values below this have a bucket of their own
 
@@ -102,36 +106,36 @@ def merge_sketches(sketch: DataFrame, groups) -> DataFrame:
     return sketch.groupBy(*groups, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, groups) -> DataFrame:
-    """One row per group: total, and the quartiles of every measure."""
+def quantiles(sketch: DataFrame, groups) -> DataFrame:
+    """One row per group: total, and the quantiles of every measure."""
     key = [*groups, "measure"]
     run = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     s = sketch.withColumn("_run", F.sum("n").over(run)).withColumn(
         "_all", F.sum("n").over(Window.partitionBy(*key)))
-    q = lambda name, share: F.min(F.when(4 * F.col("_run") >= share * F.col("_all"), F.col("bucket"))).alias(name)
-    per = s.groupBy(*key).agg(F.max("_all").alias("total"), q("q1", 1), q("q3", 3))
-    cols = [F.max(F.when(F.col("measure") == k, F.col(c))).alias(f"{k}_{c}") for k in RULES for c in ("q1", "q3")]
+    found = [F.min(F.when(10 * F.col("_run") >= tenths * F.col("_all"), F.col("bucket"))).alias(c) for c, tenths in TENTHS.items()]
+    per = s.groupBy(*key).agg(F.max("_all").alias("total"), *found)
+    cols = [F.max(F.when(F.col("measure") == k, F.col(c))).alias(f"{k}_{c}") for k in RULES for c in TENTHS]
     return per.groupBy(*groups).agg(F.max("total").alias("total"), *cols)
 
 
 def fences(sketch: DataFrame, groups=("lang", "source"), least: int = MIN_GROUP) -> DataFrame:
     """Per group, <measure>_high (and _low): from its own sketch, or that of its first key, or of all."""
     first = list(groups[:1])
-    own = quartiles(sketch, groups)
-    mid = quartiles(merge_sketches(sketch, first), first)
-    top = quartiles(merge_sketches(sketch, []), [])
-    names = [f"{k}_{c}" for k in RULES for c in ("q1", "q3")]
+    own = quantiles(sketch, groups)
+    mid = quantiles(merge_sketches(sketch, first), first)
+    top = quantiles(merge_sketches(sketch, []), [])
+    names = [f"{k}_{c}" for k in RULES for c in TENTHS]
     mid = mid.select(F.col(first[0]).alias("_first"), F.col("total").alias("_mid"), *[F.col(c).alias(f"_mid_{c}") for c in names])
     top = top.select(F.col("total").alias("_top"), *[F.col(c).alias(f"_top_{c}") for c in names])
     x = own.join(mid, F.col(first[0]).eqNullSafe(F.col("_first")), "left").join(F.broadcast(top), F.lit(True), "left")  # top: one row
     pick = lambda c: F.when(F.col("total") >= least, F.col(c)).when(F.col("_mid") >= least, F.col(f"_mid_{c}")).otherwise(F.col(f"_top_{c}"))
     out = []
-    for k, (times, spread, both) in RULES.items():
-        lo, hi = pick(f"{k}_q1"), pick(f"{k}_q3")
-        room = times * F.greatest(hi - lo, F.lit(spread))
-        out.append((hi + room).alias(f"{k}_high"))
+    for k, (times, distance, both) in RULES.items():
+        lo, md, hi = (pick(f"{k}_{c}") for c in TENTHS)
+        room = lambda way: F.when(way > 0, times * way).otherwise(distance)
+        out.append((hi + room(hi - md)).alias(f"{k}_high"))
         if both:
-            out.append((lo - room).alias(f"{k}_low"))
+            out.append((lo - room(md - lo)).alias(f"{k}_low"))
     return x.select(*groups, *out)
 
 
