@@ -207,7 +207,7 @@ def _senders(bits: int, small: int, share: int):
                 weight = int(64 * math.log2(float(mine.mean())))
                 out.append(("set", doc, f1, f2, len(s), None, None, weight, s.view(np.int64)))
                 out += [("sig", doc, f1, f2, len(s), v, i, weight, None) for v, i in sent]
-        got = pd.DataFrame(out, columns=names)
+        got = pd.DataFrame(out, columns=names, dtype=object)  # a null beside them must not turn 64-bit names into floats
         for c in ("doc_id", "f1", "f2", "n", "sig", "place", "weight"):
             got[c] = got[c].astype("Int64")
         return got
@@ -280,7 +280,9 @@ def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = S
     """(links compared and found, components of them) among the sets that meet in lists.
 
     met: (sig, node, n, place; -1 for no place), a written table of lists with two nodes at least;
-    votes: (node, lead, weight, c), leads of a node's lists; sets: (node, n, shingles), written."""
+    votes: (node, lead, weight, c), leads of a node's lists; sets: (node, n, shingles), written. Where `met` has
+    `bits`, a bitmap of each set's shingles, pairs whose bitmaps differ in more places than linked sets have
+    shingles apart are left out: each such place is a shingle that one of them lacks."""
     # round 1: each set with one hub, the heaviest that leads a list of it
     best = votes.filter("node <> lead").groupBy("node").agg(F.max_by("lead", F.struct("weight", "lead")).alias("hub"))
     best = written(best, "hubs")
@@ -304,14 +306,19 @@ def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = S
     found = components(links2)
 
     # round 3: pairs across components and hubs in the lists that still hold several
-    at = met.select("sig", "node", "n", "place").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(best, "node", "left")
+    own = [c for c in ("bits",) if c in met.columns]
+    at = met.select("sig", "node", "n", "place", *own).join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(best, "node", "left")
     at = at.withColumn("hub", F.coalesce("hub", "node"))
     several = at.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("hub").alias("h0"),
                                     F.max("hub").alias("h1")).filter("lo < hi and h0 < h1").select("sig")
-    at = written(at.join(several, "sig").select("sig", "node", "n", "place", "component", "hub"), "mixed-lists")
+    at = written(at.join(several, "sig").select("sig", "node", "n", "place", "component", "hub", *own), "mixed-lists")
+    near = F.lit(True)
+    if own:
+        apart = F.floor((100 - share) * (F.col("x.n") + F.col("y.n")) / (100 + share))
+        near = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= apart
     x = at.alias("x").join(at.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node"))
                            & (F.col("x.component") != F.col("y.component")) & (F.col("x.hub") != F.col("y.hub"))
-                           & _sizes_fit(F.col("x.n"), F.col("y.n"), share)
+                           & _sizes_fit(F.col("x.n"), F.col("y.n"), share) & near
                            & ((F.col("x.place") < 0) | (F.col("y.place") < 0) | (
                                F.least("x.place", "y.place") + F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
                                >= F.ceil(share * (F.col("x.n") + F.col("y.n")) / (100 + share)))))
@@ -444,5 +451,6 @@ def keep_one(docs: DataFrame, share: int = SHARE) -> DataFrame:
     stays. Rows that repeat a doc_id share its fate. Empty texts and null ids stay."""
     rows, classes, _, found = _linked(docs, share)
     named = rows.join(_company(classes, found), ["f1", "f2"])
-    gone = written(named.filter("doc_id <> component").select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = "_gone" + "_" * max(map(len, docs.columns))  # no column of the table
+    gone = written(named.filter("doc_id <> component").select(F.col("doc_id").alias(name)).distinct(), "jaccard-gone")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
