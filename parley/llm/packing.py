@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from parley.llm.chunks import release_memory
 from parley.llm.memo import Memo
 
 CAPACITY = 4096
@@ -187,6 +188,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        release_memory()
         known = worker_words(model)
         packer = Packer(TaskContext.get().partitionId() << 40, capacity, tolerance)
         for b in batches:
