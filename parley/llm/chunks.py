@@ -4,14 +4,19 @@ A chunk is a run of a partition's rows with some MB of text. It is named by the
 so a table whose partitions give the same rows in the same order has the same chunks whenever it is read.
 """
 
+import ctypes
+import gc
+
 import numpy as np
+import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 
 CHUNK_BYTES = 8_000_000
 
 
-def chunk_rows(batches):
+def chunk_rows(batches, size: int = CHUNK_BYTES):
     """(chunk number, its rows) in the order of the partition; a chunk may come in several parts. Rows get
     their number in the partition as `row`."""
     seen, row = 0, 0
@@ -21,7 +26,7 @@ def chunk_rows(batches):
         sizes = b["text"].map(lambda t: len(t.encode("utf-8"))).to_numpy(np.int64)
         before = seen + np.cumsum(sizes) - sizes
         seen += int(sizes.sum())
-        for c, part in b.groupby(before // CHUNK_BYTES, sort=True):
+        for c, part in b.groupby(before // size, sort=True):
             yield int(c), part
 
 
@@ -46,3 +51,17 @@ def range_ends(keys: np.ndarray, ranges: int, bits: int) -> np.ndarray:
     top = min(bits, 32)
     r = ((keys >> np.uint64(bits - top)) * np.uint64(ranges)) >> np.uint64(top)
     return np.searchsorted(r, np.arange(ranges + 1, dtype=np.uint64))
+
+
+def release_memory() -> None:
+    """Give memory that earlier tasks of this worker process have freed back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def key_check(keys: np.ndarray) -> int:
+    """A checksum of keys in their order, as a signed 64-bit number."""
+    return xxhash.xxh3_64_intdigest(np.ascontiguousarray(keys).tobytes()) - (1 << 63)

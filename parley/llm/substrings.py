@@ -24,16 +24,16 @@ several documents, and the first stays. Texts are never cut off. No rows: no row
 
 import math
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StringType
 
-from parley.llm.chunks import block_of, chunk_rows, pack, range_ends, unpack
+from parley.llm.chunks import block_of, chunk_rows, key_check, pack, range_ends, release_memory, unpack
 from parley.llm.common import written
 from parley.llm.graph import components
 from parley.llm.jaccard import RANGE_CHARS, SHARE, WORDS, _LOWER, _MIX, _scramble, _Words, link_lists
@@ -41,6 +41,7 @@ from parley.llm.jaccard import RANGE_CHARS, SHARE, WORDS, _LOWER, _MIX, _scrambl
 WINDOW = 50
 PARAGRAPH_WORDS = 40
 BANDS, ROWS = 20, 4
+CHUNK_BYTES = 4_000_000
 BANDED = 16_384  # sets whose bands are made at a time
 SPARE_BITS = 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -65,64 +66,86 @@ def _runs(w: np.ndarray, width: int) -> np.ndarray:
         power = _scramble(power[: len(power) - size // 2] * _MIX[1] + power[size // 2:])
 
 
-def _bands(sets: list[np.ndarray]) -> np.ndarray:
-    """Band keys of each shingle set, one row per set; of a set under 3 shingles all are one."""
-    if len(sets) > BANDED:
-        return np.concatenate([_bands(sets[i: i + BANDED]) for i in range(0, len(sets), BANDED)])
-    every = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
-    at = np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
-    low = np.empty((len(sets), BANDS * ROWS), np.uint32)
-    for k in range(BANDS * ROWS):
-        low[:, k] = np.minimum.reduceat(every * _A[k] + _B[k], at)
-    out = np.zeros((len(sets), BANDS), np.uint64)
-    for r in range(ROWS):
-        out = _scramble(out * _MIX[2] + low[:, r::ROWS])
-    few = np.array([len(s) < 3 for s in sets])
-    return _scramble(out + np.where(few[:, None], np.uint64(0), np.arange(BANDS, dtype=np.uint64)))
-
-
-def _document(text: str, known: dict):
-    """(run keys, [(first word, words, shingles)] of its paragraphs)."""
-    w, paragraphs, at, short = [], [], 0, []
-
-    def sign(h, start):
-        if len(h) >= WORDS:
-            paragraphs.append((start, len(h), np.unique(_runs(h, WORDS))))
-
-    for line in [*text.encode("utf-8").translate(_LOWER).split(b"\n"), b""]:
-        words = line.split()
-        if not 0 < len(words) < PARAGRAPH_WORDS:
-            if len(short) > 1:
-                h = np.concatenate(short)
-                sign(h, at - len(h))
-            short = []
-        if words:
-            h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-            w.append(h)
-            sign(h, at)
-            at += len(words)
-            if len(words) < PARAGRAPH_WORDS:
-                short.append(h)
-    return _runs(np.concatenate(w), WINDOW) if w else np.empty(0, np.uint64), paragraphs
+def _bands(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Band keys of shingle sets, one row per set; `values` holds them one after the other. A value that comes
+    again in its set changes no minimum."""
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    out = np.zeros((len(sizes), BANDS), np.uint64)
+    for i in range(0, len(sizes), BANDED):
+        j = min(i + BANDED, len(sizes))
+        every, here = (values[at[i]: at[j]] >> np.uint64(32)).astype(np.uint32), at[i:j] - at[i]
+        for r in range(ROWS):
+            low = np.empty((j - i, BANDS), np.uint32)
+            for k in range(BANDS):
+                low[:, k] = np.minimum.reduceat(every * _A[k * ROWS + r] + _B[k * ROWS + r], here)
+            out[i:j] = _scramble(out[i:j] * _MIX[2] + low)
+    return _scramble(out + np.arange(BANDS, dtype=np.uint64))
+
+
+def _hashed(texts, known: dict):
+    """(hashes of all words, words of each line, lines of each text)."""
+    hashes, per_line, lines_of = [], [], []
+    for text in texts:
+        parts = list(map(bytes.split, text.encode("utf-8").translate(_LOWER).split(b"\n")))
+        counts = list(map(len, parts))
+        per_line += counts
+        lines_of.append(len(counts))
+        hashes.append(np.fromiter(map(known.__getitem__, chain.from_iterable(parts)), np.uint64, sum(counts)))
+    return np.concatenate(hashes) if hashes else np.empty(0, np.uint64), np.array(per_line, np.int64), np.array(lines_of, np.int64)
+
+
+def _paragraphs(words: np.ndarray, doc: np.ndarray, start: np.ndarray):
+    """(document, first word, words) of the paragraphs, by document, from the words, document and first word of
+    each line: lines of WORDS words at least, and runs of several lines under PARAGRAPH_WORDS words."""
+    alone = words >= WORDS
+    short = (words > 0) & (words < PARAGRAPH_WORDS)
+    begins = short.copy()
+    begins[1:] &= ~(short[:-1] & (doc[1:] == doc[:-1]))
+    first = np.flatnonzero(begins)
+    run = np.cumsum(begins)[short] - 1
+    lines, total = np.bincount(run, minlength=len(first)), np.bincount(run, words[short], minlength=len(first)).astype(np.int64)
+    several = (lines > 1) & (total >= WORDS)
+    found = [np.concatenate(x) for x in zip((doc[alone], start[alone], words[alone]), (doc[first][several], start[first][several], total[several]))]
+    order = np.lexsort((found[1], found[0]))
+    return [x[order] for x in found]
 
 
 class _Chunk:
     """A chunk's texts with their keys. Kind "w": runs; kind "b": bands."""
 
     def __init__(self, texts, known, bits):
-        self.docs = [_document(t, known) for t in texts]
+        h, words, lines = _hashed(texts, known)
+        line_doc = np.repeat(np.arange(len(lines)), lines)
+        self.words = np.bincount(line_doc, words, minlength=len(lines)).astype(np.int64)
+        self.begin = np.cumsum(self.words) - self.words  # first word of each text
+        of_word = np.repeat(np.arange(len(lines)), self.words)
+        runs = _runs(h, WINDOW)
+        inside = of_word[: len(runs)] == of_word[WINDOW - 1:]
+        runs, self.run_doc = runs[inside], of_word[: len(runs)][inside]
+
+        # shingles of the paragraphs, one paragraph after the other
+        self.p_doc, self.p_start, self.p_words = _paragraphs(words, line_doc, np.cumsum(words) - words)
+        sizes = self.p_words - WORDS + 1
+        self.p_at = np.concatenate(([0], np.cumsum(sizes)))
+        n = len(sizes)
+        of = np.repeat(np.arange(n), sizes)
+        self.values = _runs(h, WORDS)[np.arange(self.p_at[-1]) - np.repeat(self.p_at[:-1] - self.p_start, sizes)]
+        if n:
+            low, high = np.minimum.reduceat(self.values, self.p_at[:-1]), np.maximum.reduceat(self.values, self.p_at[:-1])
+            # one or two different shingles: such a set links with its equals only, and has one key
+            few = np.logical_and.reduceat((self.values == low[of]) | (self.values == high[of]), self.p_at[:-1])
+            own = _scramble(low[few] * _MIX[0] + _scramble(high[few] + _MIX[1]))
+            banded = _bands(self.values[~few[of]], sizes[~few])
+            self.key_of = np.concatenate((np.flatnonzero(few), np.repeat(np.flatnonzero(~few), BANDS)))
+            self.band_keys = np.concatenate((own, banded.reshape(-1)))
+        else:
+            self.key_of, self.band_keys = np.empty(0, np.int64), np.empty(0, np.uint64)
+
         cut = np.uint64(64 - bits)
-        runs = [r for r, _ in self.docs]
-        self.run_doc = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
-        paragraphs = [(i, p) for i, (_, ps) in enumerate(self.docs) for p in ps]
-        self.paragraphs = paragraphs
-        self.bands = _bands([p[2] for _, p in paragraphs]) if paragraphs else np.empty((0, BANDS), np.uint64)
-        band_doc = np.repeat([i for i, _ in paragraphs], BANDS).astype(np.int64) if paragraphs else np.empty(0, np.int64)
         self.keys, self.at, self.docs_of, self.first = {}, {}, {}, {}
-        for kind, keys, doc in (("w", np.concatenate(runs) if runs else np.empty(0, np.uint64), self.run_doc),
-                                ("b", self.bands.reshape(-1), band_doc)):
+        for kind, keys, doc in (("w", runs, self.run_doc), ("b", self.band_keys, self.p_doc[self.key_of])):
             keys = keys >> cut
-            order = np.argsort(keys, kind="stable")  # equal keys stay in the order of documents
+            order = np.lexsort((doc, keys))
             k, d = keys[order], doc[order]
             new = np.ones(len(k), bool)
             new[1:] = k[1:] != k[:-1]
@@ -138,7 +161,7 @@ class _Chunk:
 
 
 def _requests(ranges: int, bits: int):
-    names = ["r", "block", "kind", "n", "keys", "counts"]
+    names = ["r", "block", "kind", "n", "check", "keys", "counts"]
 
     def rows(chunk, texts, known):
         c, out = _Chunk(texts, known, bits), []
@@ -148,12 +171,13 @@ def _requests(ranges: int, bits: int):
             for i in range(ranges):
                 a, b = ends[i], ends[i + 1]
                 if b > a:
-                    out.append((i, block_of(chunk), kind, int(b - a), pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(counts[a:b])))
+                    out.append((i, block_of(chunk), kind, int(b - a), key_check(keys[a:b]), pack(np.diff(keys[a:b], prepend=np.uint64(0))), pack(counts[a:b])))
         return pd.DataFrame(out, columns=names)
 
     def run(batches):
+        release_memory()
         known, now, texts = _Words(), None, []
-        for chunk, part in chunk_rows(batches):
+        for chunk, part in chunk_rows(batches, CHUNK_BYTES):
             if now is not None and chunk != now:
                 yield rows(now, texts, known)
                 texts = []
@@ -165,7 +189,7 @@ def _requests(ranges: int, bits: int):
     return run
 
 
-ANSWERS = "block long, kind string, r int, n long, code binary"
+ANSWERS = "block long, kind string, r int, n long, check long, code binary"
 
 
 def _answer(key, group):
@@ -175,16 +199,16 @@ def _answer(key, group):
     every, at = np.unique(np.concatenate(keys), return_inverse=True)
     df = np.bincount(at, weights=np.concatenate([unpack(c) for c in group["counts"]]).astype(float))
     seen, out, a = np.zeros(len(every), bool), [], 0
-    for block, k in zip(group["block"], keys):
+    for block, check, k in zip(group["block"], group["check"], keys):
         mine = at[a: a + len(k)]
         a += len(k)
         code = np.where(df[mine] > 1, np.where(seen[mine], 2, 1), 0)
         seen[mine] = True
-        out.append((int(block), key[1], int(key[0]), len(k), pack(code.astype(np.uint64))))
+        out.append((int(block), key[1], int(key[0]), len(k), int(check), pack(code.astype(np.uint64))))
     return pd.DataFrame(out, columns=[c.split()[0] for c in ANSWERS.split(", ")])
 
 
-SENT = ("kind string, doc_id long, place long, start int, words int, node long, sig long, weight int, shingles array<long>, "
+SENT = ("kind string, doc_id long, place long, start int, words int, node long, sig long, weight int, bits long, shingles array<long>, "
         "kept boolean, r int, keys binary, names binary, name_of binary")
 
 
@@ -239,51 +263,59 @@ def _found(bits: int, ranges: int):
     def run(_, docs, answers):
         if not len(docs):
             return pd.DataFrame(columns=names)
+        release_memory()
         docs = docs.sort_values("place")
         c = _Chunk(list(docs["text"]), _Words(), bits)
         code = {}
         for kind in ("w", "b"):
-            mine = answers[answers["kind"] == kind].sort_values("r")
-            got = np.concatenate([unpack(b) for b in mine["code"]]) if len(mine) else np.empty(0, np.uint64)
-            if len(got) != len(c.keys[kind]):
-                raise RuntimeError(f"a chunk has {len(c.keys[kind])} keys, its answer {len(got)}: the table's rows came in another order")
-            code[kind] = got
+            mine, keys = answers[answers["kind"] == kind].sort_values("r"), c.keys[kind]
+            ends = range_ends(keys, ranges, bits)
+            own = [(i, key_check(keys[ends[i]: ends[i + 1]])) for i in range(ranges) if ends[i + 1] > ends[i]]
+            if own != list(zip(mine["r"].tolist(), mine["check"].tolist())):
+                raise RuntimeError("a chunk's keys are not those that were answered: the table's rows came in another order")
+            code[kind] = np.concatenate([unpack(b) for b in mine["code"]]) if len(mine) else np.empty(0, np.uint64)
         shared = code["w"][c.at["w"]]
         beside = (shared[1:] > 0) & (shared[:-1] > 0) & (c.run_doc[1:] == c.run_doc[:-1])
         shared = np.where(np.append(beside, False) | np.insert(beside, 0, False), shared, 0)
         first_here = c.first["w"][c.at["w"]] == c.run_doc
         gone = (shared == 2) | ((shared == 1) & ~first_here)
         stays = (shared == 1) & first_here
-        bands = code["b"][c.at["b"]].reshape(-1, BANDS) > 0
-        out, a, p, passages = [], 0, 0, []
+        out, a, passages = [], 0, []
         run_keys = c.keys["w"][c.at["w"]]
         ids, places = docs["doc_id"].tolist(), docs["place"].tolist()
-        for i, (runs, paragraphs) in enumerate(c.docs):
+        covered = np.zeros(int(c.words.sum()), bool)  # words of runs that go
+        for i, words in enumerate(c.words.tolist()):
             doc = None if pd.isna(ids[i]) else int(ids[i])
-            n = len(runs)
-            covered = _widen(gone[a: a + n], n + WINDOW - 1) if n else np.empty(0, bool)
-            for kept, mask, starts in ((False, covered, gone), (True, _widen(stays[a: a + n], n + WINDOW - 1) if n else covered, stays)):
+            n = max(0, words - WINDOW + 1)
+            if not shared[a: a + n].any():
+                a += n
+                continue
+            mine = _widen(gone[a: a + n], words)
+            covered[c.begin[i]: c.begin[i] + words] = mine
+            for kept, mask, starts in ((False, mine, gone), (True, _widen(stays[a: a + n], words), stays)):
                 spans = _spans(mask)
                 if spans:  # a span starts with a shared key, and that names it
                     heads, own = np.array([s for s, _ in spans]), np.flatnonzero(starts[a: a + n])
                     passages.append((run_keys[a + own], run_keys[a + heads[np.searchsorted(heads, own, side="right") - 1]]))
                 for s, e in spans:
-                    out.append(("run", doc, places[i], s, e - s, int(run_keys[a + s].view(np.int64)), None, None, None, kept, *[None] * 4))
+                    out.append(("run", doc, places[i], s, e - s, int(run_keys[a + s].view(np.int64)), *[None] * 4, kept, *[None] * 4))
             a += n
-            for start, words, s in paragraphs:
-                b, keys = bands[p], c.bands[p]
-                p += 1
-                if not b.any() or (len(covered) and covered[start: start + words].all()):
-                    continue
-                node = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
-                out.append(("paragraph", doc, places[i], start, words, node, None, None, s.view(np.int64), *[None] * 5))
-                weight = int(b.sum())  # how many bands another document has too
-                out += [("band", None, None, None, len(s), node, int(k), weight, *[None] * 6) for k in np.unique(keys[b].view(np.int64))]
+        left = np.concatenate(([0], np.cumsum(~covered)))  # a paragraph all of whose words go is in no class of its own
+        band = code["b"][c.at["b"]] > 0
+        weight = np.bincount(c.key_of[band], minlength=len(c.p_doc))
+        keys_of = pd.Series(c.band_keys[band].view(np.int64)).groupby(c.key_of[band]).unique()
+        for p in np.flatnonzero((weight > 0) & (left[c.p_start + c.p_words] > left[c.p_start])).tolist():
+            i, s = int(c.p_doc[p]), np.unique(c.values[c.p_at[p]: c.p_at[p + 1]])
+            doc, node = None if pd.isna(ids[i]) else int(ids[i]), xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
+            out.append(("paragraph", doc, places[i], int(c.p_start[p] - c.begin[i]), int(c.p_words[p]), node, None, None, None, s.view(np.int64), *[None] * 5))
+            bitmap = int(np.bitwise_or.reduce(np.uint64(1) << (s & np.uint64(63))).view(np.int64))
+            # the weight is how many bands another document has too
+            out += [("band", None, None, None, len(s), node, int(k), int(weight[p]), bitmap, *[None] * 6) for k in keys_of[p]]
         if passages:
             keys, nodes = (np.concatenate(x) for x in zip(*passages))
-            out += [("link", *[None] * 9, *x) for x in _links(keys, nodes, ranges, bits)]
-        got = pd.DataFrame(out, columns=names)
-        for x in ("doc_id", "place", "start", "words", "node", "sig", "weight", "r"):
+            out += [("link", *[None] * 10, *x) for x in _links(keys, nodes, ranges, bits)]
+        got = pd.DataFrame(out, columns=names, dtype=object)  # a null beside them must not turn 64-bit names into floats
+        for x in ("doc_id", "place", "start", "words", "node", "sig", "weight", "bits", "r"):
             got[x] = got[x].astype("Int64")
         got["kept"] = got["kept"].astype("boolean")
         return got
@@ -291,28 +323,31 @@ def _found(bits: int, ranges: int):
     return run
 
 
-def find_repeats(docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """Repeats: doc_id, place (row in table order), start_word, n_words, kind (run or paragraph), component
-    (the class: of exact passages that share words, or of near paragraphs), kept (true for the copy that stays). Words count from 0 over the whole text."""
-    d = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
+def find_repeats(docs: DataFrame, share: int = SHARE, place: str = None) -> DataFrame:
+    """Repeats: doc_id, place (row in table order, or the column `place`), start_word, n_words, kind (run or paragraph),
+    component (the class: of exact passages that share words, or of near paragraphs), kept (true for a copy that
+    stays: in the document that comes first). Words count from 0 over the whole text. Other columns are not read."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.col(place).alias("place")] if place else []))
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(1, math.ceil(chars / RANGE_CHARS))
     bits = min(64, max(1, chars).bit_length() + SPARE_BITS)
-    asked = d.mapInPandas(_requests(ranges, bits), "r int, block long, kind string, n long, keys binary, counts binary")
+    asked = d.select("doc_id", "text").mapInPandas(
+        _requests(ranges, bits), "r int, block long, kind string, n long, check long, keys binary, counts binary")
     answers = written(asked.groupBy("r", "kind").applyInPandas(_answer, ANSWERS), "substring-answers")
 
     def tagged(batches):
-        for chunk, part in chunk_rows(batches):
-            base = TaskContext.get().partitionId() << 40
-            yield part.assign(block=block_of(chunk), place=part["row"] + base)[["block", "place", "doc_id", "text"]]
+        for chunk, part in chunk_rows(batches, CHUNK_BYTES):
+            if not place:
+                part = part.assign(place=part["row"] + (TaskContext.get().partitionId() << 40))
+            yield part.assign(block=block_of(chunk))[["block", "place", "doc_id", "text"]]
 
     blocks = d.mapInPandas(tagged, "block long, place long, doc_id long, text string")
-    sent = written(blocks.groupBy("block").cogroup(answers.select("block", "kind", "r", "code").groupBy("block"))
+    sent = written(blocks.groupBy("block").cogroup(answers.select("block", "kind", "r", "check", "code").groupBy("block"))
                    .applyInPandas(_found(bits, ranges), SENT), "substring-sent")
     units = sent.filter("kind = 'paragraph'").select("doc_id", "place", "start", "words", "node")
     sets = written(sent.filter("kind = 'paragraph'").groupBy("node").agg(F.first("shingles").alias("shingles")).select(
         "node", F.size("shingles").alias("n"), "shingles"), "substring-sets")
-    bands = sent.filter("kind = 'band'").groupBy("sig", "node").agg(F.first("words").alias("n"), F.max("weight").alias("weight"))
+    bands = sent.filter("kind = 'band'").groupBy("sig", "node").agg(F.first("words").alias("n"), F.max("weight").alias("weight"), F.first("bits").alias("bits"))
     first = bands.groupBy("sig").agg(F.max(F.struct("weight", "node")).alias("hub"), F.min("node").alias("lo"), F.max("node").alias("hi"))
     first = first.filter("lo < hi").select("sig", F.col("hub.node").alias("lead"), F.col("hub.weight").alias("lead_weight"))
     met = written(bands.drop("weight").withColumn("place", F.lit(-1)).join(first, "sig"), "substring-lists")
@@ -323,9 +358,8 @@ def find_repeats(docs: DataFrame, share: int = SHARE) -> DataFrame:
     head = named.groupBy("component").agg(F.min(order).alias("lo"), F.max("place").alias("hi")).filter("lo.place < hi").drop("hi")
     near = named.join(head, "component").select(
         "doc_id", "place", F.col("start").alias("start_word"), F.col("words").alias("n_words"), F.lit("paragraph").alias("kind"),
-        "component", (order == F.col("lo")).alias("kept"), F.col("lo.place").alias("_head"))
-    # a paragraph that comes again within its own document only is no repeat across documents
-    near = near.filter("kept or place <> _head").drop("_head")
+        # what comes again within the first document is no repeat across documents, and stays with it
+        "component", (F.col("place") == F.col("lo.place")).alias("kept"))
     linked = components(sent.filter("kind = 'link'").select("r", "keys", "names", "name_of").groupBy("r").applyInPandas(_joined, "a long, b long"))
     runs = sent.filter("kind = 'run'").join(linked, "node", "left").select(
         "doc_id", "place", F.col("start").alias("start_word"), F.col("words").alias("n_words"), "kind",
@@ -352,22 +386,19 @@ def _without(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
 
 def remove_repeats(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """`docs` with the repeats that do not stay cut from the texts; a text of which no word is left goes.
-    Columns are unchanged; n_chars, where there is one, is that of the text that is left."""
-    cut = find_repeats(docs, share).filter("not kept").groupBy(F.col("place").alias("_at")).agg(
-        F.collect_list(F.struct("start_word", "n_words")).alias("_cut"))
-    names = docs.columns
+    Columns are unchanged, whatever their names; n_chars, where there is one, is that of the text that is left.
 
-    def numbered(batches):
-        n = TaskContext.get().partitionId() << 40
-        for b in batches:
-            yield b.append_column("_place", pa.array(range(n, n + b.num_rows), pa.int64()))
-            n += b.num_rows
-
-    schema = StructType([*docs.schema.fields, StructField("_place", LongType())])
-    x = docs.mapInArrow(numbered, schema).join(cut, F.col("_place") == F.col("_at"), "left")
-    left = _without(F.coalesce("text", F.lit("")), F.transform("_cut", lambda c: c["start_word"]),
+    The rows are numbered and written once, and repeats are found in that table and cut from it, so any plan
+    may stand before it."""
+    names = docs.columns
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in names]).alias("_row")
+    x = written(docs.select(row, F.monotonically_increasing_id().alias("_place")), "substring-rows")
+    found = find_repeats(x.select("_row.doc_id", "_row.text", "_place"), share, "_place").filter("not kept")
+    cut = found.groupBy(F.col("place").alias("_place")).agg(F.collect_list(F.struct("start_word", "n_words")).alias("_cut"))
+    text = F.col("_row.text")
+    rest = _without(F.coalesce(text, F.lit("")), F.transform("_cut", lambda c: c["start_word"]),
                     F.transform("_cut", lambda c: c["start_word"] + c["n_words"]))
-    x = x.withColumn("_left", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(left))
+    x = x.join(cut, "_place", "left").withColumn("_left", F.when(F.col("_cut").isNull(), text).otherwise(rest))
     x = x.filter(F.col("_cut").isNull() | F.col("_left").rlike(r"[^\x20\x09-\x0D]"))
     fixed = {"text": F.col("_left")} | ({"n_chars": F.length("_left").cast(docs.schema["n_chars"].dataType)} if "n_chars" in names else {})
-    return x.select(*[fixed[c].alias(c) if c in fixed else F.col(f"`{c}`") for c in names])
+    return x.select(*[(fixed[c] if c in fixed else F.col(f"_row.`{c}`")).alias(c) for c in names])

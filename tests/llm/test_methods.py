@@ -280,7 +280,7 @@ def test_license_filters_lose_nothing(docs):
         label, text = r.choice(licenses.TEMPLATES)
         kept = [w for w in text.split() if r.random() > r.choice([0, 0.1, 0.3])]
         rows.append((i, " ".join([r.choice(fill) for _ in range(r.randrange(60))] + kept + [r.choice(fill) for _ in range(r.randrange(60))])))
-    got = {x.doc_id: x for x in licenses.scan(docs(rows)).collect()}
+    got = {x.doc_id: x for x in licenses.scan(docs(rows), marks=()).collect()}
     half = licenses.BLOCK // 2
     for d, t in rows:
         w, best = t.split(), {}
@@ -297,7 +297,7 @@ def test_license_filters_lose_nothing(docs):
 def test_each_notice_is_its_own_license_only(docs):
     rows = list(enumerate(text for _, text in licenses.TEMPLATES))
     rows += [(100, "released under the old license"), (101, "see the license under which it is released"), (102, "licensed under cc by nd 4 0")]
-    got = {x.doc_id: x.labels for x in licenses.scan(docs(rows), marks=licenses.MARKS).collect()}
+    got = {x.doc_id: x.labels for x in licenses.scan(docs(rows)).collect()}
     expected = {i: label for i, (label, _) in enumerate(licenses.TEMPLATES)} | {100: "", 101: "", 102: ""}
     assert got == expected
     assert all(set(m) <= set(t.split()) for (_, t), m in zip(licenses.TEMPLATES, licenses.MARKS, strict=True))
@@ -334,6 +334,41 @@ def test_sketches_merge_and_stay_close(spark):
     assert all(r.b <= r.v < max(r.b + 1, r.b * (1 + 1 / 32) + 1) for r in rows)
 
 
+def test_fences_follow_their_group(spark):
+    """What is far is decided by the group: two groups have fences of their own, repeated lines are rejected where
+    they are rare and kept where they are usual."""
+    r = random.Random(5)
+
+    def text(letters, lines, repeated):
+        made = [" ".join("".join(r.choices("abcdefgh", k=max(1, round(r.gauss(letters, 1))))) for _ in range(12)) for _ in range(lines - repeated)]
+        return "\n".join(made + made[:repeated])
+
+    rows = [(i, text(4, 8, 0), "en", "plain", "x") for i in range(260)] + [(1000 + i, text(9, 8, 0), "en", "long", "x") for i in range(260)]
+    rows += [(2000 + i, text(4, 8, 4), "en", "plain", "x") for i in range(10)] + [(3000 + i, text(4, 8, 4), "en", "twice", "x") for i in range(260)]
+    rows += [(4000 + i, text(9, 8, 0), "en", "plain", "x") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, kept string")
+    stats = quality.with_stats(df.select("doc_id", "lang", "source", "text")).drop("text").persist()
+    limits = {x.source: x for x in quality.fences(quality.sketches(stats)).collect()}
+    assert limits["plain"].word_length_high < limits["long"].word_length_low < limits["long"].word_length_high
+    assert limits["plain"].dup_line_share_high < 500 < limits["twice"].dup_line_share_high
+    kept = {x.doc_id for x in quality.judge(df).collect() if x.kept}
+    assert not kept & {2000 + i for i in range(10)} and not kept & {4000 + i for i in range(5)}
+    for first in (0, 1000, 3000):
+        assert len(kept & {first + i for i in range(260)}) >= 255
+    assert {x.doc_id for x in quality.keep_good(df).collect()} == kept
+
+
+def test_a_rare_label_stays_in_the_sample(spark):
+    """Two blocked urls among thousands are fitted on, whatever their hash."""
+    rows = [(i, f"http://site{i % 97}.com/a/{i}") for i in range(3000)] + [(9001, "http://x.example.com/en/1"), (9002, "http://y.example.com/en/2")]
+    rows += [(9100 + i, f"http://other{i}.org/zz") for i in range(5)] + [(9200, "http://z.example.com/en/9")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r for r in urls.judge(pages, fit_rows=200, trees=5).collect()}
+    assert len(got) == len(rows) and all(got[i].verdict == "block" for i in (9001, 9002, 9200))
+    assert len({round(r.score, 6) for r in got.values()}) > 1  # trees, and no constant
+    assert all(got[9100 + i].verdict == "allow" for i in range(5))
+
+
 def test_pipeline_equals_its_stages_by_hand(spark):
     """run() against plain versions of its decisions."""
     packed = corpus_pipeline.run(spark, DATA).collect()
