@@ -21,6 +21,8 @@ HEADLINE = (
     "ngrams", "chunks", "tfidf_weights", "descriptive_terms", "encode_long_texts",
     "nearest_centroid", "silhouette_cosine", "rep_cosine", "pool_chunks", "kmeans_assign",
     "stratified_split", "eval_per_class", "confusion_matrix", "live_hourly_counts",
+    "schema_summary", "subword_chunks", "emerging_issue_report", "live_late_events", "centroid_terms_given",
+    "domain_predict", "domain_eval", "analyze",
 )
 
 

@@ -35,3 +35,21 @@ def vector_problem(v, dimension) -> Column:
         .when(~finite, F.lit("not finite"))
         .when(norm(v) == 0, F.lit("zero norm"))
     )
+
+
+def softmax(scores) -> Column:
+    """Probabilities of an array of class scores. The largest score goes first, so none overflows."""
+    scores = F.col(scores) if isinstance(scores, str) else scores
+
+    def scaled(odds):
+        return F.transform(odds, lambda x: x / F.aggregate(odds, F.lit(0.0), lambda a, b: a + b))
+
+    odds = F.transform(scores, lambda x: F.exp(x - F.array_max(scores)))
+    return F.transform(F.array(odds), scaled)[0]
+
+
+def label_and_confidence(probabilities, labels) -> tuple[Column, Column]:
+    """(label, confidence): the class of the largest probability, the first of equals, and that probability."""
+    p = F.col(probabilities) if isinstance(probabilities, str) else probabilities
+    at = F.array_position(p, F.array_max(p)).cast("int")
+    return F.get(F.array(*[F.lit(x) for x in labels]), at - 1), F.array_max(p)

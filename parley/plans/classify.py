@@ -12,7 +12,7 @@ from parley import constants as C
 from parley.operators.evaluation import stratified_split, split_overlap
 from parley.operators.features import tfidf_stages
 from parley.operators.softmax import as_model, fit_softmax
-from parley.operators.quality import duplicate_ids, require_none, training_examples
+from parley.operators.quality import duplicate_ids, require_none, same_row_count, training_examples
 
 
 def fit_classifier(train: DataFrame, text_col="customer_text", label_col="domain",
@@ -65,4 +65,6 @@ def train_classifier(conversations: DataFrame, text_col="customer_text", label_c
         require_none(split_overlap(train, test, id_col), "id is in both parts")
     model = fit_classifier(train, text_col, label_col, **fit_options)
     predictions = predict(model, test).withColumn("actual", F.col(label_col))
+    if strict:
+        same_row_count(test, predictions)
     return TrainedClassifier(model, train, test, predictions)

@@ -87,9 +87,9 @@ def turn_records(spark, sf_dir) -> DataFrame:
 
 
 def channel_records(spark, sf_dir) -> DataFrame:
-    """One record per call and side, the turns joined in order."""
-    turns = table(spark, sf_dir, "conversations").where(F.col("role").isin("user", "assistant"))
-    channels = assemble_channels(turns, ["conv_id", "role"])
+    """One record per call and role, the turns joined in order. A role that is no side of a call has a file name
+    without a channel, and so is a reject of the pairing."""
+    channels = assemble_channels(table(spark, sf_dir, "conversations"), ["conv_id", "role"])
     return _as_records(channels, _side_information(spark, sf_dir)).unionByName(_broken(spark))
 
 
@@ -115,7 +115,7 @@ TURN_RECORDS_SQL = (
 )
 CHANNEL_RECORDS_SQL = (
     "channels AS (SELECT conv_id, role, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations "
-    "WHERE role IN ('user', 'assistant') GROUP BY ALL), "
+    "GROUP BY ALL), "
     "records AS (" + _RECORDS_SQL.format(source="channels", broken=sql_rows(BROKEN_RECORDS)) + "), "
     f"named AS (SELECT *, {CALL_SQL} FROM records)"
 )

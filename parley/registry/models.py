@@ -11,7 +11,8 @@ from parley.operators import evaluation as S
 from parley.operators import features as X
 from parley.operators import issues as U
 from parley.operators import kmeans as M
-from parley.operators.centers import CenterMatrix, own_center
+from parley.functions import vectors as N
+from parley.operators.centers import CenterMatrix, nearest_center_of, own_center
 from parley.operators.quality import issue_problem, split_by_reason
 from parley.plans import analyze as A
 from parley.plans import classify as L
@@ -56,6 +57,74 @@ def domain_eval(spark, sf):
     return report.select("label", "support", *[F.round(c, 4).alias(c) for c in ("precision", "recall", "f1")])
 
 
+#: Given coefficients: per label an intercept and weights for the share of three groups of letters.
+GIVEN_LETTERS = ("[äöüß]", "[èêç]", "[ñóí]")
+GIVEN_WEIGHTS = {"de": (-0.5, 80.0, -20.0, -15.0), "en": (1.0, -60.0, -60.0, -60.0), "es": (-0.25, -10.0, -5.0, 70.0), "fr": (-0.5, -12.0, 90.0, 4.0)}
+
+
+def _sql_score(weights):
+    first, *rest = weights
+    return " + ".join([f"({first}::DOUBLE)", *[f"({w}::DOUBLE) * s{i}" for i, w in enumerate(rest)]])
+
+
+@query("label_confidence", f"""WITH f AS (SELECT doc_id, {", ".join(
+      f"len(regexp_extract_all(text, '{p}')) / greatest(length(text), 1)::DOUBLE AS s{i}" for i, p in enumerate(GIVEN_LETTERS))} FROM documents),
+  z AS (SELECT doc_id, label, score FROM f, LATERAL (VALUES {", ".join(f"('{k}', {_sql_score(w)})" for k, w in GIVEN_WEIGHTS.items())}) v(label, score)),
+  p AS (SELECT doc_id, label, exp(score - max(score) OVER d) / sum(exp(score)) OVER d * exp(max(score) OVER d) AS p FROM z WINDOW d AS (PARTITION BY doc_id))
+  SELECT doc_id, label, round(p, 6) AS confidence FROM p QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p DESC, label) = 1""")
+def label_confidence(spark, sf):
+    """Label and confidence of the documents from given coefficients."""
+    text = F.col("text")
+    shares = [F.regexp_count(text, F.lit(p)) / F.greatest(F.length(text), F.lit(1)) for p in GIVEN_LETTERS]
+    scores = F.array(*[F.lit(b) + sum(F.lit(w) * s for w, s in zip(ws, shares)) for b, *ws in GIVEN_WEIGHTS.values()])
+    scored = table(spark, sf, "documents").select("doc_id", N.softmax(scores).alias("p"))
+    label, confidence = N.label_and_confidence("p", GIVEN_WEIGHTS)
+    return scored.select("doc_id", label.alias("label"), F.round(confidence, 6).alias("confidence"))
+
+
+@query("domain_eval_support", """WITH parts AS (SELECT lang AS label, row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), CAST(doc_id AS VARCHAR))
+      <= floor(count(*) OVER (PARTITION BY lang) * 0.2 + 0.5) AS test FROM documents)
+  SELECT label, count(*) AS support, true AS sound FROM parts WHERE test GROUP BY label""")
+def domain_eval_support(spark, sf):
+    """The report's support is the held-out part, and its scores are shares that fit the counts they come from."""
+    made = trained(spark, sf)
+    report = S.classification_report(made.predictions).where(~F.col("label").isin("accuracy", "macro avg", "weighted avg"))
+    right = made.predictions.where("actual = predicted").groupBy(F.col("actual").alias("label")).agg(F.count("*").alias("tp"))
+    sound = (F.abs(F.col("recall") * F.col("support") - F.coalesce("tp", F.lit(0))) < 1e-9) & F.col("precision").between(0, 1) & F.col("f1").between(0, 1)
+    return report.join(right, "label", "left").where("support > 0").select("label", "support", sound.alias("sound"))
+
+
+@query("kmeans_nearest", "SELECT vec_id, true AS nearest FROM embeddings")
+def kmeans_nearest(spark, sf):
+    """Whether every vector's cluster is the one whose centre is nearest, recomputed in blocks of a table of centres."""
+    given = vectors(spark, sf).select("vec_id", "embedding")
+    rows = M.as_features(given, "embedding").persist()
+    try:
+        model = M.fit_kmeans(rows, 10)
+    finally:
+        rows.unpersist()
+    centers = CenterMatrix.of_model(model).to_dataframe(spark)
+    nearest = nearest_center_of(given, "embedding", centers, prefix="near_").select("vec_id", "near_cluster_id", "near_distance")
+    assigned = own_center(model.transform(M.as_features(given, "embedding")), "embedding", "cluster_id", CenterMatrix.of_model(model))
+    same = (F.col("cluster_id") == F.col("near_cluster_id")) | (F.abs(F.col("own_distance") - F.col("near_distance")) < 1e-9)
+    return assigned.join(nearest, "vec_id").select("vec_id", same.alias("nearest"))
+
+
+@query("k_sweep_counts", """SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM embeddings) AS rows, true AS sound
+    FROM (SELECT unnest([8, 12, 16, 20, 24, 30]) AS k)""")
+def k_sweep_counts(spark, sf):
+    """Every candidate's clusters hold all vectors, and its figures are within their bounds."""
+    given = vectors(spark, sf)
+    sweep = M.sweep_k(given, "embedding")
+    total, rows = given.count(), []
+    for r in sweep.stats.collect():
+        sizes = K.cluster_sizes(D.assign(sweep.models[r.k], given, "embedding"), r.k).agg(
+            F.sum("n").alias("n"), F.min("n").alias("lo"), F.max("n").alias("hi")).first()
+        sound = -1 <= r.silhouette <= 1 and (sizes.lo, sizes.hi) == (r.min_size, r.max_size) and abs(r.max_share - sizes.hi / total) < 1e-12
+        rows.append((r.k, sizes.n, sound))
+    return spark.createDataFrame(rows, "k int, rows long, sound boolean")
+
+
 @query("kmeans_assign")
 def kmeans_assign(spark, sf):
     """Cluster and similarity of every vector under the best of five starts with ten centres."""

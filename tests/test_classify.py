@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from parley.functions import display as D
+from parley.functions import vectors as N
 from parley.operators import evaluation as S
 from parley.operators import features as X
 from parley.operators import softmax as M
@@ -52,6 +53,20 @@ def test_training_guards(spark):
         L.train_classifier(spark.createDataFrame(ROWS + [("x", " ", "travel")], SHAPE))
 
 
+def test_another_number_of_predictions_is_an_error(spark, monkeypatch):
+    predict = L.predict
+    monkeypatch.setattr(L, "predict", lambda model, df: predict(model, df).limit(3))
+    with pytest.raises(DataQualityError, match="another number of rows"):
+        L.train_classifier(spark.createDataFrame(ROWS, SHAPE))
+
+
+def test_softmax_and_label(spark):
+    rows = spark.createDataFrame([([0.0, 0.0],), ([900.0, 1.0],), ([-1.0, 2.0],)], "s array<double>").withColumn("p", N.softmax("s"))
+    label, confidence = N.label_and_confidence("p", ["x", "y"])
+    got = [(r.l, round(r.c, 6)) for r in rows.select(label.alias("l"), confidence.alias("c")).collect()]
+    assert got == [("x", 0.5), ("x", 1.0), ("y", round(1 / (1 + 2.718281828459045 ** -3), 6))]
+
+
 def test_classifier_learns_from_train_only_and_round_trips(spark, trained, tmp_path):
     rows = trained.predictions.collect()
     assert len(rows) == 8 and all(r.actual == r.predicted for r in rows)
