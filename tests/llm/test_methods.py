@@ -339,13 +339,14 @@ def test_fences_follow_their_group(spark):
     they are rare and kept where they are usual."""
     r = random.Random(5)
 
-    def text(letters, lines, repeated):
-        made = [" ".join("".join(r.choices("abcdefgh", k=max(1, round(r.gauss(letters, 1))))) for _ in range(12)) for _ in range(lines - repeated)]
-        return "\n".join(made + made[:repeated])
-
-    rows = [(i, text(4, 8, 0), "en", "plain", "x") for i in range(260)] + [(1000 + i, text(9, 8, 0), "en", "long", "x") for i in range(260)]
-    rows += [(2000 + i, text(4, 8, 4), "en", "plain", "x") for i in range(10)] + [(3000 + i, text(4, 8, 4), "en", "twice", "x") for i in range(260)]
-    rows += [(4000 + i, text(9, 8, 0), "en", "plain", "x") for i in range(5)]
+    def text(letters, repeated=0):
+        word = lambda: "".join(r.choices("abcdefgh", k=max(1, round(r.gauss(letters, 1)))))
+        lines = [" ".join(word() for _ in range(28)) for _ in range(4)]
+        return "\n".join(lines + [" ".join(word() for _ in range(4))] * (repeated + 1 if repeated else 0))
+
+    rows = [(i, text(4), "en", "plain", "x") for i in range(260)] + [(1000 + i, text(9), "en", "long", "x") for i in range(260)]
+    rows += [(2000 + i, text(4, 5), "en", "plain", "x") for i in range(10)] + [(3000 + i, text(4, 5), "en", "twice", "x") for i in range(260)]
+    rows += [(4000 + i, text(9), "en", "plain", "x") for i in range(5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, kept string")
     stats = quality.with_stats(df.select("doc_id", "lang", "source", "text")).drop("text").persist()
     limits = {x.source: x for x in quality.fences(quality.sketches(stats)).collect()}
