@@ -24,7 +24,6 @@ several documents, and the first stays. Texts are never cut off. No rows: no row
 
 import math
 import re
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,7 +35,7 @@ from pyspark.sql.types import StringType
 from parley.llm.chunks import block_of, chunk_rows, key_check, pack, range_ends, release_memory, unpack
 from parley.llm.common import written
 from parley.llm.graph import components
-from parley.llm.jaccard import RANGE_CHARS, SHARE, WORDS, _LOWER, _MIX, _scramble, _Words, link_lists
+from parley.llm.jaccard import RANGE_CHARS, SHARE, WORDS, _LOWER, _MIX, _scramble, link_lists
 
 WINDOW = 50
 PARAGRAPH_WORDS = 40
@@ -46,6 +45,10 @@ BANDED = 16_384  # sets whose bands are made at a time
 SPARE_BITS = 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _rng = np.random.default_rng(11)
+_IN_WORD = np.array([not (c == 0x20 or 0x09 <= c <= 0x0D) for c in range(256)])
+LONG_WORD = 1024  # bytes; longer words are hashed one by one
+_BYTE = np.random.default_rng(12).integers(1, 1 << 64, 256, dtype=np.uint64) * _IN_WORD.astype(np.uint64)
+_PLACE = np.random.default_rng(13).integers(1, 1 << 64, LONG_WORD, dtype=np.uint64) | np.uint64(1)
 _A = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
@@ -82,16 +85,33 @@ def _bands(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return _scramble(out + np.arange(BANDS, dtype=np.uint64))
 
 
-def _hashed(texts, known: dict):
-    """(hashes of all words, words of each line, lines of each text)."""
-    hashes, per_line, lines_of = [], [], []
-    for text in texts:
-        parts = list(map(bytes.split, text.encode("utf-8").translate(_LOWER).split(b"\n")))
-        counts = list(map(len, parts))
-        per_line += counts
-        lines_of.append(len(counts))
-        hashes.append(np.fromiter(map(known.__getitem__, chain.from_iterable(parts)), np.uint64, sum(counts)))
-    return np.concatenate(hashes) if hashes else np.empty(0, np.uint64), np.array(per_line, np.int64), np.array(lines_of, np.int64)
+def _hashed(texts):
+    """(hashes of all words, words of each line, text of each line). A word's hash is the sum of its bytes' numbers,
+    each times a number of its place, scrambled with its length."""
+    raw = [t.encode("utf-8") for t in texts]
+    whole = b"\n".join(raw).translate(_LOWER)
+    b = np.frombuffer(whole, np.uint8)
+    word = _IN_WORD[b]
+    begins = word.copy()
+    begins[1:] &= ~word[:-1]
+    start = np.flatnonzero(begins)
+    ends = word.copy()
+    ends[:-1] &= ~word[1:]
+    size = np.flatnonzero(ends) + 1 - start
+    if len(start):
+        here = np.arange(len(b), dtype=np.int32)
+        place = here - np.maximum.accumulate(np.where(begins, here, 0))
+        h = np.add.reduceat(_BYTE[b] * _PLACE[place & (LONG_WORD - 1)], start)  # blanks count nothing
+        h = _scramble(h + size.astype(np.uint64) * _MIX[3])
+        for k in np.flatnonzero(size > LONG_WORD).tolist():
+            h[k] = xxhash.xxh3_64_intdigest(whole[start[k]: start[k] + size[k]])
+    else:
+        h = np.empty(0, np.uint64)
+    breaks = np.flatnonzero(b == 10)
+    line = np.concatenate(([0], breaks + 1))
+    begin = np.cumsum([0] + [len(r) + 1 for r in raw[:-1]])
+    words = np.bincount(np.searchsorted(breaks, start), minlength=len(line))
+    return h, words, np.searchsorted(begin, line, side="right") - 1
 
 
 def _paragraphs(words: np.ndarray, doc: np.ndarray, start: np.ndarray):
@@ -113,12 +133,11 @@ def _paragraphs(words: np.ndarray, doc: np.ndarray, start: np.ndarray):
 class _Chunk:
     """A chunk's texts with their keys. Kind "w": runs; kind "b": bands."""
 
-    def __init__(self, texts, known, bits):
-        h, words, lines = _hashed(texts, known)
-        line_doc = np.repeat(np.arange(len(lines)), lines)
-        self.words = np.bincount(line_doc, words, minlength=len(lines)).astype(np.int64)
+    def __init__(self, texts, bits):
+        h, words, line_doc = _hashed(texts)
+        self.words = np.bincount(line_doc, words, minlength=len(texts)).astype(np.int64)
         self.begin = np.cumsum(self.words) - self.words  # first word of each text
-        of_word = np.repeat(np.arange(len(lines)), self.words)
+        of_word = np.repeat(np.arange(len(texts)), self.words)
         runs = _runs(h, WINDOW)
         inside = of_word[: len(runs)] == of_word[WINDOW - 1:]
         runs, self.run_doc = runs[inside], of_word[: len(runs)][inside]
@@ -163,8 +182,8 @@ class _Chunk:
 def _requests(ranges: int, bits: int):
     names = ["r", "block", "kind", "n", "check", "keys", "counts"]
 
-    def rows(chunk, texts, known):
-        c, out = _Chunk(texts, known, bits), []
+    def rows(chunk, texts):
+        c, out = _Chunk(texts, bits), []
         for kind in ("w", "b"):
             keys, counts = c.keys[kind], c.docs_of[kind]
             ends = range_ends(keys, ranges, bits)
@@ -176,15 +195,15 @@ def _requests(ranges: int, bits: int):
 
     def run(batches):
         release_memory()
-        known, now, texts = _Words(), None, []
+        now, texts = None, []
         for chunk, part in chunk_rows(batches, CHUNK_BYTES):
             if now is not None and chunk != now:
-                yield rows(now, texts, known)
+                yield rows(now, texts)
                 texts = []
             now = chunk
             texts += list(part["text"])
         if texts:
-            yield rows(now, texts, known)
+            yield rows(now, texts)
 
     return run
 
@@ -265,7 +284,7 @@ def _found(bits: int, ranges: int):
             return pd.DataFrame(columns=names)
         release_memory()
         docs = docs.sort_values("place")
-        c = _Chunk(list(docs["text"]), _Words(), bits)
+        c = _Chunk(list(docs["text"]), bits)
         code = {}
         for kind in ("w", "b"):
             mine, keys = answers[answers["kind"] == kind].sort_values("r"), c.keys[kind]

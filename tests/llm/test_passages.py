@@ -35,7 +35,7 @@ def test_units_equal_a_plain_version():
     draw = random.Random(2)
     texts = ["\n".join(" ".join(draw.choices("abc", k=draw.choice([0, 1, 4, 5, 6, 9, 30, 39, 40, 60]))) for _ in range(draw.randint(0, 12)))
              for _ in range(60)] + ["", "\n\n", "one", "a a a a a a a a\nb b b b b"]
-    c = substrings._Chunk(texts, jaccard._Words(), 64)
+    c = substrings._Chunk(texts, 64)
     got, sets = defaultdict(list), {}
     for p, (i, start, words) in enumerate(zip(c.p_doc.tolist(), c.p_start.tolist(), c.p_words.tolist())):
         got[i].append((start - int(c.begin[i]), words))
@@ -62,6 +62,20 @@ def test_units_equal_a_plain_version():
     assert all(len(k) == 1 for k in same.values())
 
 
+def test_words_have_hashes_of_their_own():
+    draw = random.Random(7)
+    texts = ["".join(draw.choices(["a", "b", "ab", "é", "\x00", " ", "\n", "\t\x0b", "\x1c", "z" * 40, "日"], k=draw.randint(0, 60))) for _ in range(400)]
+    texts += ["x" * 5000 + "a", "x" * 5000 + "b", "ax" + "x" * 4999, "", "\n", "ABC abc"]
+    hashes, words, doc = substrings._hashed(texts)
+    want, lines = [], []
+    for i, t in enumerate(texts):
+        for line in t.encode().split(b"\n"):
+            lines.append((i, len(line.split())))
+            want += [w.lower() for w in line.split()]
+    assert list(zip(doc.tolist(), words.tolist())) == lines and len(hashes) == len(want)
+    assert len(set(zip(hashes.tolist(), want))) == len(set(hashes.tolist())) == len(set(want))
+
+
 def brute_classes(rows):
     """{(place, start, words)} -> class, from exact Jaccard of every two paragraphs that share a shingle."""
     units, sets = [], []
