@@ -276,13 +276,13 @@ def _compare(share: int):
     return run
 
 
-def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = SHARE):
+def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = SHARE, bitmaps=()):
     """(links compared and found, components of them) among the sets that meet in lists.
 
     met: (sig, node, n, place; -1 for no place), a written table of lists with two nodes at least;
-    votes: (node, lead, weight, c), leads of a node's lists; sets: (node, n, shingles), written. Where `met` has
-    `bits`, a bitmap of each set's shingles, pairs whose bitmaps differ in more places than linked sets have
-    shingles apart are left out: each such place is a shingle that one of them lacks."""
+    votes: (node, lead, weight, c), leads of a node's lists; sets: (node, n, shingles), written.
+    bitmaps: columns of `met` that hold together a bitmap of each set's shingles; pairs whose bitmaps differ in more
+    places than linked sets have shingles apart are left out, as each such place is a shingle that one of them lacks."""
     # round 1: each set with one hub, the heaviest that leads a list of it
     best = votes.filter("node <> lead").groupBy("node").agg(F.max_by("lead", F.struct("weight", "lead")).alias("hub"))
     best = written(best, "hubs")
@@ -306,7 +306,7 @@ def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = S
     found = components(links2)
 
     # round 3: pairs across components and hubs in the lists that still hold several
-    own = [c for c in ("bits",) if c in met.columns]
+    own = list(bitmaps)
     at = met.select("sig", "node", "n", "place", *own).join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(best, "node", "left")
     at = at.withColumn("hub", F.coalesce("hub", "node"))
     several = at.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("hub").alias("h0"),
@@ -315,7 +315,7 @@ def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = S
     near = F.lit(True)
     if own:
         apart = F.floor((100 - share) * (F.col("x.n") + F.col("y.n")) / (100 + share))
-        near = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= apart
+        near = sum(F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in own) <= apart
     x = at.alias("x").join(at.alias("y"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node"))
                            & (F.col("x.component") != F.col("y.component")) & (F.col("x.hub") != F.col("y.hub"))
                            & _sizes_fit(F.col("x.n"), F.col("y.n"), share) & near

@@ -227,8 +227,9 @@ def _answer(key, group):
     return pd.DataFrame(out, columns=[c.split()[0] for c in ANSWERS.split(", ")])
 
 
-SENT = ("kind string, doc_id long, place long, start int, words int, node long, sig long, weight int, bits long, shingles array<long>, "
-        "kept boolean, r int, keys binary, names binary, name_of binary")
+SENT = ("kind string, doc_id long, place long, start int, words int, node long, sig long, weight int, bits0 long, bits1 long, bits2 long, bits3 long, "
+        "shingles array<long>, kept boolean, r int, keys binary, names binary, name_of binary")
+BITMAPS = ("bits0", "bits1", "bits2", "bits3")
 
 
 def _spans(covered: np.ndarray):
@@ -246,6 +247,12 @@ def _widen(starts: np.ndarray, n_words: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
+def _bitmaps(shingles: np.ndarray) -> list[int]:
+    """256 bits in which every shingle sets one, as signed numbers."""
+    word, bit = (shingles >> np.uint64(6)) & np.uint64(3), np.uint64(1) << (shingles & np.uint64(63))
+    return [int(np.bitwise_or.reduce(bit[word == w], initial=np.uint64(0)).view(np.int64)) for w in range(len(BITMAPS))]
+
+
 def _links(keys: np.ndarray, nodes: np.ndarray, ranges: int, bits: int):
     """(range, keys, names, which name) of the distinct pairs of a key and the span that holds it, packed."""
     names, at = np.unique(nodes, return_inverse=True)
@@ -299,7 +306,7 @@ def _found(bits: int, ranges: int):
         first_here = c.first["w"][c.at["w"]] == c.run_doc
         gone = (shared == 2) | ((shared == 1) & ~first_here)
         stays = (shared == 1) & first_here
-        out, a, passages = [], 0, []
+        out, a, passages, seen = [], 0, [], set()
         run_keys = c.keys["w"][c.at["w"]]
         ids, places = docs["doc_id"].tolist(), docs["place"].tolist()
         covered = np.zeros(int(c.words.sum()), bool)  # words of runs that go
@@ -317,7 +324,7 @@ def _found(bits: int, ranges: int):
                     heads, own = np.array([s for s, _ in spans]), np.flatnonzero(starts[a: a + n])
                     passages.append((run_keys[a + own], run_keys[a + heads[np.searchsorted(heads, own, side="right") - 1]]))
                 for s, e in spans:
-                    out.append(("run", doc, places[i], s, e - s, int(run_keys[a + s].view(np.int64)), *[None] * 4, kept, *[None] * 4))
+                    out.append(("run", doc, places[i], s, e - s, int(run_keys[a + s].view(np.int64)), *[None] * 7, kept, *[None] * 4))
             a += n
         left = np.concatenate(([0], np.cumsum(~covered)))  # a paragraph all of whose words go is in no class of its own
         band = code["b"][c.at["b"]] > 0
@@ -326,15 +333,19 @@ def _found(bits: int, ranges: int):
         for p in np.flatnonzero((weight > 0) & (left[c.p_start + c.p_words] > left[c.p_start])).tolist():
             i, s = int(c.p_doc[p]), np.unique(c.values[c.p_at[p]: c.p_at[p + 1]])
             doc, node = None if pd.isna(ids[i]) else int(ids[i]), xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
-            out.append(("paragraph", doc, places[i], int(c.p_start[p] - c.begin[i]), int(c.p_words[p]), node, None, None, None, s.view(np.int64), *[None] * 5))
-            bitmap = int(np.bitwise_or.reduce(np.uint64(1) << (s & np.uint64(63))).view(np.int64))
-            # the weight is how many bands another document has too
-            out += [("band", None, None, None, len(s), node, int(k), int(weight[p]), bitmap, *[None] * 6) for k in keys_of[p]]
+            # a set that comes again in this chunk needs no second set of keys
+            new = node not in seen
+            seen.add(node)
+            out.append(("paragraph", doc, places[i], int(c.p_start[p] - c.begin[i]), int(c.p_words[p]), node, *[None] * 6,
+                        s.view(np.int64) if new else None, *[None] * 5))
+            if new:  # the weight is how many bands another document has too
+                maps = _bitmaps(s)
+                out += [("band", None, None, None, len(s), node, int(k), int(weight[p]), *maps, *[None] * 6) for k in keys_of[p]]
         if passages:
             keys, nodes = (np.concatenate(x) for x in zip(*passages))
-            out += [("link", *[None] * 10, *x) for x in _links(keys, nodes, ranges, bits)]
+            out += [("link", *[None] * 13, *x) for x in _links(keys, nodes, ranges, bits)]
         got = pd.DataFrame(out, columns=names, dtype=object)  # a null beside them must not turn 64-bit names into floats
-        for x in ("doc_id", "place", "start", "words", "node", "sig", "weight", "bits", "r"):
+        for x in ("doc_id", "place", "start", "words", "node", "sig", "weight", *BITMAPS, "r"):
             got[x] = got[x].astype("Int64")
         got["kept"] = got["kept"].astype("boolean")
         return got
@@ -364,14 +375,14 @@ def find_repeats(docs: DataFrame, share: int = SHARE, place: str = None) -> Data
     sent = written(blocks.groupBy("block").cogroup(answers.select("block", "kind", "r", "check", "code").groupBy("block"))
                    .applyInPandas(_found(bits, ranges), SENT), "substring-sent")
     units = sent.filter("kind = 'paragraph'").select("doc_id", "place", "start", "words", "node")
-    sets = written(sent.filter("kind = 'paragraph'").groupBy("node").agg(F.first("shingles").alias("shingles")).select(
+    sets = written(sent.filter("kind = 'paragraph'").groupBy("node").agg(F.first("shingles", ignorenulls=True).alias("shingles")).select(
         "node", F.size("shingles").alias("n"), "shingles"), "substring-sets")
-    bands = sent.filter("kind = 'band'").groupBy("sig", "node").agg(F.first("words").alias("n"), F.max("weight").alias("weight"), F.first("bits").alias("bits"))
+    bands = sent.filter("kind = 'band'").groupBy("sig", "node").agg(F.first("words").alias("n"), F.max("weight").alias("weight"), *[F.first(b).alias(b) for b in BITMAPS])
     first = bands.groupBy("sig").agg(F.max(F.struct("weight", "node")).alias("hub"), F.min("node").alias("lo"), F.max("node").alias("hi"))
     first = first.filter("lo < hi").select("sig", F.col("hub.node").alias("lead"), F.col("hub.weight").alias("lead_weight"))
     met = written(bands.drop("weight").withColumn("place", F.lit(-1)).join(first, "sig"), "substring-lists")
     votes = met.groupBy("node", "lead").agg(F.count(F.lit(1)).alias("c"), F.max("lead_weight").alias("weight"))
-    _, found = link_lists(met, votes, sets, share)
+    _, found = link_lists(met, votes, sets, share, BITMAPS)
     named = units.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     order = F.struct("place", "start")
     head = named.groupBy("component").agg(F.min(order).alias("lo"), F.max("place").alias("hi")).filter("lo.place < hi").drop("hi")
