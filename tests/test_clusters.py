@@ -301,3 +301,15 @@ def test_vector_problems_and_statement_texts(spark):
     with pytest.raises(PySparkException):
         Q.clustering_texts(issues).collect()
     assert "customer_text" not in Q.clustering_texts(issues).columns
+
+
+def test_terms_are_counted_once_and_in_one_row(spark, monkeypatch):
+    texts = [("1", "aa bb aa bb aa"), ("2", "aa"), ("3", ""), ("4", None), ("5", "bb aa cc bb")]
+    docs = spark.createDataFrame(texts, "conversation_id string, customer_text string").coalesce(1)
+    said = {"aa": (3, 5), "bb": (2, 4), "cc": (1, 1), "aa bb": (1, 2), "bb aa": (2, 3), "aa cc": (1, 1), "cc bb": (1, 1)}
+    for tokens in (X.PIECE_TOKENS, 1):
+        monkeypatch.setattr(X, "PIECE_TOKENS", tokens)
+        counts = X.term_frequencies(docs)
+        assert {r.term: (r.df, r.total) for r in counts.collect()} == said
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("MapInArrow") == 1
