@@ -13,7 +13,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.common import _py2java
 from pyspark.ml.linalg import DenseMatrix, DenseVector
@@ -21,11 +20,10 @@ from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.operators.blocks import BLOCK, as_blocks, block_sums
 from parley.sources.workspace import written
 
-SLICES = 32
 MEMORY = 12  # steps that the solver remembers
-_PART = "slice int, values binary"
 
 
 @dataclass
@@ -37,43 +35,6 @@ class Fit:
     converged: bool
 
 
-def _rows(batch: pa.RecordBatch):
-    """(indices, values, row of each value, labels) of a batch of sparse or dense vectors."""
-    vectors, labels = batch.column("_p"), batch.column("_label").to_numpy(zero_copy_only=False).astype(np.int64)
-    values = vectors.field("values")
-    lengths = values.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    owner = np.repeat(np.arange(len(labels)), lengths)
-    flat = values.flatten().to_numpy(zero_copy_only=False)
-    indices = vectors.field("indices")
-    if indices.null_count:
-        first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        dense = np.arange(len(flat)) - np.repeat(first, lengths)
-        given = np.repeat(indices.is_valid().to_numpy(zero_copy_only=False), lengths)
-        at = dense
-        at[given] = indices.flatten().to_numpy(zero_copy_only=False)
-    else:
-        at = indices.flatten().to_numpy(zero_copy_only=False)
-    return at, flat, owner, labels
-
-
-def _sums(data: DataFrame, of_batch: Callable, size: int) -> np.ndarray:
-    """Sum over all rows of `of_batch(batch)`, an array of `size` numbers per batch."""
-
-    def task(batches):
-        total = np.zeros(size)
-        for batch in batches:
-            total += of_batch(batch)
-        for k, part in enumerate(np.array_split(total, SLICES)):
-            yield pa.record_batch({"slice": pa.array([k], pa.int32()), "values": pa.array([part.tobytes()], pa.binary())})
-
-    def add(parts: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v.as_py()) for v in parts["values"])
-        return pa.table({"slice": parts["slice"].slice(0, 1), "values": pa.array([total.tobytes()], pa.binary())})
-
-    got = data.mapInArrow(task, _PART).groupBy("slice").applyInArrow(add, _PART).collect()
-    return np.concatenate([np.frombuffer(bytes(r["values"])) for r in sorted(got, key=lambda r: r["slice"])]) if got else np.zeros(size)
-
-
 def _direction(g, steps):
     """The L-BFGS direction from the last steps and changes of gradient."""
     q, used = -g, []
@@ -126,28 +87,31 @@ def fit_softmax(rows: DataFrame, classes: int, dimension: int, penalty: float, f
     rows: vectors of `dimension` numbers with labels 0..classes-1. `start` is an earlier fit to go on from.
     """
     raw = F.unwrap_udt(F.col(features_col))
-    data = written(rows.select(F.struct(raw["indices"].alias("indices"), raw["values"].alias("values")).alias("_p"),
-                               F.col(label_col).cast("int").alias("_label")), "training-vectors")
-    count = data.count()
-    if count == 0:
-        raise ValueError("there are no rows to learn from")
+    vectors = rows.select(F.struct(raw["indices"].alias("indices"), raw["values"].alias("values")).alias("_p"),
+                          F.col(label_col).cast("int").alias("_label"))
+    data = written(vectors.mapInArrow(as_blocks, BLOCK), "training-vectors")
 
-    def squares(batch):
-        at, flat, _, _ = _rows(batch)
-        return np.bincount(at, flat * flat, minlength=dimension)
+    def squares(total, at, flat, lengths, labels):
+        total += np.append(np.bincount(at, flat * flat, minlength=dimension), len(labels))
 
+    total = block_sums(data, squares, dimension + 1)
+    count = int(total[-1])
+    if count == 0:
+        raise ValueError("there are no rows to learn from")
     # in these coordinates the curvature is about one everywhere
-    scale = np.sqrt(penalty + _sums(data, squares, dimension) / count / classes)
+    scale = np.sqrt(penalty + total[:-1] / count / classes)
 
     def evaluate(u):
         w, b = u[:-classes].reshape(dimension, classes) / scale[:, None], u[-classes:]
 
-        def of_batch(batch):
-            at, flat, owner, labels = _rows(batch)
-            n = len(labels)
-            scores = np.empty((n, classes))
-            for k in range(classes):
-                scores[:, k] = np.bincount(owner, flat * w[at, k], minlength=n) + b[k]
+        columns = np.ascontiguousarray(w.T)
+
+        def add(sums, at, flat, lengths, labels):
+            n, filled = len(labels), lengths > 0
+            starts = (np.cumsum(lengths, dtype=np.int64) - lengths)[filled]
+            scores = np.tile(b, (n, 1))
+            for k in range(classes if len(starts) else 0):
+                scores[filled, k] += np.add.reduceat(flat * columns[k][at], starts)
             scores -= scores.max(axis=1, keepdims=True)
             odds = np.exp(scores)
             total = odds.sum(axis=1)
@@ -155,10 +119,10 @@ def fit_softmax(rows: DataFrame, classes: int, dimension: int, penalty: float, f
             loss = float((np.log(total) - scores[line, labels]).sum())
             away = odds / total[:, None]
             away[line, labels] -= 1
-            g = np.stack([np.bincount(at, flat * away[owner, k], minlength=dimension) for k in range(classes)], axis=1)
-            return np.concatenate((g.ravel(), away.sum(axis=0), [loss]))
+            g = np.stack([np.bincount(at, flat * np.repeat(away[:, k], lengths), minlength=dimension) for k in range(classes)], axis=1)
+            sums += np.concatenate((g.ravel(), away.sum(axis=0), [loss]))
 
-        total = _sums(data, of_batch, dimension * classes + classes + 1) / count
+        total = block_sums(data, add, dimension * classes + classes + 1) / count
         value = total[-1] + penalty / 2 * float((w * w).sum())
         g = total[:-classes - 1].reshape(dimension, classes) + penalty * w
         return value, np.concatenate(((g / scale[:, None]).ravel(), total[-classes - 1:-1]))

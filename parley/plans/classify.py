@@ -13,6 +13,7 @@ from parley.operators.evaluation import stratified_split, split_overlap
 from parley.operators.features import tfidf_stages
 from parley.operators.softmax import as_model, fit_softmax
 from parley.operators.quality import duplicate_ids, require_none, same_row_count, training_examples
+from parley.sources.workspace import written
 
 
 def fit_classifier(train: DataFrame, text_col="customer_text", label_col="domain",
@@ -58,13 +59,14 @@ def train_classifier(conversations: DataFrame, text_col="customer_text", label_c
     if strict:
         require_none(rejects, "example is not complete")
         require_none(duplicate_ids(examples, id_col), "id occurs more than once")
-    parts = stratified_split(examples, label_col, id_col)
+    # texts are read by every step of the fit, and scores by every figure of a report: both are worked out once
+    parts = written(stratified_split(examples, label_col, id_col), "split-examples")
     train = parts.where("part = 'train'").drop("part")
     test = parts.where("part = 'test'").drop("part")
     if strict:
         require_none(split_overlap(train, test, id_col), "id is in both parts")
     model = fit_classifier(train, text_col, label_col, **fit_options)
-    predictions = predict(model, test).withColumn("actual", F.col(label_col))
+    predictions = written(predict(model, test).withColumn("actual", F.col(label_col)), "predictions")
     if strict:
         same_row_count(test, predictions)
     return TrainedClassifier(model, train, test, predictions)

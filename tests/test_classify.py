@@ -198,3 +198,20 @@ def test_display(spark):
     rows = df.select(D.domain_label("c").alias("c"), D.decimals("x", 4).alias("x"), D.ratio("x").alias("r")).collect()
     assert [(r.c, r.x) for r in rows] == [("Telekomünikasyon", "1.0050"), ("unknown", "—"), ("—", "—")]
     assert rows[1].r == "—"
+
+
+def test_a_pass_reads_packed_blocks_of_whole_rows(spark, monkeypatch):
+    rows = softmax_rows(spark).persist()
+    seen, blocks = [], M.block_sums
+    monkeypatch.setattr(M, "block_sums", lambda data, add, size: seen.append(data) or blocks(data, add, size))
+    M.fit_softmax(rows, 3, 60, 1 / 400, tol=1e-2)
+    kinds = {f.name: f.dataType.simpleString() for f in seen[0].schema}
+    assert kinds == {"at": "binary", "flat": "binary", "lengths": "binary", "labels": "binary"}
+    assert seen[0].count() < 40  # blocks, not rows
+    assert len({id(d) for d in seen}) == 1
+
+
+def test_examples_and_predictions_are_worked_out_once(trained):
+    for df in (trained.train, trained.predictions):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "UDF" not in plan
