@@ -313,3 +313,29 @@ def test_terms_are_counted_once_and_in_one_row(spark, monkeypatch):
         assert {r.term: (r.df, r.total) for r in counts.collect()} == said
     plan = counts._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and plan.count("MapInArrow") == 1
+
+
+@pytest.mark.parametrize("sparse", [False, True])
+def test_fits_side_by_side_are_those_of_sparks_estimator(spark, sparse, monkeypatch):
+    rng = np.random.default_rng(5)
+    values = rng.normal(size=(300, 6)) * (rng.random((300, 6)) < (0.5 if sparse else 2))
+    features = M.as_features(points(spark, [(i, 0, [float(x) for x in v]) for i, v in enumerate(values)]), "v").select("_features")
+    if sparse:
+        from pyspark.ml.linalg import Vectors
+        features = spark.createDataFrame([(Vectors.sparse(6, [(j, float(x)) for j, x in enumerate(v) if x]),) for v in values], ["_features"])
+    features = features.persist()
+    passes, jobs = [], [(3, 42), (5, 42), (5, 43)]
+    step = M._step
+    monkeypatch.setattr(M, "_step", lambda blocks, stacks: passes.append(len(stacks)) or step(blocks, stacks))
+    own = [M.KMeans(k=k, seed=s, maxIter=200, featuresCol="_features", predictionCol="cluster_id").fit(features) for k, s in jobs]
+    made = M._fit_all(features, jobs, 200, 2)
+    for a, b in zip(own, made):
+        assert np.allclose(a.clusterCenters(), b.clusterCenters()) and b.getMaxIter() == 200
+        assert abs(a.summary.trainingCost - b.summary.trainingCost) < 1e-9 and a.summary.numIter == b.summary.numIter
+        assert a.transform(features).collect() == b.transform(features).collect()
+    assert len(passes) == max(m.summary.numIter for m in own) and passes[0] == 3 and passes[-1] < 3
+    cut = M._fit_all(features, jobs[:1], 2, 1)[0]
+    assert cut.summary.numIter == 2
+    monkeypatch.setattr(M, "STACK_VALUES", 1)  # one fit at a time
+    assert all(np.allclose(a.clusterCenters(), b.clusterCenters()) for a, b in zip(own, M._fit_all(features, jobs, 200, 2)))
+    features.unpersist()
