@@ -39,7 +39,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from parley.llm.chunks import block_of, chunk_rows, pack, range_ends, unpack
+from parley.llm.chunks import block_of, chunk_rows, pack, range_ends, release_memory, unpack
 from parley.llm.common import attach_small, written
 from parley.llm.graph import components
 
@@ -124,6 +124,7 @@ def _requests(ranges: int, bits: int):
         return pd.DataFrame(out, columns=names)
 
     def run(batches):
+        release_memory()
         known, now, sets = _Words(), None, []
         for chunk, part in chunk_rows(batches):
             if now is not None and chunk != now:
@@ -174,6 +175,7 @@ def _senders(bits: int, small: int, share: int):
     def run(_, docs, answers):
         if not len(docs):
             return pd.DataFrame(columns=names)
+        release_memory()
         known = _Words()
         sets = _chunk_sets(docs, known)
         keys, at = np.unique(_cut(np.concatenate(sets), bits), return_inverse=True)

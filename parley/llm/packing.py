@@ -200,5 +200,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
             yield packer.take()
         packer.finish()
         yield packer.take()
+        del packer
+        release_memory()  # the worker may stand idle beside other stages
 
     return docs.selectExpr("doc_id", "text").mapInPandas(run, PIECES)
