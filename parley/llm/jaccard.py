@@ -134,6 +134,8 @@ def _requests(ranges: int, bits: int):
             sets += _chunk_sets(part, known)
         if sets:
             yield rows(now, sets)
+        known, sets, part = None, [], None
+        release_memory()  # the worker may stand idle beside other stages
 
     return run
 
@@ -230,6 +232,25 @@ def _sizes_fit(a, b, share):
 
 
 BLOCK = 1024  # members of a hub's group that one task compares at a time
+COLUMNS = 4096  # shingles of a matrix at a time
+
+
+def _overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets numbered `a` with those numbered `b`, COLUMNS shingles at a time."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    every, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column, hot = np.cumsum(counts > 1) - 1, counts[at] > 1  # what one set alone has is in no overlap
+    row, column = row[hot], column[at[hot]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(a), len(b)), np.float32)
+    width = int(column[-1]) + 1 if len(column) else 0
+    for c in range(0, width, COLUMNS):
+        x, y = np.searchsorted(column, (c, c + COLUMNS))
+        m = np.zeros((len(sets), min(COLUMNS, width - c)), np.float32)
+        m[row[x:y], column[x:y] - c] = 1
+        both += m[a] @ m[b].T
+    return both
 
 
 def _forest(n: int, pairs) -> list[tuple[int, int]]:
@@ -258,13 +279,8 @@ def _compare(share: int):
         far, sets = group["far"].to_numpy(bool), [np.asarray(s) for s in group["shingles"]]
         nodes, near = group["node"].to_numpy(), group["near"].to_numpy(bool)
         sizes = np.array([len(s) for s in sets])
-        every, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        column = np.cumsum(counts > 1) - 1  # what one set alone has is in no overlap
-        hot = counts[at] > 1
-        m = np.zeros((len(sets), max(1, int((counts > 1).sum()))), np.float32)
-        m[np.repeat(np.arange(len(sets)), sizes)[hot], column[at[hot]]] = 1
         a, b = np.flatnonzero(far), np.flatnonzero(~far)
-        both = m[a] @ m[b].T
+        both = _overlaps(sets, a, b)
         linked = (100 * both >= share * (sizes[a][:, None] + sizes[b][None, :] - both)) & (nodes[a][:, None] != nodes[b][None, :])
         x, y = np.nonzero(linked)
         name = {}
@@ -330,7 +346,6 @@ def link_lists(met: DataFrame, votes: DataFrame, sets: DataFrame, share: int = S
     return links, components(links)
 
 
-COLUMNS = 4096  # shingles of a matrix at a time
 TASK_ROWS = 4096  # sets that one task of the count reads, about
 
 
@@ -340,21 +355,9 @@ def _count(share: int):
     def one(t):
         sets, copies = [np.asarray(s) for s in t["shingles"]], t["copies"].to_numpy(np.float64)
         sizes = np.array([len(s) for s in sets])
-        row = np.repeat(np.arange(len(sets)), sizes)
-        every, at, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        column, hot = np.cumsum(counts > 1) - 1, counts[at] > 1
-        row, column = row[hot], column[at[hot]]
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
         block, i, j = t["own"].to_numpy(), t["i"].iloc[0], t["j"].iloc[0]
         a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        both = np.zeros((len(a), len(b)), np.float32)
-        width = int(column[-1]) + 1 if len(column) else 0
-        for c in range(0, width, COLUMNS):
-            x, y = np.searchsorted(column, (c, c + COLUMNS))
-            m = np.zeros((len(sets), min(COLUMNS, width - c)), np.float32)
-            m[row[x:y], column[x:y] - c] = 1
-            both += m[a] @ m[b].T
+        both = _overlaps(sets, a, b)
         linked = 100 * both >= share * (sizes[a][:, None] + sizes[b][None, :] - both)
         links = np.zeros(len(sets))
         if i == j:

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from parley.llm.chunks import release_memory
+from parley.llm.chunks import kept_answers, release_memory
 from parley.llm.memo import Memo
 
 CAPACITY = 4096
@@ -160,11 +160,13 @@ class WordIds:
                 yield b"".join(map(self.known.__getitem__, words))
 
 
-_WORKER = {}
+NAME = "packing"
+_WORKER = kept_answers(NAME)
 
 
 def worker_words(model: str) -> WordIds:
-    """The answers of this worker process, which later tasks with the same tokenizer find warm."""
+    """The answers of this worker process, which later tasks with the same tokenizer find warm; tasks of the join and
+    of the passages drop them."""
     from tokenizers import Tokenizer
 
     if model not in _WORKER:
@@ -188,7 +190,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        release_memory()
+        release_memory(NAME)
         known = worker_words(model)
         packer = Packer(TaskContext.get().partitionId() << 40, capacity, tolerance)
         for b in batches:
@@ -201,6 +203,6 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: i
         packer.finish()
         yield packer.take()
         del packer
-        release_memory()  # the worker may stand idle beside other stages
+        release_memory(NAME)  # the worker may stand idle beside other stages
 
     return docs.selectExpr("doc_id", "text").mapInPandas(run, PIECES)

@@ -204,6 +204,8 @@ def _requests(ranges: int, bits: int):
             texts += list(part["text"])
         if texts:
             yield rows(now, texts)
+        texts, part = [], None
+        release_memory()  # the worker may stand idle beside other stages
 
     return run
 
@@ -414,6 +416,10 @@ def _without(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
     return pd.Series([one(*x) for x in zip(text, starts, ends)], dtype=object)
 
 
+#: Otherwise the filter on what is left would be pushed below it and cut every text once more, in a second worker per task.
+_without = _without.asNondeterministic()
+
+
 def remove_repeats(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """`docs` with the repeats that do not stay cut from the texts; a text of which no word is left goes.
     Columns are unchanged, whatever their names; n_chars, where there is one, is that of the text that is left.
