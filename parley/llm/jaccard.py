@@ -39,13 +39,13 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from parley.llm.chunks import block_of, chunk_rows, pack, range_ends, release_memory, unpack
+from parley.llm.chunks import block_of, chunk_rows, pack, range_ends, release_memory, small_batches, unpack
 from parley.llm.common import attach_small, written
 from parley.llm.graph import components
 
 WORDS, SHARE = 5, 75  # shingle length; percent
 RANGE_CHARS = 4_000_000
-MEMO_SIZE = 400_000
+MEMO_SIZE = 100_000  # words, of some 150 bytes each with their hash
 SPARE_BITS = 12  # key bits beyond those that number the corpus' shingles
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -178,14 +178,14 @@ def _senders(bits: int, small: int, share: int):
         if not len(docs):
             return pd.DataFrame(columns=names)
         release_memory()
-        known = _Words()
-        sets = _chunk_sets(docs, known)
+        sets = _chunk_sets(docs, _Words())
         keys, at = np.unique(_cut(np.concatenate(sets), bits), return_inverse=True)
         mine = answers.sort_values("r")
         df = np.concatenate([unpack(b) for b in mine["df"]]) if len(mine) else np.empty(0, np.uint64)
         if len(df) != len(keys):
             raise RuntimeError(f"a chunk has {len(keys)} keys, its answer {len(df)}: the table's rows came in another order")
         df, a = df[at], 0
+        del keys, at
         out, seen = [], set()
         for doc, s in zip(docs["doc_id"], sets):
             doc = None if pd.isna(doc) else int(doc)
@@ -211,7 +211,9 @@ def _senders(bits: int, small: int, share: int):
                 weight = int(64 * math.log2(float(mine.mean())))
                 out.append(("set", doc, f1, f2, len(s), None, None, weight, s.view(np.int64)))
                 out += [("sig", doc, f1, f2, len(s), v, i, weight, None) for v, i in sent]
+        del sets, df, mine, docs, answers
         got = pd.DataFrame(out, columns=names, dtype=object)  # a null beside them must not turn 64-bit names into floats
+        out.clear()
         for c in ("doc_id", "f1", "f2", "n", "sig", "place", "weight"):
             got[c] = got[c].astype("Int64")
         return got
@@ -413,6 +415,7 @@ def _company(classes: DataFrame, found: DataFrame) -> DataFrame:
 
 def _linked(docs: DataFrame, share: int):
     """The documents' rows, classes of equal sets, sets that may have partners, and components of the classes."""
+    small_batches(docs.sparkSession)
     d = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(1, math.ceil(chars / RANGE_CHARS))

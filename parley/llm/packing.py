@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from parley.llm.chunks import kept_answers, release_memory
+from parley.llm.chunks import kept_answers, release_memory, small_batches
 from parley.llm.memo import Memo
 
 CAPACITY = 4096
@@ -185,6 +185,7 @@ def document_ids(texts, known: WordIds, end_id: int = END_ID):
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY,
          tolerance: float = TOLERANCE) -> DataFrame:
     """PIECES of all documents; sequences are numbered by task and then in order."""
+    small_batches(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         model = f.read()
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
-from parley.llm.chunks import block_of, chunk_rows, key_check, pack, range_ends, release_memory, unpack
+from parley.llm.chunks import block_of, chunk_rows, key_check, pack, range_ends, release_memory, small_batches, unpack
 from parley.llm.common import written
 from parley.llm.graph import components
 from parley.llm.jaccard import RANGE_CHARS, SHARE, WORDS, _LOWER, _MIX, _scramble, link_lists
@@ -42,6 +42,7 @@ PARAGRAPH_WORDS = 40
 BANDS, ROWS = 20, 4
 CHUNK_BYTES = 4_000_000
 BANDED = 16_384  # sets whose bands are made at a time
+PORTION_BYTES = 262_144  # of a chunk's texts, whose words are hashed at a time
 SPARE_BITS = 20
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _rng = np.random.default_rng(11)
@@ -98,15 +99,17 @@ def _hashed(texts):
     ends = word.copy()
     ends[:-1] &= ~word[1:]
     size = np.flatnonzero(ends) + 1 - start
-    if len(start):
-        here = np.arange(len(b), dtype=np.int32)
-        place = here - np.maximum.accumulate(np.where(begins, here, 0))
-        h = np.add.reduceat(_BYTE[b] * _PLACE[place & (LONG_WORD - 1)], start)  # blanks count nothing
-        h = _scramble(h + size.astype(np.uint64) * _MIX[3])
-        for k in np.flatnonzero(size > LONG_WORD).tolist():
-            h[k] = xxhash.xxh3_64_intdigest(whole[start[k]: start[k] + size[k]])
-    else:
-        h = np.empty(0, np.uint64)
+    h, i = np.empty(len(start), np.uint64), 0
+    while i < len(start):  # a portion of whole words at a time, as each of its bytes takes some forty here
+        j = int(np.searchsorted(start, start[i] + PORTION_BYTES))
+        a, z = int(start[i]), int(start[j]) if j < len(start) else len(b)
+        at = start[i:j] - a
+        place = np.arange(z - a, dtype=np.int32) - np.repeat(at.astype(np.int32), np.diff(at, append=z - a))
+        h[i:j] = np.add.reduceat(_BYTE[b[a:z]] * _PLACE[place & (LONG_WORD - 1)], at)  # blanks count nothing
+        i = j
+    h = _scramble(h + size.astype(np.uint64) * _MIX[3])
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        h[k] = xxhash.xxh3_64_intdigest(whole[start[k]: start[k] + size[k]])
     breaks = np.flatnonzero(b == 10)
     line = np.concatenate(([0], breaks + 1))
     begin = np.cumsum([0] + [len(r) + 1 for r in raw[:-1]])
@@ -137,18 +140,23 @@ class _Chunk:
         h, words, line_doc = _hashed(texts)
         self.words = np.bincount(line_doc, words, minlength=len(texts)).astype(np.int64)
         self.begin = np.cumsum(self.words) - self.words  # first word of each text
-        of_word = np.repeat(np.arange(len(texts)), self.words)
+        of_word = np.repeat(np.arange(len(texts), dtype=np.int32), self.words)
         runs = _runs(h, WINDOW)
         inside = of_word[: len(runs)] == of_word[WINDOW - 1:]
         runs, self.run_doc = runs[inside], of_word[: len(runs)][inside]
+        cut = np.uint64(64 - bits)
+        self.keys, self.at, self.docs_of, self.first = {}, {}, {}, {}
+        self._number("w", runs >> cut, self.run_doc)
+        del of_word, inside, runs
 
         # shingles of the paragraphs, one paragraph after the other
         self.p_doc, self.p_start, self.p_words = _paragraphs(words, line_doc, np.cumsum(words) - words)
         sizes = self.p_words - WORDS + 1
         self.p_at = np.concatenate(([0], np.cumsum(sizes)))
         n = len(sizes)
-        of = np.repeat(np.arange(n), sizes)
+        of = np.repeat(np.arange(n, dtype=np.int32), sizes)
         self.values = _runs(h, WORDS)[np.arange(self.p_at[-1]) - np.repeat(self.p_at[:-1] - self.p_start, sizes)]
+        del h
         if n:
             low, high = np.minimum.reduceat(self.values, self.p_at[:-1]), np.maximum.reduceat(self.values, self.p_at[:-1])
             # one or two different shingles: such a set links with its equals only, and has one key
@@ -160,23 +168,23 @@ class _Chunk:
         else:
             self.key_of, self.band_keys = np.empty(0, np.int64), np.empty(0, np.uint64)
 
-        cut = np.uint64(64 - bits)
-        self.keys, self.at, self.docs_of, self.first = {}, {}, {}, {}
-        for kind, keys, doc in (("w", runs, self.run_doc), ("b", self.band_keys, self.p_doc[self.key_of])):
-            keys = keys >> cut
-            order = np.lexsort((doc, keys))
-            k, d = keys[order], doc[order]
-            new = np.ones(len(k), bool)
-            new[1:] = k[1:] != k[:-1]
-            number = np.cumsum(new) - 1
-            other = new.copy()
-            other[1:] |= d[1:] != d[:-1]
-            self.keys[kind] = k[new]
-            self.docs_of[kind] = np.bincount(number, weights=other).astype(np.uint64) if len(k) else np.empty(0, np.uint64)
-            self.first[kind] = d[new]
-            at = np.empty(len(k), np.int64)
-            at[order] = number
-            self.at[kind] = at
+        del of
+        self._number("b", self.band_keys >> cut, self.p_doc[self.key_of])
+
+    def _number(self, kind, keys, doc):
+        """Distinct keys in order with their number of documents and the first; and which of them each key is."""
+        order = np.lexsort((doc, keys))
+        k, d = keys[order], doc[order]
+        new = np.ones(len(k), bool)
+        new[1:] = k[1:] != k[:-1]
+        other = new.copy()
+        other[1:] |= d[1:] != d[:-1]
+        self.keys[kind], self.first[kind] = k[new], d[new]
+        del k, d
+        number = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        self.docs_of[kind] = np.bincount(number, weights=other).astype(np.uint64) if len(number) else np.empty(0, np.uint64)
+        self.at[kind] = np.empty(len(number), np.int32)
+        self.at[kind][order] = number
 
 
 def _requests(ranges: int, bits: int):
@@ -232,6 +240,7 @@ def _answer(key, group):
 SENT = ("kind string, doc_id long, place long, start int, words int, node long, sig long, weight int, bits0 long, bits1 long, bits2 long, bits3 long, "
         "shingles array<long>, kept boolean, r int, keys binary, names binary, name_of binary")
 BITMAPS = ("bits0", "bits1", "bits2", "bits3")
+WHOLE = ("doc_id", "place", "start", "words", "node", "sig", "weight", *BITMAPS, "r")
 
 
 def _spans(covered: np.ndarray):
@@ -284,6 +293,26 @@ def _joined(key, group):
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
+def _band_rows(bands, of: np.ndarray, keys: np.ndarray, names) -> pd.DataFrame:
+    """A row for each distinct key of the paragraphs in `bands` (number, words, node, weight, bitmaps; in order);
+    `of`: the paragraph's number for each of `keys`."""
+    numbers, *facts = (np.array(x, np.int64) for x in zip(*bands))
+    order = np.lexsort((keys, of))
+    of, keys = of[order], keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (of[1:] != of[:-1]) | (keys[1:] != keys[:-1])
+    at = np.minimum(np.searchsorted(numbers, of), len(numbers) - 1)
+    new &= numbers[at] == of
+    at, keys = at[new], keys[new]
+    have = dict(zip(("words", "node", "weight", *BITMAPS), (x[at] for x in facts))) | {"sig": keys}
+    rows = pd.DataFrame(index=range(len(keys)), columns=names, dtype=object)
+    for x in WHOLE:
+        rows[x] = pd.array(have[x], "Int64") if x in have else pd.array([pd.NA], "Int64").repeat(len(keys))
+    rows["kind"], rows["kept"] = "band", pd.array([pd.NA], "boolean").repeat(len(keys))
+    rows[["shingles", "keys", "names", "name_of"]] = None
+    return rows
+
+
 def _found(bits: int, ranges: int):
     """For cogroup: spans that repeat word for word, and paragraphs that share a band, with their bands."""
     names = [c.split()[0] for c in SENT.split(", ")]
@@ -331,7 +360,7 @@ def _found(bits: int, ranges: int):
         left = np.concatenate(([0], np.cumsum(~covered)))  # a paragraph all of whose words go is in no class of its own
         band = code["b"][c.at["b"]] > 0
         weight = np.bincount(c.key_of[band], minlength=len(c.p_doc))
-        keys_of = pd.Series(c.band_keys[band].view(np.int64)).groupby(c.key_of[band]).unique()
+        bands = []
         for p in np.flatnonzero((weight > 0) & (left[c.p_start + c.p_words] > left[c.p_start])).tolist():
             i, s = int(c.p_doc[p]), np.unique(c.values[c.p_at[p]: c.p_at[p + 1]])
             doc, node = None if pd.isna(ids[i]) else int(ids[i]), xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
@@ -341,16 +370,18 @@ def _found(bits: int, ranges: int):
             out.append(("paragraph", doc, places[i], int(c.p_start[p] - c.begin[i]), int(c.p_words[p]), node, *[None] * 6,
                         s.view(np.int64) if new else None, *[None] * 5))
             if new:  # the weight is how many bands another document has too
-                maps = _bitmaps(s)
-                out += [("band", None, None, None, len(s), node, int(k), int(weight[p]), *maps, *[None] * 6) for k in keys_of[p]]
+                bands.append((p, len(s), node, int(weight[p]), *_bitmaps(s)))
         if passages:
             keys, nodes = (np.concatenate(x) for x in zip(*passages))
             out += [("link", *[None] * 13, *x) for x in _links(keys, nodes, ranges, bits)]
+        named, keys = c.key_of[band], c.band_keys[band].view(np.int64)
+        del c, docs, code, shared, beside, first_here, gone, stays, run_keys, covered, left, band
         got = pd.DataFrame(out, columns=names, dtype=object)  # a null beside them must not turn 64-bit names into floats
-        for x in ("doc_id", "place", "start", "words", "node", "sig", "weight", *BITMAPS, "r"):
+        out.clear()
+        for x in WHOLE:
             got[x] = got[x].astype("Int64")
         got["kept"] = got["kept"].astype("boolean")
-        return got
+        return pd.concat([got, _band_rows(bands, named, keys, names)], ignore_index=True) if bands else got
 
     return run
 
@@ -359,6 +390,7 @@ def find_repeats(docs: DataFrame, share: int = SHARE, place: str = None) -> Data
     """Repeats: doc_id, place (row in table order, or the column `place`), start_word, n_words, kind (run or paragraph),
     component (the class: of exact passages that share words, or of near paragraphs), kept (true for a copy that
     stays: in the document that comes first). Words count from 0 over the whole text. Other columns are not read."""
+    small_batches(docs.sparkSession)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([F.col(place).alias("place")] if place else []))
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
     ranges = max(1, math.ceil(chars / RANGE_CHARS))

@@ -50,3 +50,80 @@ def test_other_operators_drop_what_packing_keeps():
     assert packing.worker_words(model) is known
     chunks.release_memory()
     assert not packing._WORKER and packing.worker_words(model) is not known
+
+
+def _texts(n_bytes: int) -> list[str]:
+    """Some MB of documents of short and long lines."""
+    draw = np.random.default_rng(6)
+    vocabulary = [f"word{i}" for i in range(5000)]
+    out, size = [], 0
+    while size < n_bytes:
+        words = [vocabulary[i] for i in draw.integers(0, 5000, 400)]
+        out.append("\n".join(" ".join(words[i: i + k]) for i, k in ((0, 60), (60, 8), (68, 30), (98, 302))))
+        size += len(out[-1])
+    return out
+
+
+def test_words_of_a_chunk_are_hashed_in_portions(monkeypatch):
+    texts = _texts(substrings.CHUNK_BYTES)
+    tracemalloc.start()
+    chunk = substrings._Chunk(texts, 49)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert chunk.words.tolist() == [400] * len(texts)
+    assert peak < 100e6, peak
+    # portions end between words, wherever they are cut, and a word may be longer than one
+    odd = ["", " \n", "x" * 3000 + " a\tb", "\u00e9 " * 50, "B\n\nc", *texts[:3]]
+    got = []
+    for size in (1, 7, 1 << 30):
+        monkeypatch.setattr(substrings, "PORTION_BYTES", size)
+        got.append(substrings._hashed(odd))
+    for x in got[1:]:
+        assert all(np.array_equal(a, b) for a, b in zip(got[0], x))
+
+
+def test_found_bands_are_columns_not_rows_of_objects(monkeypatch):
+    """All keys shared: every band of every different paragraph comes once, with its paragraph's facts."""
+    texts = _texts(1_000_000)
+    bits, ranges = 49, 3
+    monkeypatch.setattr(substrings, "block_of", lambda chunk: chunk)
+    docs = pd.DataFrame({"doc_id": pd.array([None, *range(1, len(texts))], "Int64"), "place": range(len(texts)), "text": texts})
+    asked = pd.concat(substrings._requests(ranges, bits)(iter([docs[["doc_id", "text"]]])))
+    answers = asked.assign(code=[chunks.pack(np.full(n, int(kind == "b"), np.uint64)) for n, kind in zip(asked["n"], asked["kind"])])
+    tracemalloc.start()
+    got = substrings._found(bits, ranges)((0,), docs, answers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    bands, units = got[got["kind"] == "band"], got[got["kind"] == "paragraph"].drop_duplicates("node").set_index("node")
+    chunk = substrings._Chunk(texts, bits)
+    want = {(int(units.index[p]), int(k)) for p, k in zip(chunk.key_of, chunk.band_keys.view(np.int64))}
+    assert len(units) == len(chunk.p_doc) and len(bands) == len(want)
+    assert {(int(a), int(b)) for a, b in zip(bands["node"], bands["sig"])} == want
+    first = bands.iloc[0]
+    mine = units.loc[first["node"], "shingles"].view(np.uint64)
+    assert first["words"] == len(mine) and [first[b] for b in substrings.BITMAPS] == substrings._bitmaps(mine)
+    assert bands[["doc_id", "place", "shingles", "kept", "keys", "names", "name_of"]].isna().all(axis=None)
+    assert peak < 45e6, peak
+
+
+def test_arrow_batches_of_texts_are_small(spark, docs):
+    """The texts of a task come in batches of some MB, and a limit of the session's own stays."""
+    name, text = "spark.sql.execution.arrow.maxBytesPerBatch", "x" * 100_000
+    before = spark.conf.get(name)
+    big = docs([(0, "")]).selectExpr("explode(sequence(1, 120)) as doc_id", f"repeat('{text[:100]}', 1000) as text").coalesce(1)
+
+    def most():
+        sizes = big.mapInPandas(lambda batches: (pd.DataFrame({"n": [b["text"].str.len().sum()]}) for b in batches), "n long")
+        return max(r.n for r in sizes.collect())
+
+    try:
+        spark.conf.unset(name)
+        for operator in (jaccard.link_components, substrings.find_repeats, lambda d: packing.pack(d, public_tokenizers.path("word_bpe_49k.json"))):
+            spark.conf.unset(name)
+            operator(docs([(0, "a b c d e f")]))
+            assert most() < 2 * chunks.BATCH_BYTES
+        spark.conf.set(name, "20m")
+        packing.pack(docs([(0, "a")]), public_tokenizers.path("word_bpe_49k.json"))
+        assert most() == 12_000_000
+    finally:
+        spark.conf.set(name, before)
