@@ -60,11 +60,13 @@ class _Words(dict):
 
 
 def _scramble(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(29))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(29))
+    y = x >> np.uint64(29)
+    y ^= x
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    y ^= y >> np.uint64(32)
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(29)
+    return y
 
 
 def shingles(text: str, known: dict, width: int = WORDS) -> np.ndarray:
@@ -235,6 +237,7 @@ def _sizes_fit(a, b, share):
 
 BLOCK = 1024  # members of a hub's group that one task compares at a time
 COLUMNS = 4096  # shingles of a matrix at a time
+RELEASE = 256  # members of a group for which a worker gives earlier memory back
 
 
 def _overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -256,7 +259,7 @@ def _overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarra
 
 
 def _forest(n: int, pairs) -> list[tuple[int, int]]:
-    """Of pairs of 0..n-1, those that join what was apart."""
+    """Of pairs of 0..n-1, those that join what was apart, by the two names that come with each."""
     parent = list(range(n))
 
     def top(x):
@@ -265,11 +268,11 @@ def _forest(n: int, pairs) -> list[tuple[int, int]]:
         return x
 
     out = []
-    for a, b in pairs:
+    for a, b, *names in pairs:
         x, y = top(a), top(b)
         if x != y:
             parent[x] = y
-            out.append((a, b))
+            out.append(tuple(names))
     return out
 
 
@@ -278,20 +281,19 @@ def _compare(share: int):
     few as keep together what they join. Members near the hub are together already."""
 
     def run(key, group):
+        if len(group) > RELEASE:
+            release_memory()  # what earlier tasks of this worker freed would stand beside the matrices
         far, sets = group["far"].to_numpy(bool), [np.asarray(s) for s in group["shingles"]]
         nodes, near = group["node"].to_numpy(), group["near"].to_numpy(bool)
         sizes = np.array([len(s) for s in sets])
         a, b = np.flatnonzero(far), np.flatnonzero(~far)
         both = _overlaps(sets, a, b)
         linked = (100 * both >= share * (sizes[a][:, None] + sizes[b][None, :] - both)) & (nodes[a][:, None] != nodes[b][None, :])
-        x, y = np.nonzero(linked)
         name = {}
         row = [name.setdefault("near" if near[k] else int(nodes[k]), len(name)) for k in range(len(nodes))]
-        tree = {}
-        for p, q in zip(a[x].tolist(), b[y].tolist()):
-            tree.setdefault((row[p], row[q]), (int(nodes[p]), int(nodes[q])))
-        kept = _forest(len(name), tree)
-        return pd.DataFrame([tree[k] for k in kept], columns=["a", "b"]).astype("int64")
+        # far members' links one after the other: those of a group of near copies are too many to hold
+        pairs = ((row[p], row[q], p, q) for p, linked_with in zip(a.tolist(), linked) for q in b[linked_with].tolist())
+        return pd.DataFrame([(nodes[p], nodes[q]) for p, q in _forest(len(name), pairs)], columns=["a", "b"]).astype("int64")
 
     return run
 

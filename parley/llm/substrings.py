@@ -78,10 +78,13 @@ def _bands(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     for i in range(0, len(sizes), BANDED):
         j = min(i + BANDED, len(sizes))
         every, here = (values[at[i]: at[j]] >> np.uint64(32)).astype(np.uint32), at[i:j] - at[i]
+        mixed = np.empty_like(every)
         for r in range(ROWS):
             low = np.empty((j - i, BANDS), np.uint32)
             for k in range(BANDS):
-                low[:, k] = np.minimum.reduceat(every * _A[k * ROWS + r] + _B[k * ROWS + r], here)
+                np.multiply(every, _A[k * ROWS + r], out=mixed)
+                mixed += _B[k * ROWS + r]
+                low[:, k] = np.minimum.reduceat(mixed, here)
             out[i:j] = _scramble(out[i:j] * _MIX[2] + low)
     return _scramble(out + np.arange(BANDS, dtype=np.uint64))
 
@@ -173,14 +176,20 @@ class _Chunk:
 
     def _number(self, kind, keys, doc):
         """Distinct keys in order with their number of documents and the first; and which of them each key is."""
-        order = np.lexsort((doc, keys))
-        k, d = keys[order], doc[order]
+        order = np.argsort(keys)
+        k = keys[order]
         new = np.ones(len(k), bool)
         new[1:] = k[1:] != k[:-1]
+        several = ~new
+        several[:-1] |= several[1:]
+        several = np.flatnonzero(several)  # only keys that come again need their documents in order
+        again = order[several]
+        order[several] = again[np.lexsort((doc[again], keys[again]))]
+        d = doc[order]
         other = new.copy()
         other[1:] |= d[1:] != d[:-1]
         self.keys[kind], self.first[kind] = k[new], d[new]
-        del k, d
+        del k, d, several, again
         number = np.cumsum(new, dtype=np.int32) - np.int32(1)
         self.docs_of[kind] = np.bincount(number, weights=other).astype(np.uint64) if len(number) else np.empty(0, np.uint64)
         self.at[kind] = np.empty(len(number), np.int32)
@@ -261,7 +270,9 @@ def _widen(starts: np.ndarray, n_words: int) -> np.ndarray:
 def _bitmaps(shingles: np.ndarray) -> list[int]:
     """256 bits in which every shingle sets one, as signed numbers."""
     word, bit = (shingles >> np.uint64(6)) & np.uint64(3), np.uint64(1) << (shingles & np.uint64(63))
-    return [int(np.bitwise_or.reduce(bit[word == w], initial=np.uint64(0)).view(np.int64)) for w in range(len(BITMAPS))]
+    out = np.zeros(len(BITMAPS), np.uint64)
+    np.bitwise_or.at(out, word, bit)
+    return out.view(np.int64).tolist()
 
 
 def _links(keys: np.ndarray, nodes: np.ndarray, ranges: int, bits: int):
@@ -305,12 +316,11 @@ def _band_rows(bands, of: np.ndarray, keys: np.ndarray, names) -> pd.DataFrame:
     new &= numbers[at] == of
     at, keys = at[new], keys[new]
     have = dict(zip(("words", "node", "weight", *BITMAPS), (x[at] for x in facts))) | {"sig": keys}
-    rows = pd.DataFrame(index=range(len(keys)), columns=names, dtype=object)
+    rows = {x: np.full(len(keys), None) for x in ("shingles", "keys", "names", "name_of")}
     for x in WHOLE:
         rows[x] = pd.array(have[x], "Int64") if x in have else pd.array([pd.NA], "Int64").repeat(len(keys))
-    rows["kind"], rows["kept"] = "band", pd.array([pd.NA], "boolean").repeat(len(keys))
-    rows[["shingles", "keys", "names", "name_of"]] = None
-    return rows
+    rows["kind"], rows["kept"] = np.full(len(keys), "band", object), pd.array([pd.NA], "boolean").repeat(len(keys))
+    return pd.DataFrame(rows, columns=names)
 
 
 def _found(bits: int, ranges: int):
@@ -381,7 +391,11 @@ def _found(bits: int, ranges: int):
         for x in WHOLE:
             got[x] = got[x].astype("Int64")
         got["kept"] = got["kept"].astype("boolean")
-        return pd.concat([got, _band_rows(bands, named, keys, names)], ignore_index=True) if bands else got
+        if not bands:
+            return got
+        more = _band_rows(bands, named, keys, names)
+        # column by column: a concat of whole frames looks at each null of a column of objects
+        return pd.DataFrame({x: pd.concat([got[x], more[x]], ignore_index=True) for x in names})
 
     return run
 

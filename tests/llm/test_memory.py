@@ -1,5 +1,6 @@
 """Memory of workers: what one task holds, and what stays in a worker process."""
 
+import sys
 import tracemalloc
 
 import numpy as np
@@ -127,3 +128,39 @@ def test_arrow_batches_of_texts_are_small(spark, docs):
         assert most() == 12_000_000
     finally:
         spark.conf.set(name, before)
+
+
+def test_rows_found_are_made_without_a_call_for_each(monkeypatch):
+    """A null beside the columns of the bands costs no call of its own."""
+    texts = _texts(1_000_000)
+    bits, ranges = 49, 3
+    monkeypatch.setattr(substrings, "block_of", lambda chunk: chunk)
+    docs = pd.DataFrame({"doc_id": pd.array(range(len(texts)), "Int64"), "place": range(len(texts)), "text": texts})
+    asked = pd.concat(substrings._requests(ranges, bits)(iter([docs[["doc_id", "text"]]])))
+    answers = asked.assign(code=[chunks.pack(np.full(n, int(kind == "b"), np.uint64)) for n, kind in zip(asked["n"], asked["kind"])])
+    monkeypatch.setattr(substrings, "release_memory", lambda *own: None)
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call" and "pandas" in frame.f_code.co_filename
+
+    sys.setprofile(count)
+    try:
+        got = substrings._found(bits, ranges)((0,), docs, answers)
+    finally:
+        sys.setprofile(None)
+    assert len(got) > 20_000 and calls < len(got), (calls, len(got))
+
+
+def test_links_of_near_copies_are_not_held_together():
+    """A block of far members that all link: a tree of them, without a million links in memory."""
+    n = jaccard.BLOCK
+    sets = [np.append(np.arange(40), 100 + i).astype(np.int64) for i in range(n)]
+    group = pd.DataFrame([(i, False, far, s) for far in (False, True) for i, s in enumerate(sets)], columns=["node", "near", "far", "shingles"])
+    tracemalloc.start()
+    got = jaccard._compare(75)((0, 0, 0), group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == n - 1 and set(got["a"]) | set(got["b"]) == set(range(n))
+    assert peak < 100e6, peak
