@@ -18,6 +18,15 @@ class Memo(dict):
         self.put(key, got)
         return got
 
+    def kept(self, keys: list) -> list:
+        """The answers that either generation has; null for others. What comes from the older one is young again."""
+        out, older = list(map(self.get, keys)), self.older
+        for i, got in enumerate(out):
+            if got is None and (got := older.get(keys[i])) is not None:
+                out[i] = got
+                self.put(keys[i], got)
+        return out
+
     def put(self, key, got) -> None:
         if len(self) >= self.size:
             self.older = dict(self)

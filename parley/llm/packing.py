@@ -19,6 +19,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -30,6 +32,7 @@ TOLERANCE = 1 / 64
 END_ID = 2
 #: Words kept with their ids per worker process and generation, and the longest that is kept.
 MEMO_SIZE, MEMO_CHARS = 400_000, 48
+PORTION = 2048  # texts whose different words are looked up at a time
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long, class int")
 
@@ -125,24 +128,36 @@ class WordIds:
     def _alone(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words) -> None:
-        words = [w for w in words if w not in self.known and len(w) <= MEMO_CHARS]
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of different words; those of up to MEMO_CHARS are kept."""
+        learnt = {}
         # letters only: one pre-token, whose last id and no other ends a word
-        plain = [w for w in words if w.isalpha()]
+        plain = [w for w in words if len(w) <= MEMO_CHARS and w.isalpha()]
         (e,) = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
         ids = np.array(e.ids, np.int64)
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) == len(plain):
             raw, a = ids.astype("<u4").tobytes(), 0
             for w, b in zip(plain, (4 * ends).tolist()):
-                self.known.put(w, raw[a:b])
+                learnt[w] = raw[a:b]
                 a = b
-        rest = [w for w in words if not w.isalpha()]
+        rest = [w for w in words if w not in learnt]
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.known.put(w, np.array(e.ids, "<u4").tobytes())
+            learnt[w] = np.array(e.ids, "<u4").tobytes()
+        for w, ids in learnt.items():
+            if len(w) <= MEMO_CHARS:
+                self.known.put(w, ids)
+        return learnt
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of different words: kept ones, from either generation, or the tokenizer's."""
+        ids = self.known.kept(words)
+        learnt = self._learn([w for w, got in zip(words, ids) if got is None])
+        return [learnt[w] if got is None else got for w, got in zip(words, ids)]
 
     @staticmethod
-    def _words(text: str) -> list[str]:
+    def _parted(text: str) -> str:
+        """The text with a blank wherever it is cut into words."""
         try:
             text.encode("latin-1")
             text = text.lower()
@@ -150,14 +165,16 @@ class WordIds:
             pass
         if not _MARKS_TOGETHER.search(text):
             text = text.replace(".", " .").replace(",", " ,")
-        return text.replace("\n", " ").split(" ")
+        return text.replace("\n", " ")
 
     def of(self, texts: list[str]):
-        for k in range(0, len(texts), 256):
-            parts = [self._words(t) for t in texts[k: k + 256]]
-            self._learn(set().union(*parts))
-            for words in parts:
-                yield b"".join(map(self.known.__getitem__, words))
+        for k in range(0, len(texts), PORTION):
+            cut = pc.split_pattern(pa.array(map(self._parted, texts[k: k + PORTION]), pa.large_string()), " ")
+            words = cut.values.dictionary_encode()
+            ids = self._ids(words.dictionary.to_pylist())
+            at, edges = words.indices.to_numpy(), cut.offsets.to_pylist()
+            for a, b in zip(edges, edges[1:]):
+                yield b"".join(map(ids.__getitem__, at[a:b].tolist()))
 
 
 NAME = "packing"

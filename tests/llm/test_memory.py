@@ -130,6 +130,32 @@ def test_arrow_batches_of_texts_are_small(spark, docs):
         spark.conf.set(name, before)
 
 
+def test_words_of_the_older_generation_are_not_tokenised_again(monkeypatch):
+    """A full memory becomes the older generation, and what comes again from there costs the tokenizer nothing."""
+    from tokenizers import Tokenizer
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.seen = inner, []
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode_batch_fast(self, texts, **more):
+            self.seen += [w for t in texts for w in t.split()]
+            return self.inner.encode_batch_fast(texts, **more)
+
+    monkeypatch.setattr(packing, "MEMO_SIZE", 40)
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    counting = Counting(plain)
+    known = packing.WordIds(counting)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in "uvwxyz"]  # 48: more than a generation
+    texts = [" ".join(words[:30]), " ".join(words[30:]), " ".join(words[:30]), "b12 " + "long" * 30, "b12 " + "long" * 30]
+    got = [ids for t in texts for ids in known.of([t])]
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert len(counting.seen) == len(words) + 3, counting.seen  # the long word alone is not kept
+
+
 def test_rows_found_are_made_without_a_call_for_each(monkeypatch):
     """A null beside the columns of the bands costs no call of its own."""
     texts = _texts(1_000_000)
