@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from parley import constants as C
 from parley.functions import text as T
 from parley.operators.ranking import hash_order, rank_by_hash
+from parley.sources.workspace import written
+
+FEW_LABELS = 100_000
 
 
 def split_thresholds(examples: DataFrame, label_col="domain", id_col="conversation_id",
@@ -26,10 +29,13 @@ def stratified_split(examples: DataFrame, label_col="domain", id_col="conversati
                      test_share=C.TEST_SHARE, seed=C.SEED) -> DataFrame:
     """Add `part` ('test' or 'train'): every label gives its rounded share to the test part.
 
-    The thresholds, one short row per label, are joined to the rows, null-safe; Spark picks the way by
-    their size. The rows themselves are not ranked, so their texts are never sorted.
+    The thresholds, one short row per label, are joined to the rows, null-safe. They are written and counted: up to
+    FEW_LABELS are broadcast, as a shuffle by label would bring all texts of a label to one task. The rows
+    themselves are not ranked, so their texts are never sorted.
     """
-    cut = split_thresholds(examples, label_col, id_col, test_share, seed).withColumnRenamed(label_col, "_label")
+    cut = written(split_thresholds(examples, label_col, id_col, test_share, seed).withColumnRenamed(label_col, "_label"), "split-thresholds")
+    if cut.count() <= FEW_LABELS:
+        cut = F.broadcast(cut)
     in_test = F.coalesce(hash_order(seed, id_col) <= F.col("_threshold"), F.lit(False))
     return examples.join(cut, F.col(label_col).eqNullSafe(F.col("_label")), "left").withColumn(
         "part", F.when(in_test, F.lit("test")).otherwise(F.lit("train"))

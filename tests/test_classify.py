@@ -215,3 +215,18 @@ def test_examples_and_predictions_are_worked_out_once(trained):
     for df in (trained.train, trained.predictions):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "UDF" not in plan
+
+
+def test_the_split_does_not_bring_the_texts_of_a_label_together(spark, monkeypatch):
+    rows = spark.createDataFrame([(str(i), "text", "ab"[i % 2] if i % 5 else None) for i in range(40)], SHAPE)
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = S.stratified_split(rows, test_share=0.25)
+        assert "SortMergeJoin" not in parts._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.conversation_id, r.part) for r in parts.collect())
+        monkeypatch.setattr(S, "FEW_LABELS", 1)
+        assert got == sorted((r.conversation_id, r.part) for r in S.stratified_split(rows, test_share=0.25).collect())
+        assert sum(p == "test" for _, p in got) == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
