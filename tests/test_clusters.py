@@ -339,3 +339,31 @@ def test_fits_side_by_side_are_those_of_sparks_estimator(spark, sparse, monkeypa
     monkeypatch.setattr(M, "STACK_VALUES", 1)  # one fit at a time
     assert all(np.allclose(a.clusterCenters(), b.clusterCenters()) for a, b in zip(own, M._fit_all(features, jobs, 200, 2)))
     features.unpersist()
+
+
+def test_a_batch_of_any_size_is_packed_a_block_at_a_time(monkeypatch):
+    import pyarrow as pa
+    from parley.operators import blocks as B
+
+    seen, rows = [], B._rows
+    monkeypatch.setattr(B, "BLOCK_VALUES", 10)
+    monkeypatch.setattr(B, "_rows", lambda batch: seen.append(batch.num_rows) or rows(batch))
+    values = [[float(i)] * (1 + i % 4) for i in range(9)] + [[1.0] * 15, []]
+    batch = pa.record_batch({
+        "_p": pa.array([{"indices": None if i % 3 else list(range(len(v))), "values": v} for i, v in enumerate(values)],
+                       pa.struct([("indices", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])),
+        "_label": pa.array(range(11), pa.int32())})
+    made = [B.in_blocks(b, 0) for b in B.as_blocks([batch])]
+    assert max(seen) < 11 and sum(seen) == 11
+    assert np.concatenate([m[1] for m in made]).tolist() == sum(values, [])
+    assert np.concatenate([m[2] for m in made]).tolist() == [len(v) for v in values]
+    assert np.concatenate([m[0] for m in made]).tolist() == sum((list(range(len(v))) for v in values), [])
+    assert np.concatenate([m[3] for m in made]).tolist() == list(range(11))
+
+
+def test_small_batches_are_counted_together(monkeypatch):
+    import pyarrow as pa
+
+    batches = [pa.record_batch([pa.array([t], pa.list_(pa.string()))], ["t"]) for t in (["a", "b"], None, ["c"], ["d"] * 5, [])]
+    monkeypatch.setattr(X, "PIECE_TOKENS", 3)
+    assert [p.to_pylist() for p in X._gathered(batches)] == [[["a", "b"], None, ["c"]], [["d"] * 5], [[]]]
