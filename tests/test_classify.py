@@ -230,3 +230,22 @@ def test_the_split_does_not_bring_the_texts_of_a_label_together(spark, monkeypat
         assert sum(p == "test" for _, p in got) == 10
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+
+
+def test_the_shuffle_of_all_terms_goes_before_the_fit(spark, monkeypatch):
+    """What the counts of all terms have shuffled is not kept beside the vectors."""
+    import gc
+    import time
+
+    jvm = spark.sparkContext._jvm
+    blocks = lambda: spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+    gc.collect()
+    jvm.System.gc()
+    time.sleep(2)
+    before = blocks()
+    X.tfidf_stages(spark.createDataFrame(ROWS, SHAPE), "customer_text")
+    for _ in range(50):
+        if blocks() <= before:
+            break
+        time.sleep(0.2)
+    assert blocks() <= before
